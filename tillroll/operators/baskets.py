@@ -244,6 +244,7 @@ def association_nodes(rules: DataFrame, directed: bool = True) -> DataFrame:
             F.struct(F.col("target").alias("item"), F.lit(1).alias("side")),
         )
     ).alias("end")
+    rules = share(rules)
     # The earliest appearance is a minimum per item; rules are never put in one line.
     colors = (
         _ends(rules)

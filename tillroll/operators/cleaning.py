@@ -10,13 +10,18 @@ from pyspark.sql import types as T
 
 from tillroll.schema import CATEGORY_COLUMNS, DATE_COLUMNS, NUMERIC_TYPES, snake_name
 
-# Patterns tried in turn. These decide how an ambiguous date reads.
-DATE_PATTERNS = {
-    "month_first_fallback": ("M/d/yyyy", "d/M/yyyy"),
-    "day_first": ("d/M/yyyy",),
-    "year_first": ("yyyy-M-d", "yyyy/M/d", "M/d/yyyy"),
+# How a date may be written, tried in turn: the text and its ISO form. Other text
+# becomes "--", which is no date. These decide how an ambiguous date reads.
+_SLASHED = r"(?s)^(?:([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})|.*)$"
+MONTH_DAY_YEAR = (_SLASHED, "$3-$1-$2")
+DAY_MONTH_YEAR = (_SLASHED, "$3-$2-$1")
+YEAR_MONTH_DAY = (r"(?s)^(?:([0-9]{4})[-/]([0-9]{1,2})[-/]([0-9]{1,2})|.*)$", "$1-$2-$3")
+DATE_STYLES = {
+    "month_first_fallback": (MONTH_DAY_YEAR, DAY_MONTH_YEAR),
+    "day_first": (DAY_MONTH_YEAR,),
+    "year_first": (YEAR_MONTH_DAY, MONTH_DAY_YEAR),
 }
-DATE_MODES = (*DATE_PATTERNS, "epoch_ms")
+DATE_MODES = (*DATE_STYLES, "epoch_ms")
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:
@@ -31,9 +36,12 @@ def order_date_expr(value: str | Column, mode: str = "month_first_fallback") ->
         # Whole UTC days, whatever the session time zone is.
         days = F.floor(value.try_cast("double") / F.lit(86_400_000.0))
         return F.date_from_unix_date(days.cast("int"))
-    if mode not in DATE_PATTERNS:
+    if mode not in DATE_STYLES:
         raise ValueError(f"unknown date mode {mode!r}; one of {', '.join(DATE_MODES)}")
-    return F.coalesce(*[F.try_to_date(value, p) for p in DATE_PATTERNS[mode]])
+    # A failing cast gives null; a failing date pattern would throw inside, per row.
+    return F.coalesce(
+        *[F.regexp_replace(value, text, iso).try_cast("date") for text, iso in DATE_STYLES[mode]]
+    )
 
 
 def parse_order_dates(
@@ -44,13 +52,17 @@ def parse_order_dates(
     return df.withColumns({c: order_date_expr(c, mode) for c in todo})
 
 
-def dedupe_orders(df: DataFrame) -> DataFrame:
-    """Keep one of each group of rows equal in all columns, null equal to null.
+def dedupe_orders(df: DataFrame, order_key: str | None = None) -> DataFrame:
+    """Keep one of each group of rows equal in all columns, null equal to null. With
+    an ``order_key``, which is no part of the comparison, the first one stays.
 
     Copies merge in the map-side aggregate, so a large group of copies sends one
     row per task through the shuffle.
     """
-    return df.dropDuplicates()
+    if order_key is None:
+        return df.dropDuplicates()
+    rest = [c for c in df.columns if c != order_key]
+    return df.groupBy(*rest).agg(F.min(order_key).alias(order_key))
 
 
 def number_expr(value: str | Column, type_name: str) -> Column:
@@ -96,11 +108,13 @@ def category_codes(df: DataFrame, cols: Iterable[str] = CATEGORY_COLUMNS) -> Dat
     return counted.select("column", "value", (rank - 1).cast("bigint").alias("code"), "n")
 
 
-def clean_orders(df: DataFrame, date_mode: str = "month_first_fallback") -> DataFrame:
+def clean_orders(
+    df: DataFrame, date_mode: str = "month_first_fallback", order_key: str | None = None
+) -> DataFrame:
     """Names, dates, duplicates, numbers, amounts - in this order, as duplicates are
     judged on parsed dates but on the numbers as written."""
     df = parse_order_dates(normalize_columns(df), mode=date_mode)
-    return add_sales_amounts(coerce_numerics(dedupe_orders(df)))
+    return add_sales_amounts(coerce_numerics(dedupe_orders(df, order_key)))
 
 
 def quality_report(

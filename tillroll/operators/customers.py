@@ -49,9 +49,9 @@ def _per_customer(orders: DataFrame, *extra: Column) -> DataFrame:
 def customer_metrics(orders: DataFrame, order_key: str | None = None) -> DataFrame:
     """The 16 measures of each customer.
 
-    "First" and the day gaps follow ``order_key`` if one is given (for the order of
-    lines in the file, see ``file_order_key``). Otherwise lines are ordered by date,
-    order, product, quantity and price, undated lines last.
+    "First" and the day gaps follow ``order_key`` if one is given, such as the
+    ``file_order`` of ``load_orders``. Otherwise lines are ordered by date, order,
+    product, quantity and price, undated lines last.
     """
     date = F.col("order_date")
     if order_key is None:

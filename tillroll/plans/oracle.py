@@ -650,9 +650,19 @@ def _baskets() -> dict[str, str]:
         "frequent_itemsets_max_len_3": _with(
             _baskets_cte(LONG_MIN_SUPPORT, 3), f"SELECT {_ITEMSET_COLUMNS} FROM itemsets"
         ),
-        # An order has at most seven lines, so no basket holds eight items.
         "frequent_itemsets_any_length": _with(
-            _baskets_cte(LONG_MIN_SUPPORT, 7), f"SELECT {_ITEMSET_COLUMNS} FROM itemsets"
+            "RECURSIVE"
+            + _baskets_cte(LONG_MIN_SUPPORT, 1)
+            + """,
+subsets AS (
+  SELECT order_id, item AS last, [item] AS items FROM baskets
+  UNION ALL
+  SELECT s.order_id, b.item, list_append(s.items, b.item)
+  FROM subsets s JOIN baskets b ON s.order_id = b.order_id AND b.item > s.last),
+counted AS (
+  SELECT items, count(*) AS n, count(*) / CAST((SELECT total FROM size) AS DOUBLE) AS support
+  FROM subsets GROUP BY items)""",
+            f"SELECT {_ITEMSET_COLUMNS} FROM counted WHERE support >= {LONG_MIN_SUPPORT}",
         ),
         "association_rules": _with(pairs, f"SELECT {_RULE_COLUMNS}\nFROM rules"),
         "association_rules_max_len_3": _with(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.operators.cleaning import add_sales_amounts
 from tillroll.schema import ORDER_COLUMNS, RAW_HEADERS
@@ -41,8 +42,27 @@ _JOINS = {
 _AMOUNTS = ("sales_amount", "sales_amount_with_shipping")
 
 
+# What a first read has found out about a path: its schema, and in how many splits it
+# comes. Saves a footer-reading job on every later read.
+_schemas: dict[str, T.StructType] = {}
+_splits: dict[str, int] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _schemas:
+        _schemas[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[path]).parquet(path)
+
+
+def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table; dealt out by key if it comes in fewer splits than there are cores, such
+    as one small file. A large table has many splits and stays as it is, unshuffled."""
+    df = table(spark, sf_dir, name)
+    path, cores = f"{sf_dir}/{name}.parquet", spark.sparkContext.defaultParallelism
+    if path not in _splits:
+        _splits[path] = df.rdd.getNumPartitions()
+    return df if _splits[path] >= cores else df.repartition(cores, key)
 
 
 def sales_lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -67,7 +87,7 @@ def sales_lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     for c in base:
         need(_LINE[c][0])
 
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread_table(spark, sf_dir, "lineitem", "l_orderkey")
     # Dimensions of the line itself first, then the ones reached through orders.
     for name in sorted(needed, key=list(_JOINS).index):
         left, right, _ = _JOINS[name]
