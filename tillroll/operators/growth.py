@@ -131,29 +131,33 @@ def existing_customer_growth(orders: DataFrame, as_of_year: int | None = None) -
     )
 
 
-def _first_dates(orders: DataFrame, key: str) -> DataFrame:
-    return (
-        orders.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.min("order_date").alias("first_date"))
-    )
-
-
-def _with_new_product_flag(
-    lines: DataFrame, orders: DataFrame, this_year: Column
+def _with_newcomer_flags(
+    lines: DataFrame, orders: DataFrame, this_year: Column, *keys: str
 ) -> DataFrame:
-    """Adds ``is_new_product``: first sold in the analysis year or later.
+    """Adds ``new_<key>`` for each key: first seen in the analysis year or later.
 
-    Joins the list of new products rather than the (longer) list of old ones. A line
-    without a product matches no old product, so it counts as new.
+    A key seen on a line before that year is no newcomer, so only the later lines are
+    joined, and with the list of newcomers, which is shorter than the list of the
+    others. A line without the key matches no existing one, so it counts as new.
+    ``lines`` are dated lines of ``orders``.
     """
-    first = _first_dates(orders, "product_name")
-    new = first.where(
-        F.col("first_date").isNull() | (F.col("first_date") >= this_year)
-    ).select("product_name", F.lit(True).alias("listed"))
-    return lines.join(new, "product_name", "left").withColumn(
-        "is_new_product", F.coalesce("listed", F.col("product_name").isNull())
-    )
+    date = F.col("order_date")
+    before, since = lines.where(date < this_year), lines.where(date >= this_year)
+    for key in keys:
+        newcomers = (
+            orders.where(F.col(key).isNotNull())
+            .groupBy(key)
+            .agg(F.min(date).alias("first_date"))
+            .where(F.col("first_date") >= this_year)
+            .select(key, F.lit(True).alias("listed"))
+        )
+        before = before.withColumn(f"new_{key}", F.col(key).isNull())
+        since = (
+            since.join(newcomers, key, "left")
+            .withColumn(f"new_{key}", F.coalesce("listed", F.col(key).isNull()))
+            .drop("listed")
+        )
+    return before.unionByName(since)
 
 
 def customer_demand(orders: DataFrame, as_of_year: int | None = None) -> DataFrame:
@@ -164,23 +168,23 @@ def customer_demand(orders: DataFrame, as_of_year: int | None = None) -> DataFra
     lines = orders.where(F.col("customer_id").isNotNull() & F.col("order_date").isNotNull()).select(
         "customer_id", "product_name", "order_date", "quantity"
     )
-    existing = (
-        _first_dates(orders, "customer_id")
-        .where(F.col("first_date") < this_year)
-        .select("customer_id")
-    )
-    flagged = _with_new_product_flag(lines, orders, this_year)
-    quantity = F.col("quantity").cast("bigint")
-    # Grouping by customer and year comes before the join with the existing
-    # customers: the join then sees one row per customer and year, not each line.
+    flagged = _with_newcomer_flags(lines, orders, this_year, "product_name")
+    quantity, is_new = F.col("quantity").cast("bigint"), F.col("new_product_name")
     per_year = flagged.groupBy(
         "customer_id", F.year("order_date").cast("bigint").alias("order_year")
     ).agg(
         F.sum(quantity).alias("total_quantity"),
-        F.sum(F.when(~F.col("is_new_product"), quantity).otherwise(0)).alias("old_product_quantity"),
-        F.sum(F.when(F.col("is_new_product"), quantity).otherwise(0)).alias("new_product_quantity"),
+        F.sum(F.when(~is_new, quantity).otherwise(0)).alias("old_product_quantity"),
+        F.sum(F.when(is_new, quantity).otherwise(0)).alias("new_product_quantity"),
+    )
+    # A customer's rows are one per calendar year by now, so the window is small and
+    # tells the first year without another pass over the lines.
+    first_year = F.min("order_year").over(Window.partitionBy("customer_id"))
+    return (
+        per_year.withColumn("first_year", first_year)
+        .where(F.col("first_year") < year)
+        .drop("first_year")
     )
-    return per_year.join(existing, "customer_id", "left_semi")
 
 
 def customer_demand_growth(
@@ -199,11 +203,11 @@ def customer_demand_growth(
         & (date >= year_start(year, as_of_year, -1))
         & (date < year_start(year, as_of_year, 1))
     ).select("customer_id", "product_name", "order_date", "quantity")
-    flagged = _with_new_product_flag(lines, orders, this_year)
+    flagged = _with_newcomer_flags(lines, orders, this_year, "product_name")
 
     is_now = date >= this_year
     quantity = F.col("quantity").cast("bigint")
-    old_quantity = F.when(~F.col("is_new_product"), quantity).otherwise(0)
+    old_quantity = F.when(~F.col("new_product_name"), quantity).otherwise(0)
     return (
         flagged.groupBy("customer_id")
         .agg(
@@ -276,19 +280,11 @@ def revenue_by_cohort(orders: DataFrame, as_of_year: int | None = None) -> DataF
     lines = orders.where(
         (date >= year_start(year, as_of_year, -1)) & (date < year_start(year, as_of_year, 1))
     ).select("customer_id", "product_name", "order_date", "sales_amount")
-    new_customers = (
-        _first_dates(orders, "customer_id")
-        .where(F.col("first_date") >= this_year)
-        .select("customer_id", F.lit(True).alias("new_customer"))
-    )
-    flagged = _with_new_product_flag(lines, orders, this_year).join(
-        new_customers, "customer_id", "left"
-    )
+    flagged = _with_newcomer_flags(lines, orders, this_year, "product_name", "customer_id")
     is_now = date >= this_year
-    is_new_customer = F.coalesce("new_customer", F.col("customer_id").isNull())
     cells = flagged.groupBy(
-        F.when(is_new_customer, "new").otherwise("existing").alias("customer_cohort"),
-        F.when(F.col("is_new_product"), "new").otherwise("old").alias("product_cohort"),
+        F.when(F.col("new_customer_id"), "new").otherwise("existing").alias("customer_cohort"),
+        F.when(F.col("new_product_name"), "new").otherwise("old").alias("product_cohort"),
     ).agg(
         F.sum(F.when(~is_now, F.col("sales_amount"))).alias("before"),
         F.sum(F.when(is_now, F.col("sales_amount"))).alias("now"),

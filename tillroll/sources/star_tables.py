@@ -31,14 +31,12 @@ _LINE = {
     "region": ("region", "r_name"),
     "city": ("lineitem", "cast(null as string)"),
 }
-# Table -> (key on the lines so far, own key, table it needs first).
-_JOINS = {
-    "orders": ("l_orderkey", "o_orderkey", None),
-    "part": ("l_partkey", "p_partkey", None),
-    "customer": ("o_custkey", "c_custkey", "orders"),
-    "nation": ("c_nationkey", "n_nationkey", "customer"),
-    "region": ("n_regionkey", "r_regionkey", "nation"),
-}
+# Tables reached through an order, each with its join to the ones before it.
+_ORDER_SIDE = (
+    ("customer", "o_custkey", "c_custkey"),
+    ("nation", "c_nationkey", "n_nationkey"),
+    ("region", "n_regionkey", "r_regionkey"),
+)
 _AMOUNTS = ("sales_amount", "sales_amount_with_shipping")
 
 
@@ -76,23 +74,20 @@ def sales_lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     if set(wanted) & set(_AMOUNTS):
         base += [c for c in ("unit_price", "quantity", "shipping_cost") if c not in base]
 
-    needed: list[str] = []
-
-    def need(name: str | None) -> None:
-        if name is None or name == "lineitem" or name in needed:
-            return
-        need(_JOINS[name][2])
-        needed.append(name)
-
-    for c in base:
-        need(_LINE[c][0])
-
+    needed = {_LINE[c][0] for c in base}
     lines = spread_table(spark, sf_dir, "lineitem", "l_orderkey")
-    # Dimensions of the line itself first, then the ones reached through orders.
-    for name in sorted(needed, key=list(_JOINS).index):
-        left, right, _ = _JOINS[name]
-        other = table(spark, sf_dir, name)
-        lines = lines.join(other, F.col(left) == F.col(right))
+    if "part" in needed:
+        part = table(spark, sf_dir, "part")
+        lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
+    if needed - {"lineitem", "part"}:
+        # Customers and places join the orders, of which there are several times fewer
+        # than lines; the lines then move once for all of them.
+        order_side = table(spark, sf_dir, "orders")
+        depth = max((i + 1 for i, t in enumerate(_ORDER_SIDE) if t[0] in needed), default=0)
+        for name, left, right in _ORDER_SIDE[:depth]:
+            other = table(spark, sf_dir, name)
+            order_side = order_side.join(other, F.col(left) == F.col(right))
+        lines = lines.join(order_side, F.col("l_orderkey") == F.col("o_orderkey"))
     lines = lines.select(*[F.expr(_LINE[c][1]).alias(c) for c in base])
     if set(wanted) & set(_AMOUNTS):
         lines = add_sales_amounts(lines)
