@@ -75,6 +75,17 @@ def test_itemsets_match_brute_force(spark, orders, min_support):
         )
 
 
+@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
+@given(orders_strategy, st.sampled_from([0.1, 1 / 3, 0.5, 0.9]))
+def test_huge_baskets_match_brute_force(spark, monkeypatch, orders, min_support):
+    monkeypatch.setattr(b, "HUGE_BASKET", 2)
+    frame = basket_frame(spark, orders)
+    for max_len in (2, 3, None):
+        assert found(b.frequent_itemsets(frame, min_support, max_len)) == brute_force(
+            orders, min_support, max_len
+        )
+
+
 def test_orders_without_frequent_items_count_in_the_support(spark):
     orders = ["ab", "ab", "cd", "ef", "gh"]
     for max_len in (2, None):
@@ -84,13 +95,15 @@ def test_orders_without_frequent_items_count_in_the_support(spark):
         }
 
 
-def test_many_copies_and_one_huge_order(spark):
+@pytest.mark.parametrize("limit", [2, 50, 1000])
+def test_many_copies_and_one_huge_order(spark, monkeypatch, limit):
     """A third of the baskets alike, and an order with a third of all lines."""
+    monkeypatch.setattr(b, "HUGE_BASKET", limit)
     orders = ["abcdefgh"] * 20 + ["ab", "cd", "ef", "gh"] * 10
-    orders.append([f"item{i}" for i in range(400)] + ["a"])
+    orders.append([f"item{i}" for i in range(400)] + ["a", "b"])
     frame = basket_frame(spark, orders)
     assert found(b.frequent_itemsets(frame, 0.1, 3)) == brute_force(
-        [o for o in orders if len(o) < 100] + [["a"]], 0.1, 3
+        [o for o in orders if len(o) < 100] + [["a", "b"]], 0.1, 3
     )
 
 

@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.fpm import FPGrowth
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.expressions import ratio
 from tillroll.functions.sharing import cut_lineage, share
 
+# Up to this many frequent items, an order's items are combined with each other.
+HUGE_BASKET = 1_000
+
 RULE_METRICS = ("support", "confidence", "lift", "leverage", "conviction")
 
 
@@ -38,98 +38,134 @@ def basket_arrays(baskets: DataFrame) -> DataFrame:
 def frequent_itemsets(
     baskets: DataFrame, min_support: float, max_len: int | None = None
 ) -> DataFrame:
-    """``items[], n, support`` of the itemsets with ``n / baskets >= min_support``.
+    """``items[], n, support`` of the itemsets with ``n / baskets >= min_support``, of up
+    to ``max_len`` items or any number.
 
     ``baskets`` is ``order_id, item``. Items below the support cannot be part of a
-    frequent set, so they are dropped first; what is left per order is at most the
-    mean basket size / ``min_support`` items, also for a huge order. With ``max_len``
-    sets grow item by item up to that size. Without it they are mined by FP-growth.
+    frequent set, so they are dropped first. Sets then grow item by item, within each
+    ordinary basket; the few huge ones are only searched for sets that the ordinary
+    ones leave possible, so their items are never combined.
     """
     if not 0 < min_support <= 1:
         raise ValueError("min_support must be above 0 and at most 1")
     baskets = share(baskets)
-    total = baskets.agg(F.count_distinct("order_id").alias("total")).scalar()
+    sizes = baskets.groupBy("order_id").agg(F.count(F.lit(1)).alias("size"))
+    # Two numbers come to the driver: with no huge order, the plan can be a simple one.
+    total, largest = sizes.agg(F.count(F.lit(1)), F.max("size")).first()
+    total = F.lit(total)
     singles = baskets.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where(
         ratio(F.col("n"), total) >= min_support
     )
-    kept = basket_arrays(baskets.join(singles.select("item"), "item", "left_semi"))
-    if max_len is None:
-        return _fp_growth(kept, min_support, baskets)
-
     found = singles.select(F.array("item").alias("items"), "n")
-    if max_len > 1:
-        # One row per basket and item: the item, and the items after it.
-        open_sets = kept.select("items", F.posexplode("items").alias("at", "item")).select(
-            F.array("item").alias("items"), _after("items", "at").alias("rest"), F.lit(1).alias("n")
-        )
-        found = found.unionByName(_grow(open_sets, min_support, total, max_len))
+    if max_len is None or max_len > 1:
+        kept = baskets.join(singles.select("item"), "item", "left_semi")
+        if (largest or 0) <= HUGE_BASKET:
+            longer = _grow(basket_arrays(kept), min_support, total, max_len)
+        else:
+            kept = share(kept)
+            huge = _huge_orders(kept, min_support, total)
+            longer = _grow(
+                basket_arrays(kept.join(huge, "order_id", "left_anti")),
+                min_support,
+                total,
+                max_len,
+                in_huge=share(kept.join(huge, "order_id", "left_semi")),
+            )
+        found = found.unionByName(longer)
     return found.withColumn("support", ratio(F.col("n"), total))
 
 
+def _huge_orders(kept: DataFrame, min_support: float, total: Column) -> DataFrame:
+    """Orders of more than ``HUGE_BASKET`` items, the largest ones, fewer than half as
+    many as a frequent set needs. A set found in no other order is then not frequent."""
+    large = (
+        kept.groupBy("order_id").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > HUGE_BASKET)
+    )
+    # Distinct sizes beyond the limit, from the top: few, as they add up to the rows.
+    sizes = large.groupBy("size").agg(F.count(F.lit(1)).alias("n"))
+    from_top = F.sum("n").over(Window.orderBy(F.desc("size")))
+    smallest = (
+        sizes.withColumn("from_top", from_top)
+        .where(F.col("from_top") <= F.floor(total * F.lit(min_support / 2)))
+        .agg(F.min("size").alias("smallest"))
+        .scalar()
+    )
+    return share(large.where(F.col("size") >= smallest).select("order_id"))
+
+
 def _after(array: str, position: str) -> Column:
     return F.slice(
         F.col(array), F.col(position) + 2, F.greatest(F.size(array) - F.col(position) - 1, F.lit(0))
     )
 
 
-def _grow(open_sets: DataFrame, min_support: float, total: Column, max_len: int) -> DataFrame:
-    """Itemsets of two and more items.
+def _grow(
+    ordinary: DataFrame,
+    min_support: float,
+    total: Column,
+    max_len: int | None,
+    in_huge: DataFrame | None = None,
+) -> DataFrame:
+    """Itemsets of two and more items, from ordinary baskets as arrays and from the
+    members of huge ones as ``order_id, item``.
 
-    An open set is ``items`` found in ``n`` baskets that share the tail ``rest``.
-    Counting one item more is an explode that feeds a partial aggregate, so the
-    shuffle carries a count per distinct set and task, not a row per basket.
+    An open set is ``items`` found in ``n`` ordinary baskets that share the tail
+    ``rest``. Counting one item more is an explode that feeds a partial aggregate, so
+    the shuffle carries a count per distinct set and task, not a row per basket.
     """
     longer = F.concat("items", F.array("next")).alias("items")
-    found = None
-    for length in range(2, max_len + 1):
-        level = (
+
+    def frequent(counts: DataFrame, elsewhere: Column) -> DataFrame:
+        return counts.where(ratio(F.col("n") + elsewhere, total) >= min_support)
+
+    # One row per basket and item: the item, and the items after it.
+    open_sets = ordinary.select("items", F.posexplode("items").alias("at", "item")).select(
+        F.array("item").alias("items"), _after("items", "at").alias("rest"), F.lit(1).alias("n")
+    )
+    found, length = None, 2
+    while True:
+        counts = (
             open_sets.select("items", "n", F.explode("rest").alias("next"))
             .groupBy("items", "next")
             .agg(F.sum("n").alias("n"))
-            .where(ratio(F.col("n"), total) >= min_support)
         )
-        if length < max_len:
+        if in_huge is None:
+            level = frequent(counts, F.lit(0)).select(longer, "n")
+        else:
+            n_huge = in_huge.agg(F.count_distinct("order_id").alias("n")).scalar()
+            possible = share(frequent(counts, n_huge).select(longer, "n"))
+            added = possible.unionByName(_count_in(in_huge, possible))
+            level = frequent(added.groupBy("items").agg(F.sum("n").alias("n")), F.lit(0))
+        if length != max_len:
             level = share(level)
-        sets = level.select(longer, "n")
-        found = sets if found is None else found.unionByName(sets)
+        found = level if found is None else found.unionByName(level)
         if length == max_len:
-            break
+            return found
         # Tails of frequent sets only; equal ones merge. Cut the lineage, as each
         # level is read by its own count and by the next level.
         open_sets = cut_lineage(
             open_sets.select("items", "rest", "n", F.posexplode("rest").alias("at", "next"))
             .where(F.size("rest") > F.col("at") + 1)
-            .join(level.select("items", "next"), ["items", "next"], "left_semi")
-            .groupBy(longer, _after("rest", "at").alias("rest"))
+            .select(longer, _after("rest", "at").alias("rest"), "n")
+            .join(level.select("items"), "items", "left_semi")
+            .groupBy("items", "rest")
             .agg(F.sum("n").alias("n"))
         )
         if open_sets.isEmpty():
-            break
-    return found
-
-
-def _fp_growth(kept: DataFrame, min_support: float, baskets: DataFrame) -> DataFrame:
-    """All lengths. FP-growth takes a share of the rows it is given; orders left
-    without frequent items are not among them, so the share is set from counts."""
-    total = baskets.select("order_id").distinct().count()
-    kept = share(kept.select("items"))
-    rows = kept.count()
-    schema = kept.schema["items"].dataType.simpleString()
-    if rows == 0:
-        return kept.sparkSession.createDataFrame(
-            [], f"items {schema}, n bigint, support double"
-        )
-    least = next(
-        n for n in (math.ceil(min_support * total) + d for d in (-1, 0, 1)) if n > 0 and n / total >= min_support
-    )
-    partitions = int(kept.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    model = FPGrowth(
-        itemsCol="items", minSupport=(least - 0.5) / rows, numPartitions=partitions
-    ).fit(kept)
-    return model.freqItemsets.select(
-        F.array_sort("items").alias("items"),
-        F.col("freq").alias("n"),
-        (F.col("freq") / F.lit(float(total))).alias("support"),
+            return found
+        length += 1
+
+
+def _count_in(members: DataFrame, itemsets: DataFrame) -> DataFrame:
+    """How many orders of ``members`` (``order_id, item``) hold each whole itemset."""
+    return (
+        itemsets.select("items", F.explode("items").alias("item"))
+        .join(members, "item")
+        .groupBy("items", "order_id")
+        .agg(F.count(F.lit(1)).alias("held"))
+        .where(F.col("held") == F.size("items"))
+        .groupBy("items")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
 
 
