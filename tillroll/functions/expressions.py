@@ -68,10 +68,6 @@ def percent_text(value: Column) -> Column:
     return F.concat(F.replace(F.format_number(as_double(value), 2), F.lit(","), F.lit("")), F.lit("%"))
 
 
-def year_of(date: str | Column = "order_date") -> Column:
-    return F.year(date)
-
-
 def resolve_year(orders: DataFrame, as_of_year: int | None, date: str = "order_date") -> Column:
     """The analysis year as a Column: the given one, or the last year in the data.
 
