@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.llm.hashing import mix, ngrams, slices, span_hashes, text_bytes, word_spans
 
@@ -337,7 +338,7 @@ def toxicity(docs: DataFrame, model: Model) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, chance], [*part.schema.names, "score"])
 
     kept = docs.drop("score")
-    return kept.mapInArrow(score, kept.schema.add("score", "double"))
+    return kept.mapInArrow(score, T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType())]))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
