@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import naming, toxicity
+from tillroll.llm import jaccard, naming, toxicity
 from tillroll.llm.stages import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,11 +16,16 @@ def exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return naming.exact_duplicates(table(spark, sf_dir, "documents"))
 
 
+def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ngram_jaccard": ngram_jaccard,
     "op5_toxicity": toxic,
     "op10_exact_dedup": exact_dedup,
 }
