@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import jaccard, naming, packing, toxicity
+from tillroll.llm import contamination, jaccard, naming, packing, toxicity
 from tillroll.llm.stages import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,10 @@ def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -30,6 +34,7 @@ def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": ngram_jaccard,
+    "op4_decontamination": decontamination,
     "op5_toxicity": toxic,
     "op7_packing": cost_packing,
     "op10_exact_dedup": exact_dedup,
