@@ -23,6 +23,7 @@ from tillroll.llm.stages import written
 
 BLOCK_BYTES = 4096
 _RANK_BITS = 40
+ROW = "naming_row"  # a column of this name numbers the rows
 
 
 def text_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
@@ -51,7 +52,7 @@ def text_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
     types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary()]
     text = F.coalesce("text", F.lit(""))
     keyed = docs.select(
-        F.monotonically_increasing_id().alias("row"),
+        (F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()).alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),
         text.alias("text"),
         F.unhex(F.sha2(text, 256)).alias("text_sha256"),
@@ -163,3 +164,11 @@ def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFra
         (F.col("row") == F.col("best.row")).alias("kept"),
         F.lower(F.hex("text_sha256")).alias("text_sha256"),
     )
+
+
+def without_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that ``exact_duplicates`` keeps."""
+    numbered = docs.withColumn(ROW, F.monotonically_increasing_id())
+    best = F.max(F.struct("doc_id", "row"))
+    kept = block_names(numbered, block_bytes).groupBy("blocks", "name").agg(best.alias("best"))
+    return numbered.join(kept.select(F.col("best.row").alias(ROW)), ROW, "leftsemi").drop(ROW)

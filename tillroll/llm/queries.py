@@ -32,12 +32,19 @@ def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": ngram_jaccard,
     "op4_decontamination": decontamination,
     "op5_toxicity": toxic,
     "op7_packing": cost_packing,
     "op10_exact_dedup": exact_dedup,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {

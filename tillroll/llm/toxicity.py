@@ -28,8 +28,8 @@ from pyspark.sql import types as T
 
 from tillroll.llm.hashing import mix, ngrams, slices, span_hashes, text_bytes, word_spans
 
-SAMPLE_TOXIC = 2_000  # labelled documents of either kind that training reads at most
-SAMPLE_CLEAN = 4_000
+SAMPLE_TOXIC = 1_500  # labelled documents of either kind that training reads at most
+SAMPLE_CLEAN = 3_000
 SAMPLE_CHARS = 16_000  # longer documents are not in the sample
 LANDMARKS = 160
 ROUNDS = 4
@@ -168,7 +168,7 @@ def _similarities(words: tuple, landmarks: tuple) -> tuple[np.ndarray, np.ndarra
     features /= norms(mark_ends - mark_starts)[:, None]
 
     symbols, starts, ends = words
-    place = np.full(_SYMBOLS**4, -1, np.int32)
+    place = np.full(_SYMBOLS**4, -1, np.int16)
     place[codes] = np.arange(len(codes))
     owner = np.repeat(np.arange(len(starts)), ends - starts)
     out = np.zeros((len(starts), len(mark_starts)), np.float32)
@@ -322,10 +322,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list
     return [r["text"] for r in rows], [r["toxic"] for r in rows], share
 
 
-def toxicity(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` (doc_id, text, anything else) with ``score`` between 0 and 1 added; a
-    column of that name is replaced. A text without letters, also an empty or null one,
-    scores as one whose every word is harmless."""
+def toxicity(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """``docs`` (doc_id, text, anything else) with a score between 0 and 1 added; a column
+    of that name is replaced. A text without letters, also an empty or null one, scores as
+    one whose every word is harmless."""
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = model.table()
@@ -335,10 +335,10 @@ def toxicity(docs: DataFrame, model: Model) -> DataFrame:
                 scores = model.word_scores(table, symbols, starts, ends)[which]
                 worst = worst_words(scores, rows, part.num_rows)
                 chance = pa.array(model.probability(worst), pa.float64())
-                yield pa.RecordBatch.from_arrays([*part.columns, chance], [*part.schema.names, "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns, chance], [*part.schema.names, name])
 
-    kept = docs.drop("score")
-    return kept.mapInArrow(score, T.StructType([*kept.schema.fields, T.StructField("score", T.DoubleType())]))
+    kept = docs.drop(name)
+    return kept.mapInArrow(score, T.StructType([*kept.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
