@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillroll.llm import contamination, jaccard, naming, packing, toxicity
+from tillroll.functions.sharing import scratch_path
+from tillroll.llm import archives, contamination, jaccard, naming, packing, secrets, toxicity
 from tillroll.llm.stages import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +21,14 @@ def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+def arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archives.archive_pages(table(spark, sf_dir, "pages"), scratch_path(spark, "archives"))
+
+
+def secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_documents(table(spark, sf_dir, "documents"), scratch_path(spark, "ledger"))
+
+
 def decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -40,8 +49,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": ngram_jaccard,
+    "op2_warc": arc_to_warc,
     "op4_decontamination": decontamination,
     "op5_toxicity": toxic,
+    "op6_secret_ledger": secret_ledger,
     "op7_packing": cost_packing,
     "op10_exact_dedup": exact_dedup,
     "pipeline": pipeline,
