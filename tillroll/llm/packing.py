@@ -12,7 +12,9 @@ fill, so it loses less than one sequence to padding.
 
 from __future__ import annotations
 
+import array
 import heapq
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -27,7 +29,7 @@ PACK = 8_192
 END_ID = 2
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 TOKENIZER = "word_bpe_49k.json"
-_SLICE = 16 << 20
+_SLICE = 8 << 20
 
 
 def default_tokenizer() -> str:
@@ -41,9 +43,23 @@ def cost(tokens: int) -> float:
     return LINEAR * tokens + QUADRATIC * tokens * tokens
 
 
+def _byte_characters() -> dict[int, int]:
+    """Byte-level tokenizers write a byte as a character: a printable one as itself, the
+    others as those from 256 on."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: 256 + i for i, b in enumerate(others)}
+
+
 class WordTokens:
-    """Token ids of texts, for a tokenizer that drops white space: words are encoded apart,
-    and each distinct word of a slice once."""
+    """Token ids of texts, for a byte-level tokenizer that lowers case and drops white space.
+
+    Words are encoded apart, each distinct word of a slice once. A word of ASCII and of
+    Western letters is split here, and its parts go to the tokenizer's model; any other
+    goes through the whole tokenizer.
+    """
+
+    KNOWN = 200_000  # parts whose ids are remembered; then it starts anew
 
     def __init__(self, definition: str):
         import os
@@ -52,16 +68,40 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
+        self.model = self.tokenizer.model
+        letters = "a-z\u00df-\u00f6\u00f8-\u00ff"
+        self.simple = re.compile("[!-&(-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*").fullmatch
+        self.parts = re.compile(f"[{letters}]+|[0-9]|[^{letters}0-9]+").findall
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, added)) or "(?!)").search
+        self.characters = _byte_characters()
+        self.known: dict[str, list[int]] = {}
+
+    def word(self, word: str) -> list[int]:
+        if not self.simple(word) or self.special(word):
+            return self.tokenizer.encode(word, add_special_tokens=False).ids
+        out: list[int] = []
+        for part in self.parts(word.lower()):
+            ids = self.known.get(part)
+            if ids is None:
+                if len(self.known) >= self.KNOWN:
+                    self.known.clear()
+                as_bytes = part if part.isascii() else part.encode().decode("latin-1").translate(self.characters)
+                ids = self.known[part] = [t.id for t in self.model.tokenize(as_bytes)]
+            out += ids
+        return out
 
     def ids(self, column: pa.Array) -> Iterator[np.ndarray]:
         data, offsets = text_bytes(column)
         starts, ends, rows = word_spans(data, offsets)
         _, where, which = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
         raw = data.tobytes()
-        words = [raw[a:b].decode() for a, b in zip(starts[where].tolist(), ends[where].tolist())]
-        lists = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        sizes = np.array([len(x) for x in lists], np.int64)
-        flat = np.fromiter((i for x in lists for i in x), np.uint32, int(sizes.sum()))
+        flat, sizes = array.array("I"), np.zeros(len(where), np.int64)
+        for i, (a, b) in enumerate(zip(starts[where].tolist(), ends[where].tolist())):
+            ids = self.word(raw[a:b].decode())
+            flat.extend(ids)
+            sizes[i] = len(ids)
+        flat = np.frombuffer(flat, np.uint32) if flat else np.zeros(0, np.uint32)
         firsts = np.cumsum(sizes) - sizes
         bounds = np.searchsorted(rows, np.arange(len(offsets)))
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
