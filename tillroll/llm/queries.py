@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.functions.sharing import scratch_path
-from tillroll.llm import archives, contamination, jaccard, naming, packing, secrets, toxicity
+from tillroll.llm import archives, contamination, jaccard, language, naming, packing, secrets, toxicity, viterbi
 from tillroll.llm.stages import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -25,6 +25,14 @@ def arc_to_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archives.archive_pages(table(spark, sf_dir, "pages"), scratch_path(spark, "archives"))
 
 
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return viterbi.token_counts(table(spark, sf_dir, "documents"))
+
+
 def secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_documents(table(spark, sf_dir, "documents"), scratch_path(spark, "ledger"))
 
@@ -50,10 +58,12 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_ngram_jaccard": ngram_jaccard,
     "op2_warc": arc_to_warc,
+    "op3_language_id": language_id,
     "op4_decontamination": decontamination,
     "op5_toxicity": toxic,
     "op6_secret_ledger": secret_ledger,
     "op7_packing": cost_packing,
+    "op8_token_counts": token_counts,
     "op10_exact_dedup": exact_dedup,
     "pipeline": pipeline,
 }
