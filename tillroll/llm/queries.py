@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tillroll.functions.sharing import scratch_path
-from tillroll.llm import archives, contamination, jaccard, language, naming, packing, secrets, toxicity, viterbi
+from tillroll.llm import archives, backoff, contamination, jaccard, language, naming, packing, secrets, toxicity, viterbi
 from tillroll.llm.stages import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +34,11 @@ def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return viterbi.token_counts(table(spark, sf_dir, "documents"))
 
 
+def lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = backoff.score_documents(table(spark, sf_dir, "documents"))
+    return scored.withColumn("score", F.round("score", 6))
+
+
 def secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_documents(table(spark, sf_dir, "documents"), scratch_path(spark, "ledger"))
 
@@ -64,11 +70,48 @@ QUERIES: dict[str, Query] = {
     "op6_secret_ledger": secret_ledger,
     "op7_packing": cost_packing,
     "op8_token_counts": token_counts,
+    "op9_lm_scoring": lm_scores,
     "op10_exact_dedup": exact_dedup,
     "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {
+    "op9_lm_scoring": """
+        WITH listed AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^ \\t\\n\\v\\f\\r]+') AS words
+            FROM documents
+        ), placed AS (
+            SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place FROM listed
+        ), pairs AS (
+            SELECT *, lag(word) OVER (PARTITION BY doc_id ORDER BY place) AS before FROM placed
+        ), ones AS (
+            SELECT doc_id, word, count(*) AS own FROM pairs GROUP BY ALL
+        ), one_left AS (
+            SELECT doc_id, word, sum(own) OVER (PARTITION BY word) - own AS n FROM ones
+        ), twos AS (
+            SELECT doc_id, before, word, count(*) AS own FROM pairs WHERE before IS NOT NULL GROUP BY ALL
+        ), two_left AS (
+            SELECT doc_id, before, word, sum(own) OVER (PARTITION BY before, word) - own AS n FROM twos
+        ), sizes AS (
+            SELECT doc_id, len(words) AS n_words, sum(len(words)) OVER () - len(words) AS others FROM listed
+        ), scored AS (
+            SELECT p.doc_id,
+                   CASE WHEN t.n > 0 THEN ln(t.n / c.n)
+                        ELSE ln(CASE WHEN p.before IS NULL THEN 1 ELSE 0.4 END)
+                             + CASE WHEN w.n > 0 THEN ln(w.n / s.others) ELSE ln(0.4 / s.others) END
+                   END AS score
+            FROM pairs p
+            JOIN sizes s ON s.doc_id = p.doc_id
+            JOIN one_left w ON w.doc_id = p.doc_id AND w.word = p.word
+            LEFT JOIN one_left c ON c.doc_id = p.doc_id AND c.word = p.before
+            LEFT JOIN two_left t ON t.doc_id = p.doc_id AND t.before = p.before AND t.word = p.word
+        ), means AS (
+            SELECT doc_id, round(avg(score), 6) AS score FROM scored GROUP BY doc_id
+        )
+        SELECT s.doc_id, s.n_words, m.score FROM sizes s LEFT JOIN means m USING (doc_id)
+    """,
     "op10_exact_dedup": """
         SELECT doc_id,
                max(doc_id) OVER same AS keep_id,
