@@ -174,15 +174,15 @@ def test_network(spark):
         ],
         "antecedents array<string>, consequents array<string>, lift double",
     )
-    edges = by(b.association_edges(rules), "source", "target")
+    edges = by(b.association_edges(rules, directed=True), "source", "target")
     assert len(edges) == 4 and edges["a", "b"]["title"] == "Lift: 2.35"
-    assert set(by(b.association_edges(rules, directed=False), "source", "target")) == {
+    assert set(by(b.association_edges(rules), "source", "target")) == {
         ("a", "b"), ("b", "c"), ("c", "d"),
     }
-    nodes = by(b.association_nodes(rules), "item")
+    nodes = by(b.association_nodes(rules, directed=True), "item")
     # In rule order a -> b comes first, so b enters as a target.
     assert {k: n["color"] for k, n in nodes.items()} == {"a": "blue", "b": "red", "c": "red", "d": "red"}
     assert {k: n["degree"] for k, n in nodes.items()} == {"a": 2, "b": 3, "c": 2, "d": 1}
-    assert {k: n["degree"] for k, n in by(b.association_nodes(rules, False), "item").items()} == {
+    assert {k: n["degree"] for k, n in by(b.association_nodes(rules), "item").items()} == {
         "a": 1, "b": 2, "c": 2, "d": 1,
     }

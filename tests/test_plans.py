@@ -5,10 +5,10 @@ import os
 
 import pytest
 
-import __spark_entry__ as driver
 from conftest import LINE_SCHEMA
 from tillroll.operators import baskets, customers, growth, products
 from tillroll.operators.cleaning import add_sales_amounts
+from tillroll.plans.catalog import all_queries
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -38,10 +38,10 @@ def stored(spark, tmp_path):
 
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
 @pytest.mark.parametrize(
-    "name", [n for n in driver.queries() if not n.startswith(("load_", "write_", "daily_"))]
+    "name", [n for n in all_queries() if not n.startswith(("load_", "write_", "daily_"))]
 )
 def test_no_cross_join_and_no_python(spark, name):
-    text = plan(driver.queries()[name](spark, SF_DIR))
+    text = plan(all_queries()[name](spark, SF_DIR))
     for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "Pandas", "MapInArrow"):
         assert word not in text
 

@@ -251,11 +251,9 @@ def _ends(rules: DataFrame) -> DataFrame:
     )
 
 
-def association_edges(rules: DataFrame, directed: bool = True) -> DataFrame:
-    """``source, target, lift, title``, one edge per rule.
-
-    With ``directed=False`` the two directions of a pair are one edge, the first in
-    rule order, as an undirected drawing keeps them.
+def association_edges(rules: DataFrame, directed: bool = False) -> DataFrame:
+    """``source, target, lift, title``: the two directions of a pair are one edge, the
+    first in rule order. With ``directed=True`` every rule is an edge.
     """
     ends = _ends(rules)
     if not directed:
@@ -271,7 +269,7 @@ def association_edges(rules: DataFrame, directed: bool = True) -> DataFrame:
     )
 
 
-def association_nodes(rules: DataFrame, directed: bool = True) -> DataFrame:
+def association_nodes(rules: DataFrame, directed: bool = False) -> DataFrame:
     """``item, color, degree``: blue if the item came first as a source in rule order,
     else red; the degree counts the edges that touch it."""
     role = F.explode(

@@ -35,7 +35,7 @@ def order_date_expr(value: str | Column, mode: str = "month_first_fallback") ->
     if mode == "epoch_ms":
         # Whole UTC days, whatever the session time zone is.
         days = F.floor(value.try_cast("double") / F.lit(86_400_000.0))
-        return F.date_from_unix_date(days.cast("int"))
+        return F.date_from_unix_date(days.try_cast("int"))
     if mode not in DATE_STYLES:
         raise ValueError(f"unknown date mode {mode!r}; one of {', '.join(DATE_MODES)}")
     # A failing cast gives null; a failing date pattern would throw inside, per row.
@@ -69,8 +69,12 @@ def number_expr(value: str | Column, type_name: str) -> Column:
     """Text as a number, null when it is not one. A whole type takes ``3.0`` too."""
     value = F.col(value) if isinstance(value, str) else value
     if type_name == "int":
-        exact = value.try_cast("decimal(18,4)")
-        return F.when(exact == F.floor(exact), exact.try_cast("int"))
+        # Judged as written: rounding first would take 3.00001 for 3.
+        text, exact = value.cast("string"), value.try_cast("decimal(38,18)")
+        whole = F.regexp_extract(text, r"^\s*([+-]?[0-9]+)(?:\.0*)?\s*$", 1)
+        return F.when(whole != "", whole.try_cast("int")).when(
+            text.rlike("[eE]") & (exact == F.floor(exact)), exact.try_cast("int")
+        )
     return value.try_cast(type_name)
 
 

@@ -134,7 +134,10 @@ def _parsed(mode: str) -> Query:
         if mode == "epoch_ms":
             for c in ("order_date", "ship_date"):
                 days = F.unix_date(cleaning.order_date_expr(c)).cast("bigint")
-                raw = raw.withColumn(c, (days * 86_400_000).cast("string"))
+                millis = (days * 86_400_000).cast("string")
+                if c == "ship_date":  # a number that no date reaches
+                    millis = F.when(F.col("order_id").cast("bigint") % 97 == 0, "9" * 20).otherwise(millis)
+                raw = raw.withColumn(c, millis)
         parsed = raw.select(
             "order_id",
             "product_name",
@@ -277,6 +280,12 @@ def _queries() -> dict[str, Query]:
     q["association_edges_undirected"] = lambda s, d: baskets.association_edges(
         _pair_rules(s, d), directed=False
     )
+    q["association_edges_directed"] = lambda s, d: baskets.association_edges(
+        _pair_rules(s, d), directed=True
+    )
+    q["association_nodes_directed"] = lambda s, d: baskets.association_nodes(
+        _pair_rules(s, d), directed=True
+    )
     q["association_nodes"] = lambda s, d: baskets.association_nodes(_pair_rules(s, d))
     q["association_nodes_undirected"] = lambda s, d: baskets.association_nodes(
         _pair_rules(s, d), directed=False

@@ -39,7 +39,10 @@ def _raw_column(c: str) -> str:
     elif c == "unit_price":
         text = "CASE WHEN product_container = '7' THEN 'n/a' ELSE CAST(unit_price AS VARCHAR) END"
     elif c == "quantity":
-        text = "CASE WHEN quantity <> 13 THEN CAST(quantity AS VARCHAR) END"
+        text = (
+            "CASE WHEN quantity <> 13 THEN CAST(quantity AS VARCHAR)"
+            " || CASE WHEN product_container = '11' THEN '.00001' ELSE '' END END"
+        )
     else:
         text = f"CAST({c} AS VARCHAR)"
     return f"{text} AS {c}"
@@ -64,6 +67,8 @@ def _text(date: str) -> str:
 
 
 ALL_TEXT = ", ".join(ORDER_COLUMNS)
+# A whole number as it is written, with nothing but zeros behind the point.
+WHOLE = r"CASE WHEN regexp_full_match(quantity, '[0-9]+([.]0*)?') THEN TRY_CAST(quantity AS INTEGER) END"
 _PARSED_COLUMNS = ", ".join(
     f"{_month_first(c)} AS {c}" if c.endswith("_date") else c for c in ORDER_COLUMNS
 )
@@ -75,7 +80,7 @@ deduped AS (SELECT DISTINCT * FROM dated),
 typed AS (
   SELECT * REPLACE (TRY_CAST(unit_price AS DECIMAL(10,2)) AS unit_price,
                     TRY_CAST(shipping_cost AS DECIMAL(10,2)) AS shipping_cost,
-                    TRY_CAST(quantity AS INTEGER) AS quantity)
+                    {WHOLE} AS quantity)
   FROM deduped),
 clean AS (
   SELECT *, unit_price * quantity AS sales_amount,
@@ -115,14 +120,16 @@ FROM {source}""",
         "try_strptime(order_date, '%Y-%m-%d')",
         "try_strptime(ship_date, '%m/%d/%Y')",
     )
-    millis = ", ".join(
-        f"CAST(datediff('day', DATE '1970-01-01', {_month_first(c)}) * CAST(86400000 AS BIGINT) AS VARCHAR) AS {c}"
-        for c in ("order_date", "ship_date")
+    number = "CAST(datediff('day', DATE '1970-01-01', {}) * CAST(86400000 AS BIGINT) AS VARCHAR)"
+    shipped = number.format(_month_first("ship_date"))
+    millis = (
+        f"{number.format(_month_first('order_date'))} AS order_date,"
+        f" CASE WHEN CAST(order_id AS BIGINT) % 97 = 0 THEN '{'9' * 20}' ELSE {shipped} END AS ship_date"
     )
     o["parse_order_dates_epoch_ms"] = parsed(
         f"(SELECT * REPLACE ({millis}) FROM raw)",
         "make_timestamp(CAST(order_date AS BIGINT) * 1000)",
-        "make_timestamp(CAST(ship_date AS BIGINT) * 1000)",
+        "make_timestamp(TRY_CAST(ship_date AS BIGINT) * 1000)",
     )
     dated = ", ".join(f"{_text(c)} AS {c}" if c.endswith("_date") else c for c in ORDER_COLUMNS)
     o["dedupe_orders"] = _with(CLEAN, f"SELECT {dated} FROM deduped")
@@ -131,8 +138,8 @@ FROM {source}""",
         """
 SELECT order_id, product_name, CAST(TRY_CAST(unit_price AS DECIMAL(10,2)) AS DOUBLE) AS unit_price,
        CAST(TRY_CAST(shipping_cost AS DECIMAL(10,2)) AS DOUBLE) AS shipping_cost,
-       TRY_CAST(quantity AS BIGINT) AS quantity
-FROM raw""",
+       CAST(_WHOLE_ AS BIGINT) AS quantity
+FROM raw""".replace("_WHOLE_", WHOLE),
     )
     o["add_sales_amounts"] = _with(
         LINES,
@@ -178,8 +185,12 @@ FROM lines""",
         for c in ("order_date", "ship_date")
     ]
     checks += [
-        f"SELECT 'failed_numbers', '{c}', (SELECT count(*) FROM raw WHERE {c} <> '' AND TRY_CAST({c} AS DECIMAL(10,2)) IS NULL)"
-        for c in ("unit_price", "shipping_cost", "quantity")
+        f"SELECT 'failed_numbers', '{c}', (SELECT count(*) FROM raw WHERE {c} <> '' AND {read} IS NULL)"
+        for c, read in (
+            ("unit_price", "TRY_CAST(unit_price AS DECIMAL(10,2))"),
+            ("shipping_cost", "TRY_CAST(shipping_cost AS DECIMAL(10,2))"),
+            ("quantity", WHOLE),
+        )
     ]
     checks += [
         f"SELECT 'non_null', '{c}', (SELECT count({c}) FROM clean)"
@@ -202,11 +213,10 @@ FROM lines""",
     o["profile_text"] = _with(
         RAW,
         "\nUNION ALL\n".join(
-            f"(SELECT '{c}' AS \"column\", CAST(sum(n) OVER () AS BIGINT) AS count, count(*) OVER () AS \"unique\", value AS top, n AS freq"
+            f"SELECT '{c}' AS \"column\", CAST(coalesce(sum(n), 0) AS BIGINT) AS count, count(*) AS \"unique\","
+            f" first(value ORDER BY n DESC, value) AS top, max(n) AS freq"
             f" FROM (SELECT {c} AS value, count(*) AS n FROM raw WHERE {c} IS NOT NULL GROUP BY {c})"
-            f" ORDER BY n DESC, value LIMIT 1)"
             for c in ORDER_COLUMNS
-            if c != "city"
         ),
     )
     return o
@@ -233,16 +243,16 @@ trend AS (
 )
 
 
-def _existing(year: int | None) -> str:
-    at = "(SELECT max(y) FROM lines)" if year is None else str(year)
+def _since(year: int | None) -> str:
+    """Each line with the first year of its product and of its customer, and the year asked for."""
+    at = "max(y) OVER ()" if year is None else f"CAST({year} AS BIGINT)"
     return (
         LINES
         + f""",
-p AS (SELECT CAST({at} AS BIGINT) AS this_y),
-existing_products AS (
-  SELECT product_name FROM lines GROUP BY product_name HAVING min(y) < (SELECT this_y FROM p)),
-existing_customers AS (
-  SELECT customer_id FROM lines GROUP BY customer_id HAVING min(y) < (SELECT this_y FROM p))"""
+since AS (
+  SELECT *, {at} AS asked, min(y) OVER (PARTITION BY product_name) AS product_since,
+         min(y) OVER (PARTITION BY customer_id) AS customer_since
+  FROM lines)"""
     )
 
 
@@ -274,81 +284,74 @@ SELECT year, round(yoy_pct, 6) AS yoy_pct, round(prev_yoy_pct, 6) AS prev_yoy_pc
 FROM (SELECT *, lag(yoy_pct) OVER (ORDER BY year) AS prev_yoy_pct FROM growth), trend""",
     )
     for suffix, year in (("", None), ("_1996", 1996), ("_2001", 2001)):
-        base = _existing(year)
-        for what, key in (("product", "product_name"), ("customer", "customer_id")):
+        base = _since(year)
+        for what in ("product", "customer"):
+            sales = f"CAST(sum(sales_amount) FILTER (WHERE {what}_since < asked AND y = {{}}) AS DOUBLE)"
             o[f"existing_{what}_growth{suffix}"] = _with(
-                base
-                + f""",
-kept AS (SELECT l.* FROM lines l JOIN existing_{what}s e ON l.{key} = e.{key}),
-sums AS (
-  SELECT (SELECT CAST(sum(sales_amount) AS DOUBLE) FROM kept, p WHERE y = this_y) AS now,
-         (SELECT CAST(sum(sales_amount) AS DOUBLE) FROM kept, p WHERE y = this_y - 1) AS before)""",
+                base + f", sums AS (SELECT {sales.format('asked')} AS now, {sales.format('asked - 1')} AS before FROM since)",
                 f"""
 SELECT round(now, 6) AS total_sales_excluding_new_{what}s,
        round((now / nullif(before, 0) - 1) * 100, 6) AS yoy_pct
 FROM sums""",
             )
-        demand = (
-            base
-            + """,
-demand AS (
-  SELECT l.customer_id, y AS order_year, CAST(sum(quantity) AS BIGINT) AS total_quantity,
-         CAST(sum(CASE WHEN e.product_name IS NOT NULL THEN quantity ELSE 0 END) AS BIGINT) AS old_product_quantity,
-         CAST(sum(CASE WHEN e.product_name IS NULL THEN quantity ELSE 0 END) AS BIGINT) AS new_product_quantity
-  FROM lines l LEFT JOIN existing_products e ON l.product_name = e.product_name
-  JOIN existing_customers c ON l.customer_id = c.customer_id
-  GROUP BY l.customer_id, y)"""
-        )
-        o[f"customer_demand{suffix}"] = _with(demand, "SELECT * FROM demand")
 
-        def demand_growth(total: str, old: str) -> str:
+        def quantity(*conditions: str) -> str:
+            return f"CAST(coalesce(sum(quantity) FILTER (WHERE {' AND '.join(conditions)}), 0) AS BIGINT)"
+
+        o[f"customer_demand{suffix}"] = _with(
+            base,
+            f"""
+SELECT customer_id, y AS order_year, CAST(sum(quantity) AS BIGINT) AS total_quantity,
+       {quantity('product_since < asked')} AS old_product_quantity,
+       {quantity('product_since >= asked')} AS new_product_quantity
+FROM since WHERE customer_since < asked GROUP BY customer_id, y""",
+        )
+        both_years = base + f""",
+spent AS (
+  SELECT customer_id, any_value(asked) AS asked,
+         {quantity('y = asked - 1')} AS all_before, {quantity('y = asked')} AS all_now,
+         {quantity('y = asked - 1', 'product_since < asked')} AS old_before,
+         {quantity('y = asked', 'product_since < asked')} AS old_now
+  FROM since GROUP BY customer_id
+  HAVING bool_or(y = asked - 1) AND bool_or(y = asked))"""
+
+        def demand_growth(growth: str) -> str:
             return _with(
-                demand,
+                both_years,
                 f"""
-SELECT a.customer_id, a.order_year AS last_year, a.total_quantity AS last_year_quantity,
-       b.order_year AS this_year, b.total_quantity AS this_year_quantity,
-       {total} AS total_quantity_growth,
-       a.old_product_quantity AS quantity_old_products_last_year,
-       b.old_product_quantity AS quantity_old_products_this_year,
-       {old} AS old_product_growth
-FROM demand a JOIN demand b ON a.customer_id = b.customer_id, p
-WHERE a.order_year = this_y - 1 AND b.order_year = this_y""",
+SELECT customer_id, asked - 1 AS last_year, all_before AS last_year_quantity,
+       asked AS this_year, all_now AS this_year_quantity,
+       {growth.format('CAST(all_now - all_before AS DOUBLE) / nullif(all_before, 0)')} AS total_quantity_growth,
+       old_before AS quantity_old_products_last_year, old_now AS quantity_old_products_this_year,
+       {growth.format('CAST(old_now - old_before AS DOUBLE) / nullif(old_before, 0)')} AS old_product_growth
+FROM spent""",
             )
 
-        def quotient(c: str) -> str:
-            return f"CAST(b.{c} - a.{c} AS DOUBLE) / nullif(a.{c}, 0)"
-
-        o[f"customer_demand_growth{suffix}"] = demand_growth(
-            f"round({quotient('total_quantity')} * 100, 6)",
-            f"round({quotient('old_product_quantity')} * 100, 6)",
-        )
+        o[f"customer_demand_growth{suffix}"] = demand_growth("round({} * 100, 6)")
         if year == 1996:
-            o["customer_demand_growth_integer_1996"] = demand_growth(
-                f"CAST(trunc({quotient('total_quantity')}) AS BIGINT) * 100",
-                f"CAST(trunc({quotient('old_product_quantity')}) AS BIGINT) * 100",
-            )
+            o["customer_demand_growth_integer_1996"] = demand_growth("CAST(trunc({}) AS BIGINT) * 100")
         o[f"existing_customer_sales_growth{suffix}"] = _with(
             base
             + """,
-sales AS (
-  SELECT l.customer_id, y, CAST(sum(sales_amount) AS DOUBLE) AS total
-  FROM lines l JOIN existing_customers c ON l.customer_id = c.customer_id
-  GROUP BY l.customer_id, y)""",
+spent AS (
+  SELECT customer_id, CAST(sum(sales_amount) FILTER (WHERE y = asked - 1) AS DOUBLE) AS before,
+         CAST(sum(sales_amount) FILTER (WHERE y = asked) AS DOUBLE) AS now
+  FROM since GROUP BY customer_id
+  HAVING bool_or(y = asked - 1) AND bool_or(y = asked))""",
             """
-SELECT a.customer_id, round(a.total, 6) AS last_year_sales, round(b.total, 6) AS this_year_sales,
-       round((b.total - a.total) / nullif(a.total, 0) * 100, 6) AS sales_growth
-FROM sales a JOIN sales b ON a.customer_id = b.customer_id, p
-WHERE a.y = this_y - 1 AND b.y = this_y""",
+SELECT customer_id, round(before, 6) AS last_year_sales, round(now, 6) AS this_year_sales,
+       round((now - before) / nullif(before, 0) * 100, 6) AS sales_growth
+FROM spent""",
         )
         o[f"revenue_by_cohort{suffix}"] = _with(
             base
             + """,
 marked AS (
-  SELECT CASE WHEN customer_id IN (SELECT customer_id FROM existing_customers) THEN 'existing' ELSE 'new' END AS cc,
-         CASE WHEN product_name IN (SELECT product_name FROM existing_products) THEN 'old' ELSE 'new' END AS pc,
-         CASE WHEN y = this_y - 1 THEN sales_amount ELSE 0 END AS before,
-         CASE WHEN y = this_y THEN sales_amount ELSE 0 END AS now
-  FROM lines, p WHERE y IN (this_y - 1, this_y)),
+  SELECT CASE WHEN customer_since < asked THEN 'existing' ELSE 'new' END AS cc,
+         CASE WHEN product_since < asked THEN 'old' ELSE 'new' END AS pc,
+         CASE WHEN y = asked - 1 THEN sales_amount ELSE 0 END AS before,
+         CASE WHEN y = asked THEN sales_amount ELSE 0 END AS now
+  FROM since WHERE y IN (asked - 1, asked)),
 cells AS (
   SELECT coalesce(cc, 'all') AS customer_cohort, coalesce(pc, 'all') AS product_cohort,
          sum(before) AS before, sum(now) AS now
@@ -669,7 +672,7 @@ counted AS (
             _rules_cte(LONG_MIN_SUPPORT, 3, "confidence", 0.2), f"SELECT {_RULE_COLUMNS}\nFROM rules"
         ),
     }
-    for suffix, edges in (("", "placed"), ("_undirected", "undirected")):
+    for suffix, edges in (("", "undirected"), ("_undirected", "undirected"), ("_directed", "placed")):
         o[f"association_edges{suffix}"] = _with(
             pairs,
             f"SELECT source, target, round(lift, 6) AS lift, format('Lift: {{:.2f}}', lift) AS title FROM {edges}",

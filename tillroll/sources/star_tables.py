@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tillroll.operators.cleaning import add_sales_amounts
 from tillroll.schema import ORDER_COLUMNS, RAW_HEADERS
@@ -40,27 +39,8 @@ _ORDER_SIDE = (
 _AMOUNTS = ("sales_amount", "sales_amount_with_shipping")
 
 
-# What a first read has found out about a path: its schema, and in how many splits it
-# comes. Saves a footer-reading job on every later read.
-_schemas: dict[str, T.StructType] = {}
-_splits: dict[str, int] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _schemas:
-        _schemas[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[path]).parquet(path)
-
-
-def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A table; dealt out by key if it comes in fewer splits than there are cores, such
-    as one small file. A large table has many splits and stays as it is, unshuffled."""
-    df = table(spark, sf_dir, name)
-    path, cores = f"{sf_dir}/{name}.parquet", spark.sparkContext.defaultParallelism
-    if path not in _splits:
-        _splits[path] = df.rdd.getNumPartitions()
-    return df if _splits[path] >= cores else df.repartition(cores, key)
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def sales_lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -75,7 +55,7 @@ def sales_lines(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
         base += [c for c in ("unit_price", "quantity", "shipping_cost") if c not in base]
 
     needed = {_LINE[c][0] for c in base}
-    lines = spread_table(spark, sf_dir, "lineitem", "l_orderkey")
+    lines = table(spark, sf_dir, "lineitem")
     if "part" in needed:
         part = table(spark, sf_dir, "part")
         lines = lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
@@ -109,7 +89,8 @@ def raw_order_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     text["order_date"] = _raw_date("order_date")
     text["ship_date"] = _raw_date("ship_date")
     text["unit_price"] = F.when(F.col("product_container") == "7", F.lit("n/a")).otherwise(text["unit_price"])
-    text["quantity"] = F.when(F.col("quantity") != 13, text["quantity"])
+    odd = F.when(F.col("product_container") == "11", F.concat(text["quantity"], F.lit(".00001"))).otherwise(text["quantity"])
+    text["quantity"] = F.when(F.col("quantity") != 13, odd)
     headers = ["Quantity " if h == "Quantity" else h for h in RAW_HEADERS]
     copies = F.when(F.col("ship_mode") == "R", F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
     return lines.select(
