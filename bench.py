@@ -25,10 +25,13 @@ HEADLINE = (
     "profile_text",
     "yearly_sales_growth",
     "sales_cagr",
+    "existing_product_growth",
     "existing_product_growth_2001",
     "existing_customer_growth_2001",
+    "customer_demand",
     "customer_demand_2001",
     "customer_demand_growth_2001",
+    "existing_customer_sales_growth",
     "existing_customer_sales_growth_2001",
     "revenue_by_cohort_2001",
     "customer_metrics",

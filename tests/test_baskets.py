@@ -75,17 +75,6 @@ def test_itemsets_match_brute_force(spark, orders, min_support):
         )
 
 
-@settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
-@given(orders_strategy, st.sampled_from([0.1, 1 / 3, 0.5, 0.9]))
-def test_huge_baskets_match_brute_force(spark, monkeypatch, orders, min_support):
-    monkeypatch.setattr(b, "HUGE_BASKET", 2)
-    frame = basket_frame(spark, orders)
-    for max_len in (2, 3, None):
-        assert found(b.frequent_itemsets(frame, min_support, max_len)) == brute_force(
-            orders, min_support, max_len
-        )
-
-
 def test_orders_without_frequent_items_count_in_the_support(spark):
     orders = ["ab", "ab", "cd", "ef", "gh"]
     for max_len in (2, None):
@@ -95,10 +84,17 @@ def test_orders_without_frequent_items_count_in_the_support(spark):
         }
 
 
-@pytest.mark.parametrize("limit", [2, 50, 1000])
-def test_many_copies_and_one_huge_order(spark, monkeypatch, limit):
+def test_the_largest_orders_are_not_combined(spark):
+    """Two orders of the same 3,000 items, which one more order each makes frequent, in pairs."""
+    items = [f"i{k:04d}" for k in range(3_000)]
+    orders = [items, items] + [items[k : k + 2] for k in range(0, len(items), 2)]
+    frame = basket_frame(spark, orders)
+    sets = found(b.frequent_itemsets(frame, 3 / len(orders), 2))
+    assert sum(len(s) == 2 for s in sets) == 1_500 and set(sets.values()) == {3}
+
+
+def test_many_copies_and_one_huge_order(spark):
     """A third of the baskets alike, and an order with a third of all lines."""
-    monkeypatch.setattr(b, "HUGE_BASKET", limit)
     orders = ["abcdefgh"] * 20 + ["ab", "cd", "ef", "gh"] * 10
     orders.append([f"item{i}" for i in range(400)] + ["a", "b"])
     frame = basket_frame(spark, orders)
@@ -159,6 +155,17 @@ def by_pair(rules):
     return {(r["antecedents"][0], r["consequents"][0]): r.asDict() for r in rules.collect()}
 
 
+def test_rules_of_a_long_set(spark):
+    """A set of 33 items, of whose parts only the longest and the single ones are known."""
+    items = [f"i{k:02d}" for k in range(33)]
+    known = [(items, 0.5)] + [([i], 0.6) for i in items]
+    known += [([i for i in items if i != gone], 0.5 if gone < "i03" else 0.9) for gone in items]
+    sets = spark.createDataFrame(known, "items array<string>, support double")
+    rows = b.association_rules(sets, "confidence", 0.9).collect()
+    assert sorted(r["consequents"] for r in rows) == [["i00"], ["i01"], ["i02"]]
+    assert all(len(r["antecedents"]) == 32 and r["confidence"] == 1.0 for r in rows)
+
+
 def test_unknown_metric(spark):
     with pytest.raises(ValueError, match="unknown metric"):
         b.association_rules(b.frequent_itemsets(basket_frame(spark, ORDERS), 0.25, 2), "luck", 1)

@@ -9,6 +9,7 @@ from tillroll.operators import cleaning as c
 from tillroll.operators import profiling
 from tillroll.schema import ORDER_COLUMNS, RAW_HEADERS, snake_name
 from tillroll.sources.orders_files import load_orders, write_output
+from tillroll.sources.star_tables import table
 
 D = dt.date
 
@@ -224,3 +225,45 @@ def test_profile_text(spark):
     rows = by(profiling.profile_text(df), "column")
     assert rows["s"] == {"column": "s", "count": 4, "unique": 2, "top": "a", "freq": 2}
     assert rows["t"] == {"column": "t", "count": 2, "unique": 2, "top": "x", "freq": 1}
+
+
+def test_a_row_with_too_few_or_too_many_fields_raises_whatever_is_read(spark, tmp_path):
+    for extra in (-8, 2):
+        path = write_csv(tmp_path / f"orders{extra}.csv", order_row())
+        lines = open(path).read().splitlines()
+        fields = lines[1].split(",")
+        with open(path, "a") as file:
+            file.write(",".join(fields[:extra] if extra < 0 else [*fields, *fields[:extra]]) + "\n")
+        orders = load_orders(spark, path)
+        for read in (lambda: orders.collect(), lambda: orders.select("order_id", "quantity").collect(), lambda: orders.count()):
+            with pytest.raises(Exception, match="MALFORMED"):
+                read()
+
+
+def test_numbers_are_judged_as_written(spark):
+    texts = ["3", "3.0", "3.", " 3 ", "+3", "-3", "3e0", "3.00001", "2.5", "x", "", "99999999999", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(c.number_expr("t", "int")).collect()]
+    assert got == [3, 3, 3, 3, 3, -3, 3, None, None, None, None, None, None]
+
+
+def test_an_epoch_beyond_all_dates_is_null(spark):
+    df = spark.createDataFrame([("99999999999999999999",), ("0",)], "t string")
+    got = [r[0] for r in df.select(c.order_date_expr("t", "epoch_ms")).collect()]
+    assert got[0] is None and str(got[1]) == "1970-01-01"
+
+
+def test_profiles_have_a_row_for_every_column(spark):
+    df = spark.createDataFrame([(1.0, None, "a", None)], "x double, y double, s string, t string")
+    numbers = by(profiling.profile_numeric(df, ["x", "y"]), "column")
+    assert numbers["x"]["count"] == 1 and numbers["y"]["count"] == 0 and numbers["y"]["mean"] is None
+    for rows, count in ((df, 1), (df.limit(0), 0)):
+        texts = by(profiling.profile_text(rows), "column")
+        assert texts["s"]["count"] == count and texts["t"] == {"column": "t", "count": 0, "unique": 0, "top": None, "freq": None}
+
+
+def test_a_rewritten_table_is_read_as_it_is(spark, tmp_path):
+    spark.range(2).write.parquet(str(tmp_path / "part.parquet"))
+    assert table(spark, str(tmp_path), "part").columns == ["id"]
+    spark.range(3).selectExpr("id as other").write.mode("overwrite").parquet(str(tmp_path / "part.parquet"))
+    assert sorted(r.other for r in table(spark, str(tmp_path), "part").collect()) == [0, 1, 2]

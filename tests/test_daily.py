@@ -4,6 +4,7 @@ import pytest
 
 from conftest import by
 from test_cleaning import order_row, write_csv
+from tillroll.functions.sharing import share
 from tillroll.plans.daily import run_daily
 
 
@@ -25,7 +26,7 @@ def test_all_outputs_are_written(spark, tmp_path, fmt):
     out = str(tmp_path / "out")
     summary = by(run_daily(spark, order_file(tmp_path), out, as_of_year=2013, fmt=fmt), "output")
     assert {k: r["rows"] for k, r in summary.items() if k != "risk_budget"} == {
-        "cleaned_data": 30, "customer_metrics": 7, "boston_matrix": 4,
+        "cleaned_data": 30, "quality_report": 29, "customer_metrics": 7, "boston_matrix": 4,
     }
     for name, row in summary.items():
         assert glob.glob(f"{out}/{name}/*.{fmt}")
@@ -41,6 +42,33 @@ def test_a_second_run_replaces_the_first(spark, tmp_path):
     assert summary["cleaned_data"]["rows"] == 30
 
 
+def test_a_failed_run_leaves_the_old_outputs(spark, tmp_path):
+    path, out = order_file(tmp_path), tmp_path / "out"
+    run_daily(spark, path, str(out))
+    before = {p.name: sorted(f.name for f in p.iterdir()) for p in out.iterdir()}
+    with pytest.raises(Exception, match="label"):
+        run_daily(spark, path, str(out), risk_label_names=("one",))
+    assert {p.name: sorted(f.name for f in p.iterdir()) for p in out.iterdir()} == before
+
+
+def test_file_order_decides_what_comes_first(spark, tmp_path):
+    rows = [
+        order_row(customer_id="c", order_id="1", order_date=f"{day}/1/2013", unit_price=price, quantity="1")
+        for day, price in ((5, "50"), (3, "30"))
+    ]
+    path, out = write_csv(tmp_path / "orders.csv", *rows), str(tmp_path / "out")
+    for file_order, first in ((True, 50.0), (False, 30.0)):
+        run_daily(spark, path, out, file_order=file_order)
+        assert [r.first_order_revenue for r in spark.read.parquet(f"{out}/customer_metrics").collect()] == [first]
+        assert "file_order" not in spark.read.parquet(f"{out}/cleaned_data").columns
+
+
+def test_frames_of_others_stay_shared(spark, tmp_path):
+    mine = share(spark.range(3))
+    run_daily(spark, order_file(tmp_path), str(tmp_path / "out"))
+    assert mine.storageLevel.useMemory
+
+
 def test_failure_is_not_hidden(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         run_daily(spark, str(tmp_path / "none.csv"), str(tmp_path / "out"))

@@ -92,7 +92,29 @@ def test_pair_counts_are_partial_before_the_shuffle(stored):
     sets = baskets.frequent_itemsets(
         baskets.order_baskets(stored, "customer_segment", "Corporate"), 0.1, 2
     )
-    # Upwards from the explode: a projection at most, then the map-side sum.
+    # Upwards from the join of an order's items: a projection at most, then the map-side count.
     lines = plan(sets).splitlines()
-    at = next(i for i, line in enumerate(lines) if "Generate explode(rest" in line)
-    assert any("partial_sum" in line for line in lines[at - 2 : at])
+    at = next(i for i, line in enumerate(lines) if "Join [order_id" in line and "last" in line)
+    assert any("partial_count" in line for line in lines[at - 2 : at])
+
+
+@pytest.mark.parametrize(
+    "operator, passes",
+    [
+        (growth.existing_product_growth, 1),
+        (growth.existing_customer_growth, 1),
+        (growth.existing_customer_sales_growth, 1),
+        # One to date the products (and customers), one over the lines.
+        (growth.customer_demand, 2),
+        (growth.customer_demand_growth, 2),
+        (growth.revenue_by_cohort, 3),
+    ],
+)
+def test_the_default_year_costs_no_pass(spark, stored, operator, passes, tmp_path):
+    """Counts the rows that all scans give, cached results included."""
+    spark.sparkContext.setJobGroup("passes", "passes")
+    df = operator(stored)
+    text = plan(df)
+    cached = {line.strip() for line in text.splitlines() if "FileScan" in line}
+    df.collect()
+    assert len(cached) <= passes

@@ -79,9 +79,6 @@ def resolve_year(orders: DataFrame, as_of_year: int | None, date: str = "order_d
     return orders.agg(F.year(F.max(date)).alias("as_of_year")).scalar()
 
 
-def year_start(year: Column, as_of_year: int | None, offset: int = 0) -> Column:
-    """1 January of ``year + offset``. A literal date when the year is given, so a
-    filter on it reaches the file scan."""
-    if as_of_year is not None:
-        return F.lit(f"{int(as_of_year) + offset:04d}-01-01").cast("date")
-    return F.make_date(year + offset, F.lit(1), F.lit(1))
+def year_start(year: int) -> Column:
+    """1 January as a literal, so a filter on it reaches the file scan."""
+    return F.lit(f"{int(year):04d}-01-01").cast("date")

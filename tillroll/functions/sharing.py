@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
-_shared: list[DataFrame] = []
+_shared: ContextVar[list[DataFrame]] = ContextVar("shared", default=[])  # noqa: B039
 
 
 def share(df: DataFrame) -> DataFrame:
@@ -19,14 +22,26 @@ def share(df: DataFrame) -> DataFrame:
     or a filter, never for the raw order lines.
     """
     kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    _shared.append(kept)
+    _shared.get().append(kept)
     return kept
 
 
 def release_shared() -> None:
-    """Drop every shared frame. Call it when the results have been written."""
-    while _shared:
-        _shared.pop().unpersist()
+    """Drop the shared frames of this scope. Call it when the results have been written."""
+    frames = _shared.get()
+    while frames:
+        frames.pop().unpersist()
+
+
+@contextmanager
+def shared_scope() -> Iterator[None]:
+    """Frames shared inside are dropped at the end; those of other callers stay."""
+    token = _shared.set([])
+    try:
+        yield
+    finally:
+        release_shared()
+        _shared.reset(token)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -8,9 +8,6 @@ from pyspark.sql import functions as F
 from tillroll.functions.expressions import ratio
 from tillroll.functions.sharing import cut_lineage, share
 
-# Up to this many frequent items, an order's items are combined with each other.
-HUGE_BASKET = 1_000
-
 RULE_METRICS = ("support", "confidence", "lift", "leverage", "conviction")
 
 
@@ -30,8 +27,8 @@ def order_baskets(
 
 
 def basket_arrays(baskets: DataFrame) -> DataFrame:
-    """``order_id, items[]`` sorted. For frequent items or ordinary orders: the array
-    of one order must fit in a row."""
+    """``order_id, items[]`` sorted: for showing baskets. An order's array has to fit in a
+    row, so no other operator uses it."""
     return baskets.groupBy("order_id").agg(F.array_sort(F.collect_list("item")).alias("items"))
 
 
@@ -42,116 +39,83 @@ def frequent_itemsets(
     to ``max_len`` items or any number.
 
     ``baskets`` is ``order_id, item``. Items below the support cannot be part of a
-    frequent set, so they are dropped first. Sets then grow item by item, within each
-    ordinary basket; the few huge ones are only searched for sets that the ordinary
-    ones leave possible, so their items are never combined.
+    frequent set, so they are dropped first. If a frequent set needs n orders, it is in
+    one that is not among the n - 1 largest: only the others name sets, level by level,
+    and the largest ones are searched for the sets named. So the longest orders, which
+    would make the most combinations, are never combined with themselves.
     """
     if not 0 < min_support <= 1:
         raise ValueError("min_support must be above 0 and at most 1")
     baskets = share(baskets)
-    sizes = baskets.groupBy("order_id").agg(F.count(F.lit(1)).alias("size"))
-    # Two numbers come to the driver: with no huge order, the plan can be a simple one.
-    total, largest = sizes.agg(F.count(F.lit(1)), F.max("size")).first()
-    total = F.lit(total)
-    singles = baskets.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where(
-        ratio(F.col("n"), total) >= min_support
-    )
+    total = baskets.agg(F.count_distinct("order_id")).first()[0]
+    needed = max(1, int(min_support * total) - 1)
+    while total and needed / total < min_support:
+        needed += 1
+    singles = baskets.groupBy("item").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= needed)
     found = singles.select(F.array("item").alias("items"), "n")
     if max_len is None or max_len > 1:
-        kept = baskets.join(singles.select("item"), "item", "left_semi")
-        if (largest or 0) <= HUGE_BASKET:
-            longer = _grow(basket_arrays(kept), min_support, total, max_len)
-        else:
-            kept = share(kept)
-            huge = _huge_orders(kept, min_support, total)
-            longer = _grow(
-                basket_arrays(kept.join(huge, "order_id", "left_anti")),
-                min_support,
-                total,
-                max_len,
-                in_huge=share(kept.join(huge, "order_id", "left_semi")),
-            )
-        found = found.unionByName(longer)
-    return found.withColumn("support", ratio(F.col("n"), total))
+        kept = share(baskets.join(singles.select("item"), "item", "left_semi"))
+        found = found.unionByName(_grow(kept, needed, max_len))
+    return found.withColumn("support", ratio(F.col("n"), F.lit(total)))
 
 
-def _huge_orders(kept: DataFrame, min_support: float, total: Column) -> DataFrame:
-    """Orders of more than ``HUGE_BASKET`` items, the largest ones, fewer than half as
-    many as a frequent set needs. A set found in no other order is then not frequent."""
-    large = (
-        kept.groupBy("order_id").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > HUGE_BASKET)
-    )
-    # Distinct sizes beyond the limit, from the top: few, as they add up to the rows.
-    sizes = large.groupBy("size").agg(F.count(F.lit(1)).alias("n"))
+def _largest_orders(kept: DataFrame, most: int) -> DataFrame:
+    """The largest orders, ``most`` of them at most: all from some size on."""
+    sizes = kept.groupBy("order_id").agg(F.count(F.lit(1)).alias("size"))
+    # Distinct sizes, from the top: few, as they add up to the rows.
+    counts = sizes.groupBy("size").agg(F.count(F.lit(1)).alias("n"))
     from_top = F.sum("n").over(Window.orderBy(F.desc("size")))
     smallest = (
-        sizes.withColumn("from_top", from_top)
-        .where(F.col("from_top") <= F.floor(total * F.lit(min_support / 2)))
+        counts.withColumn("from_top", from_top)
+        .where(F.col("from_top") <= most)
         .agg(F.min("size").alias("smallest"))
         .scalar()
     )
-    return share(large.where(F.col("size") >= smallest).select("order_id"))
+    return share(sizes.where(F.col("size") >= smallest).select("order_id"))
 
 
-def _after(array: str, position: str) -> Column:
-    return F.slice(
-        F.col(array), F.col(position) + 2, F.greatest(F.size(array) - F.col(position) - 1, F.lit(0))
-    )
-
+def _grow(kept: DataFrame, needed: int, max_len: int | None) -> DataFrame:
+    """Itemsets of two and more items of ``order_id, item``.
 
-def _grow(
-    ordinary: DataFrame,
-    min_support: float,
-    total: Column,
-    max_len: int | None,
-    in_huge: DataFrame | None = None,
-) -> DataFrame:
-    """Itemsets of two and more items, from ordinary baskets as arrays and from the
-    members of huge ones as ``order_id, item``.
-
-    An open set is ``items`` found in ``n`` ordinary baskets that share the tail
-    ``rest``. Counting one item more is an explode that feeds a partial aggregate, so
-    the shuffle carries a count per distinct set and task, not a row per basket.
+    ``inside`` has a row for each frequent set in each order: its first items and its
+    last. Two sets of an order that differ in the last one alone make the next longer
+    set. The join feeds a partial count, so the shuffle carries a count per distinct set
+    and task.
     """
-    longer = F.concat("items", F.array("next")).alias("items")
-
-    def frequent(counts: DataFrame, elsewhere: Column) -> DataFrame:
-        return counts.where(ratio(F.col("n") + elsewhere, total) >= min_support)
-
-    # One row per basket and item: the item, and the items after it.
-    open_sets = ordinary.select("items", F.posexplode("items").alias("at", "item")).select(
-        F.array("item").alias("items"), _after("items", "at").alias("rest"), F.lit(1).alias("n")
-    )
+    largest = _largest_orders(kept, needed - 1)
+    n_largest = largest.agg(F.count(F.lit(1)).alias("n")).scalar()
+    in_largest = share(kept.join(largest, "order_id", "left_semi"))
+    ordinary = kept.join(largest, "order_id", "left_anti")
+    inside = ordinary.select("order_id", F.slice(F.array("item"), 1, 0).alias("first"), F.col("item").alias("last"))
     found, length = None, 2
     while True:
-        counts = (
-            open_sets.select("items", "n", F.explode("rest").alias("next"))
-            .groupBy("items", "next")
+        other = inside.select("order_id", "first", F.col("last").alias("next"))
+        longer = (
+            inside.join(other, ["order_id", "first"])
+            .where(F.col("last") < F.col("next"))
+            .select("order_id", F.concat("first", F.array("last")).alias("first"), F.col("next").alias("last"))
+        )
+        counts = longer.groupBy("first", "last").agg(F.count(F.lit(1)).alias("n"))
+        items = F.concat("first", F.array("last")).alias("items")
+        possible = share(counts.where(F.col("n") + n_largest >= needed).select(items, "n"))
+        level = (
+            possible.unionByName(_count_in(in_largest, possible))
+            .groupBy("items")
             .agg(F.sum("n").alias("n"))
+            .where(F.col("n") >= needed)
         )
-        if in_huge is None:
-            level = frequent(counts, F.lit(0)).select(longer, "n")
-        else:
-            n_huge = in_huge.agg(F.count_distinct("order_id").alias("n")).scalar()
-            possible = share(frequent(counts, n_huge).select(longer, "n"))
-            added = possible.unionByName(_count_in(in_huge, possible))
-            level = frequent(added.groupBy("items").agg(F.sum("n").alias("n")), F.lit(0))
         if length != max_len:
             level = share(level)
         found = level if found is None else found.unionByName(level)
         if length == max_len:
             return found
-        # Tails of frequent sets only; equal ones merge. Cut the lineage, as each
-        # level is read by its own count and by the next level.
-        open_sets = cut_lineage(
-            open_sets.select("items", "rest", "n", F.posexplode("rest").alias("at", "next"))
-            .where(F.size("rest") > F.col("at") + 1)
-            .select(longer, _after("rest", "at").alias("rest"), "n")
+        # Cut the lineage: the next level reads these rows twice.
+        inside = cut_lineage(
+            longer.withColumn("items", F.concat("first", F.array("last")))
             .join(level.select("items"), "items", "left_semi")
-            .groupBy("items", "rest")
-            .agg(F.sum("n").alias("n"))
+            .drop("items")
         )
-        if open_sets.isEmpty():
+        if inside.isEmpty():
             return found
         length += 1
 
@@ -176,22 +140,48 @@ def association_rules(
     at least ``min_threshold``, by falling lift.
 
     ``itemsets`` must hold all frequent sets up to its longest, as
-    ``frequent_itemsets`` returns them: a part of a frequent set is frequent.
+    ``frequent_itemsets`` returns them: a part of a frequent set is frequent. Of sets of
+    any length only rules whose both sides are known are formed, one more item a round.
     """
     if metric not in RULE_METRICS:
         raise ValueError(f"unknown metric {metric!r}; one of {', '.join(RULE_METRICS)}")
     itemsets = share(itemsets)
-    # Bit i of the mask says whether item i is an antecedent.
-    masks = F.expr("sequence(1, shiftleft(1, size(items)) - 2)")
-    splits = (
-        itemsets.where(F.size("items") > 1)
-        .select("items", "support", F.explode(masks).alias("mask"))
-        .select(
-            F.expr("filter(items, (x, i) -> (shiftright(mask, i) & 1) = 1)").alias("antecedents"),
-            F.expr("filter(items, (x, i) -> (shiftright(mask, i) & 1) = 0)").alias("consequents"),
-            "support",
+    longest = itemsets.agg(F.max(F.size("items"))).first()[0] or 0
+    # Consequents grow item by item, in the items' order, through sets that are known. An
+    # item that moves over to them can only lower the confidence.
+    level = itemsets.where(F.size("items") > 1).select(
+        "items", "support", F.slice("items", 1, 0).alias("consequents"), F.explode("items").alias("next")
+    )
+    rules = None
+    for length in range(1, max(longest, 2)):
+        grown = F.concat("consequents", F.array("next"))
+        level = _measured(
+            level.select(
+                "items", "support", F.array_except("items", grown).alias("antecedents"), grown.alias("consequents")
+            ),
+            itemsets,
         )
+        if metric == "confidence":
+            level = level.where(F.col("confidence") >= min_threshold)
+        if length > 1:
+            level = cut_lineage(level)
+            if level.isEmpty():
+                break
+        elif longest > 2:
+            level = share(level)
+        rules = level if rules is None else rules.unionByName(level)
+        level = level.where(F.size("antecedents") > 1).select(
+            "items", "support", "consequents", F.explode("antecedents").alias("next")
+        ).where(F.col("next") > F.element_at("consequents", -1))
+    return (
+        rules.drop("items")
+        .where(F.col(metric) >= min_threshold)
+        .orderBy(F.desc("lift"), "antecedents", "consequents")
     )
+
+
+def _measured(splits: DataFrame, itemsets: DataFrame) -> DataFrame:
+    """Splits of itemsets into two known ones, with the measures of the rule."""
     antecedents = itemsets.select(
         F.col("items").alias("antecedents"), F.col("support").alias("antecedent_support")
     )
@@ -205,6 +195,7 @@ def association_rules(
         .join(consequents, "consequents")
         .withColumn("confidence", s_both / s_ante)
         .select(
+            "items",
             "antecedents",
             "consequents",
             "antecedent_support",
@@ -217,8 +208,6 @@ def association_rules(
             .otherwise((1 - s_cons) / (1 - confidence))
             .alias("conviction"),
         )
-        .where(F.col(metric) >= min_threshold)
-        .orderBy(F.desc("lift"), "antecedents", "consequents")
     )
 
 

@@ -11,9 +11,9 @@ from tillroll.functions.expressions import (
     compound_rate,
     growth_pct,
     ratio,
-    resolve_year,
     year_start,
 )
+from tillroll.functions.sharing import share
 
 
 def _yearly(orders: DataFrame) -> DataFrame:
@@ -87,28 +87,48 @@ def growth_signal(orders: DataFrame) -> DataFrame:
     )
 
 
+def _by_key_and_year(orders: DataFrame, key: str) -> DataFrame:
+    """Sales and lines per key and calendar year, also of lines without the key."""
+    return share(
+        orders.where(F.col("order_date").isNotNull())
+        .groupBy(key, F.year("order_date").alias("year"))
+        .agg(F.sum("sales_amount").alias("amount"), F.count(F.lit(1)).alias("n"))
+    )
+
+
+def _last_year(grouped: DataFrame, column: str = "year") -> Column:
+    """The last year with orders, from rows already grouped: no further pass over the lines."""
+    return grouped.agg(F.max(column).alias("as_of_year")).scalar()
+
+
 def _growth_of_existing(
     orders: DataFrame, key: str, as_of_year: int | None, total_name: str
 ) -> DataFrame:
     """Revenue in the year from keys first seen earlier, against the year before.
 
     One aggregate per key holds the first sale and both years' sums, so no join back
-    to the lines is needed and a hot key merges map-side.
+    to the lines is needed and a hot key merges map-side. Without a given year, sums per
+    key and year come first and tell the last year too.
     """
-    year = resolve_year(orders, as_of_year)
-    this_year = year_start(year, as_of_year)
-    last_year = year_start(year, as_of_year, -1)
-    next_year = year_start(year, as_of_year, 1)
-    date, amount = F.col("order_date"), F.col("sales_amount")
+    if as_of_year is None:
+        grouped = _by_key_and_year(orders, key)
+        year, at, amount = _last_year(grouped), F.col("year"), F.col("amount")
+        lines, now, before = grouped.where(F.col(key).isNotNull()), at == year, at == year - 1
+        is_old = F.col("first_sale") < year
+    else:
+        this_year, next_year = year_start(as_of_year), year_start(as_of_year + 1)
+        at, amount = F.col("order_date"), F.col("sales_amount")
+        lines, now = orders.where(F.col(key).isNotNull() & (at < next_year)), at >= this_year
+        before = (at >= year_start(as_of_year - 1)) & (at < this_year)
+        is_old = F.col("first_sale") < this_year
     return (
-        orders.where(F.col(key).isNotNull() & (date < next_year))
-        .groupBy(key)
+        lines.groupBy(key)
         .agg(
-            F.min(date).alias("first_sale"),
-            F.sum(F.when(date >= this_year, amount)).alias("this_year"),
-            F.sum(F.when((date >= last_year) & (date < this_year), amount)).alias("last_year"),
+            F.min(at).alias("first_sale"),
+            F.sum(F.when(now, amount)).alias("this_year"),
+            F.sum(F.when(before, amount)).alias("last_year"),
         )
-        .where(F.col("first_sale") < this_year)
+        .where(is_old)
         .agg(F.sum("this_year").alias("this_year"), F.sum("last_year").alias("last_year"))
         .select(
             as_double(F.col("this_year")).alias(total_name),
@@ -131,25 +151,41 @@ def existing_customer_growth(orders: DataFrame, as_of_year: int | None = None) -
     )
 
 
-def _with_newcomer_flags(
-    lines: DataFrame, orders: DataFrame, this_year: Column, *keys: str
-) -> DataFrame:
+def _first_sales(orders: DataFrame, key: str) -> DataFrame:
+    """First and last date per key, also of lines without the key."""
+    return share(
+        orders.where(F.col("order_date").isNotNull())
+        .groupBy(key)
+        .agg(F.min("order_date").alias("first_date"), F.max("order_date").alias("last_date"))
+    )
+
+
+def _year_of(as_of_year: int | None, first_sales: DataFrame) -> Column:
+    if as_of_year is not None:
+        return F.lit(as_of_year)
+    return first_sales.agg(F.year(F.max("last_date")).alias("as_of_year")).scalar()
+
+
+def _start(year: Column, as_of_year: int | None, offset: int = 0) -> Column:
+    """1 January of ``year + offset``; a literal if the year is given, so it reaches the scan."""
+    if as_of_year is not None:
+        return year_start(as_of_year + offset)
+    return F.make_date(year + offset, F.lit(1), F.lit(1))
+
+
+def _with_newcomer_flags(lines: DataFrame, this_year: Column, **first_sales: DataFrame) -> DataFrame:
     """Adds ``new_<key>`` for each key: first seen in the analysis year or later.
 
     A key seen on a line before that year is no newcomer, so only the later lines are
     joined, and with the list of newcomers, which is shorter than the list of the
     others. A line without the key matches no existing one, so it counts as new.
-    ``lines`` are dated lines of ``orders``.
+    ``lines`` are dated.
     """
     date = F.col("order_date")
     before, since = lines.where(date < this_year), lines.where(date >= this_year)
-    for key in keys:
-        newcomers = (
-            orders.where(F.col(key).isNotNull())
-            .groupBy(key)
-            .agg(F.min(date).alias("first_date"))
-            .where(F.col("first_date") >= this_year)
-            .select(key, F.lit(True).alias("listed"))
+    for key, dates in first_sales.items():
+        newcomers = dates.where(F.col(key).isNotNull() & (F.col("first_date") >= this_year)).select(
+            key, F.lit(True).alias("listed")
         )
         before = before.withColumn(f"new_{key}", F.col(key).isNull())
         since = (
@@ -163,12 +199,12 @@ def _with_newcomer_flags(
 def customer_demand(orders: DataFrame, as_of_year: int | None = None) -> DataFrame:
     """``customer_id, order_year, total_quantity, old_product_quantity,
     new_product_quantity`` of customers who bought before the analysis year."""
-    year = resolve_year(orders, as_of_year)
-    this_year = year_start(year, as_of_year)
+    products = _first_sales(orders, "product_name")
+    year = _year_of(as_of_year, products)
     lines = orders.where(F.col("customer_id").isNotNull() & F.col("order_date").isNotNull()).select(
         "customer_id", "product_name", "order_date", "quantity"
     )
-    flagged = _with_newcomer_flags(lines, orders, this_year, "product_name")
+    flagged = _with_newcomer_flags(lines, _start(year, as_of_year), product_name=products)
     quantity, is_new = F.col("quantity").cast("bigint"), F.col("new_product_name")
     per_year = flagged.groupBy(
         "customer_id", F.year("order_date").cast("bigint").alias("order_year")
@@ -195,15 +231,16 @@ def customer_demand_growth(
     Such a customer is an existing one by definition, so lines outside the two years
     are read only to date the products.
     """
-    year = resolve_year(orders, as_of_year)
-    this_year = year_start(year, as_of_year)
+    products = _first_sales(orders, "product_name")
+    year = _year_of(as_of_year, products)
+    this_year = _start(year, as_of_year)
     date = F.col("order_date")
     lines = orders.where(
         F.col("customer_id").isNotNull()
-        & (date >= year_start(year, as_of_year, -1))
-        & (date < year_start(year, as_of_year, 1))
+        & (date >= _start(year, as_of_year, -1))
+        & (date < _start(year, as_of_year, 1))
     ).select("customer_id", "product_name", "order_date", "quantity")
-    flagged = _with_newcomer_flags(lines, orders, this_year, "product_name")
+    flagged = _with_newcomer_flags(lines, this_year, product_name=products)
 
     is_now = date >= this_year
     quantity = F.col("quantity").cast("bigint")
@@ -243,23 +280,24 @@ def existing_customer_sales_growth(
     orders: DataFrame, as_of_year: int | None = None
 ) -> DataFrame:
     """``customer_id, last_year_sales, this_year_sales, sales_growth`` of customers who
-    bought in both years. Reads those two years only."""
-    year = resolve_year(orders, as_of_year)
-    this_year = year_start(year, as_of_year)
-    date = F.col("order_date")
-    is_now = date >= this_year
+    bought in both years. Reads those two years only if the year is given; else sums per
+    customer and year tell the last year."""
+    if as_of_year is None:
+        grouped = _by_key_and_year(orders, "customer_id")
+        year, at, amount, n = _last_year(grouped), F.col("year"), F.col("amount"), F.col("n")
+        two_years, is_now = grouped.where((at == year) | (at == year - 1)), at == year
+    else:
+        at, amount, n = F.col("order_date"), F.col("sales_amount"), F.lit(1)
+        two_years = orders.where((at >= year_start(as_of_year - 1)) & (at < year_start(as_of_year + 1)))
+        is_now = at >= year_start(as_of_year)
     return (
-        orders.where(
-            F.col("customer_id").isNotNull()
-            & (date >= year_start(year, as_of_year, -1))
-            & (date < year_start(year, as_of_year, 1))
-        )
+        two_years.where(F.col("customer_id").isNotNull())
         .groupBy("customer_id")
         .agg(
-            F.count_if(~is_now).alias("n_before"),
-            F.count_if(is_now).alias("n_now"),
-            F.sum(F.when(~is_now, F.col("sales_amount"))).alias("before"),
-            F.sum(F.when(is_now, F.col("sales_amount"))).alias("now"),
+            F.sum(F.when(~is_now, n).otherwise(0)).alias("n_before"),
+            F.sum(F.when(is_now, n).otherwise(0)).alias("n_now"),
+            F.sum(F.when(~is_now, amount)).alias("before"),
+            F.sum(F.when(is_now, amount)).alias("now"),
         )
         .where((F.col("n_before") > 0) & (F.col("n_now") > 0))
         .select(
@@ -274,13 +312,14 @@ def existing_customer_sales_growth(
 def revenue_by_cohort(orders: DataFrame, as_of_year: int | None = None) -> DataFrame:
     """Revenue of both years by customer cohort (new, existing) and product cohort
     (new, old), with ``all`` rows as totals, and each cell's share of the change."""
-    year = resolve_year(orders, as_of_year)
-    this_year = year_start(year, as_of_year)
+    products, customers = _first_sales(orders, "product_name"), _first_sales(orders, "customer_id")
+    year = _year_of(as_of_year, products)
+    this_year = _start(year, as_of_year)
     date = F.col("order_date")
-    lines = orders.where(
-        (date >= year_start(year, as_of_year, -1)) & (date < year_start(year, as_of_year, 1))
-    ).select("customer_id", "product_name", "order_date", "sales_amount")
-    flagged = _with_newcomer_flags(lines, orders, this_year, "product_name", "customer_id")
+    lines = orders.where((date >= _start(year, as_of_year, -1)) & (date < _start(year, as_of_year, 1))).select(
+        "customer_id", "product_name", "order_date", "sales_amount"
+    )
+    flagged = _with_newcomer_flags(lines, this_year, product_name=products, customer_id=customers)
     is_now = date >= this_year
     cells = flagged.groupBy(
         F.when(F.col("new_customer_id"), "new").otherwise("existing").alias("customer_cohort"),

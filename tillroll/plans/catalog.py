@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from tillroll.functions.sharing import scratch_path
 from tillroll.operators import baskets, cleaning, customers, growth, products, profiling
 from tillroll.plans.daily import run_daily
-from tillroll.sources.orders_files import load_orders, write_output
+from tillroll.sources.orders_files import delete_output, load_orders, write_output
 from tillroll.sources.star_tables import raw_order_text, sales_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,7 @@ SEGMENT = ("customer_segment", "BUILDING")
 MIN_SUPPORT = 0.02
 MIN_LIFT = 1.1
 LONG_MIN_SUPPORT = 0.002
+PRODUCT_MIN_SUPPORT = 0.0015
 
 
 def comparable(df: DataFrame) -> DataFrame:
@@ -77,22 +78,31 @@ def _product_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sales_lines(spark, sf_dir, "product_name", "order_date", "sales_amount_with_shipping")
 
 
-def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return customers.customer_metrics(
-        sales_lines(
-            spark,
-            sf_dir,
-            "customer_id",
-            "order_id",
-            "product_name",
-            "order_date",
-            "quantity",
-            "unit_price",
-            "sales_amount_with_shipping",
-        )
+def _customer_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sales_lines(
+        spark,
+        sf_dir,
+        "customer_id",
+        "order_id",
+        "product_name",
+        "order_date",
+        "quantity",
+        "unit_price",
+        "sales_amount_with_shipping",
     )
 
 
+def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return customers.customer_metrics(_customer_lines(spark, sf_dir))
+
+
+def _customers_by_order_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As if the file began with the highest order number."""
+    lines = _customer_lines(spark, sf_dir)
+    place = F.struct((-F.col("order_id")).alias("order"), "product_name", "quantity", "unit_price")
+    return customers.customer_metrics(lines.withColumn("place", place), "place")
+
+
 def _customers_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     return customers.customer_metrics_global_tenure(
         sales_lines(spark, sf_dir, "customer_id", "order_date", "sales_amount_with_shipping")
@@ -164,9 +174,17 @@ def _write_output(fmt: str) -> Query:
     return run
 
 
-def _daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _daily_job(spark: SparkSession, sf_dir: str, output: str | None = None) -> DataFrame:
+    """The job's summary, or one of its outputs read back."""
     raw = write_output(raw_order_text(spark, sf_dir), scratch_path(spark, "raw-csv"), "csv")
-    return run_daily(spark, raw, scratch_path(spark, "daily"), risk_edges=RISK_EDGES)
+    folder = scratch_path(spark, "daily")
+    summary = run_daily(spark, raw, folder, risk_edges=RISK_EDGES)
+    delete_output(spark, raw)
+    return summary if output is None else spark.read.parquet(f"{folder}/{output}")
+
+
+def _basket_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return baskets.order_baskets(sales_lines(spark, sf_dir, "order_id", SEGMENT[0], "product_name"), *SEGMENT)
 
 
 # --- rest ------------------------------------------------------------------------------
@@ -238,6 +256,7 @@ def _queries() -> dict[str, Query]:
     q |= _by_year("revenue_by_cohort", _growth_lines, growth.revenue_by_cohort)
 
     q["customer_metrics"] = _customers
+    q["customer_metrics_by_order_key"] = _customers_by_order_key
     q["clv_segments"] = lambda s, d: customers.clv_segments(_customers(s, d))
     q["customer_metrics_global_tenure"] = _customers_global
     q["clv_segments_global_tenure"] = lambda s, d: customers.clv_segments(_customers_global(s, d))
@@ -291,7 +310,15 @@ def _queries() -> dict[str, Query]:
         _pair_rules(s, d), directed=False
     )
 
+    q["frequent_itemsets_products"] = lambda s, d: baskets.frequent_itemsets(
+        _basket_products(s, d), PRODUCT_MIN_SUPPORT, 2
+    )
+    q["association_rules_any_length"] = lambda s, d: baskets.association_rules(
+        baskets.frequent_itemsets(_baskets(s, d), MIN_SUPPORT), "confidence", 0.2
+    )
     q["daily_job"] = _daily_job
+    for output in ("risk_budget", "boston_matrix", "customer_metrics"):
+        q[f"daily_job_{output}"] = lambda s, d, o=output: _daily_job(s, d, o)
     return q
 
 

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from tillroll.functions.sharing import release_shared, scratch_path
-from tillroll.operators.cleaning import clean_orders
+from tillroll.functions.sharing import scratch_path, shared_scope
+from tillroll.operators.cleaning import clean_orders, quality_report
 from tillroll.operators.customers import (
     RISK_EDGES,
     RISK_LABELS,
@@ -19,7 +18,7 @@ from tillroll.operators.customers import (
     risk_allocation_report,
 )
 from tillroll.operators.products import boston_matrix
-from tillroll.sources.orders_files import load_orders, write_output
+from tillroll.sources.orders_files import delete_output, load_orders, replace_output, write_output
 
 
 def run_daily(
@@ -32,33 +31,42 @@ def run_daily(
     multiline: bool = False,
     risk_edges: Sequence[float] = RISK_EDGES,
     risk_label_names: Sequence[str] = RISK_LABELS,
+    file_order: bool = False,
 ) -> DataFrame:
     """Run the job and return ``output, rows``, one row per written output.
 
-    Each stage is written as parquet and the next one reads that table: two later
-    stages read the cleaned lines (only the columns they need), and a lost executor
-    costs no earlier stage. A failure raises. With ``fmt='csv'`` the parquet stages
-    go to the scratch folder and the outputs are written from them.
+    Each stage is written as parquet and the next one reads that table, so a lost
+    executor costs no earlier stage. ``quality_report`` tells what cleaning dropped and
+    could not read. With ``file_order`` the first of equal rows stays, and first orders
+    and day gaps follow the file, else the dates. All outputs are written to a staging
+    folder and put in place at the end: a run that fails leaves the old ones as they are.
     """
-    staging = output_dir if fmt == "parquet" else scratch_path(spark, "stages")
-    written: dict[str, DataFrame] = {}
+    order_key = "file_order" if file_order else None
+    output_dir = output_dir.rstrip("/")
+    staging = f"{output_dir}/_staging-{uuid.uuid4().hex}"
+    work = scratch_path(spark, "stages")
+    counts: list[tuple[str, int]] = []
 
     def publish(name: str, df: DataFrame) -> DataFrame:
-        staged = spark.read.parquet(write_output(df, f"{staging}/{name}"))
-        if fmt != "parquet":
-            write_output(staged, f"{output_dir}/{name}", fmt)
-        written[name] = staged
+        as_it_is = fmt == "parquet" and "file_order" not in df.columns
+        staged = spark.read.parquet(write_output(df, f"{staging if as_it_is else work}/{name}"))
+        if not as_it_is:
+            write_output(staged.drop("file_order"), f"{staging}/{name}", fmt)
+        counts.append((name, staged.count()))
         return staged
 
-    clean = publish("cleaned_data", clean_orders(load_orders(spark, input_path, multiline), date_mode))
-    customers = publish("customer_metrics", clv_segments(customer_metrics(clean)))
-    release_shared()
-    budget = risk_allocation(customers, as_of_year, risk_edges, risk_label_names)
-    publish("risk_budget", risk_allocation_report(budget))
-    publish("boston_matrix", boston_matrix(clean))
-
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("output"), "rows")
-        for name, df in written.items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    try:
+        with shared_scope():
+            raw = load_orders(spark, input_path, multiline, file_order)
+            clean = publish("cleaned_data", clean_orders(raw, date_mode, order_key))
+            publish("quality_report", quality_report(raw.drop("file_order"), clean.drop("file_order"), date_mode))
+            customers = publish("customer_metrics", clv_segments(customer_metrics(clean, order_key)))
+        budget = risk_allocation(customers, as_of_year, risk_edges, risk_label_names)
+        publish("risk_budget", risk_allocation_report(budget))
+        publish("boston_matrix", boston_matrix(clean))
+        for name, _ in counts:
+            replace_output(spark, f"{staging}/{name}", f"{output_dir}/{name}")
+    finally:
+        delete_output(spark, staging)
+        delete_output(spark, work)
+    return spark.createDataFrame(counts, "output string, rows bigint")

@@ -3,7 +3,16 @@ Spark plans: joins to lists of existing keys, windows over lines, subset joins."
 
 from __future__ import annotations
 
-from tillroll.plans.catalog import LONG_MIN_SUPPORT, MIN_LIFT, MIN_SUPPORT, RISK_EDGES, SEGMENT
+import re
+
+from tillroll.plans.catalog import (
+    LONG_MIN_SUPPORT,
+    MIN_LIFT,
+    MIN_SUPPORT,
+    PRODUCT_MIN_SUPPORT,
+    RISK_EDGES,
+    SEGMENT,
+)
 from tillroll.schema import CATEGORY_COLUMNS, ORDER_COLUMNS
 
 LINES = """
@@ -382,7 +391,7 @@ per AS (
          CAST(sum(quantity) AS BIGINT) AS total_quantity,
          CAST(max(CASE WHEN place = 1 THEN sales_amount END) AS DOUBLE) AS first_order_revenue,
          CASE WHEN count(*) = 1 THEN 0 ELSE CAST(floor(avg(gap)) AS BIGINT) END AS avg_days_between_orders,
-         CAST(max(CASE WHEN place = 1 THEN quantity END) AS BIGINT) AS first_order_quantity
+         CAST(arg_min(quantity, place) FILTER (WHERE quantity IS NOT NULL) AS BIGINT) AS first_order_quantity
   FROM placed GROUP BY customer_id),
 tops AS (SELECT max(last_date) AS top_date, max(frequency) AS top_frequency FROM per),
 metrics AS (
@@ -466,9 +475,17 @@ _BUDGET_COLUMNS = """risk_level, number_of_customers, round(aov, 6) AS aov,
        round(risk_allocation_pct, 6) AS risk_allocation_pct"""
 
 
+_REPORT_COLUMNS = """risk_level, number_of_customers, format('${:,.2f}', aov) AS aov,
+       format('{:.2f}%', retention_pct) AS retention_pct, format('${:,.2f}', at_risk) AS at_risk,
+       format('{:.2f}%', risk_allocation_pct) AS risk_allocation_pct"""
+
+
 def _customers() -> dict[str, str]:
     o: dict[str, str] = {}
     o["customer_metrics"] = _with(CUSTOMERS, f"SELECT {_METRIC_COLUMNS}\nFROM metrics")
+    o["customer_metrics_by_order_key"] = _with(
+        CUSTOMERS.replace("ORDER BY order_date, order_id,", "ORDER BY -order_id,"), f"SELECT {_METRIC_COLUMNS}\nFROM metrics"
+    )
     o["clv_segments"] = _with(
         CUSTOMERS, f"SELECT {_METRIC_COLUMNS},\n       {_segment('metrics')} AS clv_segment\nFROM metrics"
     )
@@ -499,11 +516,7 @@ def _customers() -> dict[str, str]:
     )
     o["risk_allocation_report"] = _with(
         _risk("metrics", "average_order_value", 2001),
-        """
-SELECT risk_level, number_of_customers, format('${:,.2f}', aov) AS aov,
-       format('{:.2f}%', retention_pct) AS retention_pct, format('${:,.2f}', at_risk) AS at_risk,
-       format('{:.2f}%', risk_allocation_pct) AS risk_allocation_pct
-FROM budget""",
+        f"SELECT {_REPORT_COLUMNS}\nFROM budget",
     )
     return o
 
@@ -514,7 +527,7 @@ PRODUCTS = (
     LINES
     + """,
 by_year AS (
-  SELECT product_name AS product, y AS year, sum(sales_amount_with_shipping) AS sales
+  SELECT product_name AS product, y AS year, coalesce(sum(sales_amount_with_shipping), 0) AS sales
   FROM lines GROUP BY product_name, y),
 spans AS (SELECT product, min(year) AS first_year, max(year) AS last_year FROM by_year GROUP BY product),
 growth AS (
@@ -573,7 +586,7 @@ FROM classed JOIN exact e ON classed.product = e.product GROUP BY category""",
 # --- baskets ---------------------------------------------------------------------------
 
 
-def _baskets_cte(min_support: float, max_len: int) -> str:
+def _baskets_cte(min_support: float, max_len: int, item: str = "product_sub_category") -> str:
     sets = [
         "set1 AS (SELECT [item] AS items, count(*) AS n FROM baskets GROUP BY item"
         f" HAVING count(*) / CAST((SELECT total FROM size) AS DOUBLE) >= {min_support})"
@@ -593,7 +606,7 @@ def _baskets_cte(min_support: float, max_len: int) -> str:
         LINES
         + f""",
 pairs AS (
-  SELECT DISTINCT order_id, product_sub_category AS item FROM lines WHERE {SEGMENT[0]} = '{SEGMENT[1]}'),
+  SELECT DISTINCT order_id, {item} AS item FROM lines WHERE {SEGMENT[0]} = '{SEGMENT[1]}'),
 baskets AS (
   SELECT * FROM pairs
   WHERE order_id IN (SELECT order_id FROM pairs GROUP BY order_id HAVING count(*) > 1)),
@@ -605,9 +618,25 @@ itemsets AS (
 
 
 def _rules_cte(min_support: float, max_len: int, metric: str, threshold: float) -> str:
+    return _baskets_cte(min_support, max_len) + _RULES.format(metric=metric, threshold=threshold)
+
+
+def _any_length_cte() -> str:
     return (
-        _baskets_cte(min_support, max_len)
-        + f""",
+        _baskets_cte(LONG_MIN_SUPPORT, 1).replace("itemsets AS (", "single_sets AS (")
+        + """,
+subsets AS (
+  SELECT order_id, item AS last, [item] AS items FROM baskets
+  UNION ALL
+  SELECT s.order_id, b.item, list_append(s.items, b.item)
+  FROM subsets s JOIN baskets b ON s.order_id = b.order_id AND b.item > s.last),
+counted AS (
+  SELECT items, count(*) AS n, count(*) / CAST((SELECT total FROM size) AS DOUBLE) AS support
+  FROM subsets GROUP BY items)"""
+    )
+
+
+_RULES = """,
 splits AS (
   SELECT i.items, i.support, a.items AS ants, a.support AS sa, c.items AS cons, c.support AS sc
   FROM itemsets i
@@ -629,7 +658,6 @@ placed AS (
 undirected AS (
   SELECT * FROM placed
   QUALIFY row_number() OVER (PARTITION BY least(source, target), greatest(source, target) ORDER BY place) = 1)"""
-    )
 
 
 _ITEMSET_COLUMNS = "array_to_string(items, ',') AS items, n, round(support, 6) AS support"
@@ -654,19 +682,20 @@ def _baskets() -> dict[str, str]:
             _baskets_cte(LONG_MIN_SUPPORT, 3), f"SELECT {_ITEMSET_COLUMNS} FROM itemsets"
         ),
         "frequent_itemsets_any_length": _with(
-            "RECURSIVE"
-            + _baskets_cte(LONG_MIN_SUPPORT, 1)
-            + """,
-subsets AS (
-  SELECT order_id, item AS last, [item] AS items FROM baskets
-  UNION ALL
-  SELECT s.order_id, b.item, list_append(s.items, b.item)
-  FROM subsets s JOIN baskets b ON s.order_id = b.order_id AND b.item > s.last),
-counted AS (
-  SELECT items, count(*) AS n, count(*) / CAST((SELECT total FROM size) AS DOUBLE) AS support
-  FROM subsets GROUP BY items)""",
+            "RECURSIVE" + _any_length_cte(),
             f"SELECT {_ITEMSET_COLUMNS} FROM counted WHERE support >= {LONG_MIN_SUPPORT}",
         ),
+        "frequent_itemsets_products": _with(
+            _baskets_cte(PRODUCT_MIN_SUPPORT, 2, "product_name"), f"SELECT {_ITEMSET_COLUMNS} FROM itemsets"
+        ),
+        "association_rules_any_length": _with(
+            "RECURSIVE"
+            + _any_length_cte()
+            + f""",
+itemsets AS (SELECT items, n, support FROM counted WHERE support >= {MIN_SUPPORT})"""
+            + _RULES.format(metric="confidence", threshold=0.2),
+            f"SELECT {_RULE_COLUMNS}\nFROM rules",
+        ),
         "association_rules": _with(pairs, f"SELECT {_RULE_COLUMNS}\nFROM rules"),
         "association_rules_max_len_3": _with(
             _rules_cte(LONG_MIN_SUPPORT, 3, "confidence", 0.2), f"SELECT {_RULE_COLUMNS}\nFROM rules"
@@ -713,12 +742,36 @@ levels AS (
   FROM per, (SELECT max(last_y) AS top FROM per) WHERE last_y = top)""",
         """
 SELECT 'cleaned_data' AS output, (SELECT count(*) FROM clean) AS rows
+UNION ALL SELECT 'quality_report', 29
 UNION ALL SELECT 'customer_metrics', (SELECT count(*) FROM per)
 UNION ALL SELECT 'risk_budget', (SELECT count(*) FROM levels WHERE risk_level IS NOT NULL)
 UNION ALL SELECT 'boston_matrix', (SELECT count(DISTINCT product_name) FROM clean WHERE order_date IS NOT NULL)""",
     )
 
 
+def _daily_outputs() -> dict[str, str]:
+    """The job's tables, from the cleaned lines instead of the lines."""
+    cleaned = re.sub(r"\blines\b", "source_lines", CLEAN) + """,
+lines AS (SELECT *, CAST(year(order_date) AS BIGINT) AS y FROM clean)"""
+
+    def over_cleaned(ctes: str, query: str) -> str:
+        assert LINES in ctes
+        return _with(ctes.replace(LINES, cleaned), query)
+
+    return {
+        "daily_job_customer_metrics": over_cleaned(
+            CUSTOMERS, f"SELECT {_METRIC_COLUMNS},\n       {_segment('metrics')} AS clv_segment\nFROM metrics"
+        ),
+        "daily_job_risk_budget": over_cleaned(
+            _risk("metrics", "average_order_value", None), f"SELECT {_REPORT_COLUMNS}\nFROM budget"
+        ),
+        "daily_job_boston_matrix": over_cleaned(
+            PRODUCTS.replace("FROM lines GROUP BY", "FROM lines WHERE y IS NOT NULL GROUP BY"),
+            f"SELECT {_SHARE_COLUMNS}, round(cagr, 6) AS cagr, category\nFROM classed",
+        ),
+    }
+
+
 def all_oracles() -> dict[str, str]:
     return {
         **_ingest(),
@@ -727,4 +780,5 @@ def all_oracles() -> dict[str, str]:
         **_products(),
         **_baskets(),
         "daily_job": _daily_job(),
+        **_daily_outputs(),
     }
