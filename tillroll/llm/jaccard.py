@@ -1,10 +1,10 @@
 """Similarity join on word shingles: prefix filters under several global token orders.
 
-Two sets with a Jaccard similarity of at least t share a token among the first
-``n - ceil(t n) + 1`` tokens of either one, whatever the order of the tokens. So a pair
+Two sets with a Jaccard similarity of at least t share k tokens among the first
+``n - ceil(t n) + k`` tokens of either one, whatever the order of the tokens. So a pair
 must pass that test under each of several orders. The first order makes the candidates:
-the prefixes are dealt out by token. The other orders then test each candidate, before
-the whole sets are compared.
+the prefixes are dealt out by token, and each pair's shared tokens are counted. The other
+orders then test each candidate, before the whole sets are compared.
 
 Every order puts the corpus's commonest shingles last and breaks ties by a hash of its
 own: passages that many documents share stay out of the prefixes unless a document is
@@ -12,8 +12,8 @@ made of little else. Which shingles are common is counted over all documents; a
 missing there costs time, never a result.
 
 Documents with equal sets are one node. A group of near copies is not joined pair by
-pair: each token's documents are first compared with one of them, then, for what this
-leaves apart, with another one, and only documents that are still in different components
+pair: each token's documents are first compared with a few of them, then, for what this
+leaves apart, with a few others, and only documents that are still in different components
 are compared with each other. Links inside a component change nothing. So all links that
 matter are found, and none is lost.
 """
@@ -21,6 +21,7 @@ matter are found, and none is lost.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -36,6 +37,8 @@ COMMON = 100_000  # shingles whose frequency class the orders know; bounds what
 LOCAL_COUNT = 3  # a shingle is counted where so many documents of one slice have it
 COUNT_SLICE = 8 << 20
 ORDERS = 3
+HUBS = (4, 8)  # documents of a token that its others are compared with, in each round
+PREFIX_SHARED = 3  # k above; less where the smallest sets that can link share less
 _CLASSES = 8
 _SALTS = tuple(U(0x9E3779B97F4A7C15 * (k + 1) % 2**64) for k in range(ORDERS))
 _LONG = pa.list_(pa.int64())
@@ -105,11 +108,49 @@ class TokenOrder:
         return [top | (mix(tokens ^ salt) >> U(3)) for salt in _SALTS[:orders]]
 
 
-def prefix_length(n: int, percent: int) -> int:
-    return n - -(-percent * n // 100) + 1
+@dataclass(frozen=True)
+class Filter:
+    """How much two sets must share to be similar."""
 
+    percent: int
+    least: int  # smaller sets are similar to none but equal ones
+    common: int  # tokens that the prefixes of a pair must share
 
-def _postings(docs: DataFrame, words: int, percent: int, order: TokenOrder, least: int) -> DataFrame:
+    @classmethod
+    def of(cls, percent: int) -> Filter:
+        least = -(-percent // (100 - percent)) if percent < 100 else 1 << 40
+        return cls(percent, least, min(PREFIX_SHARED, -(-percent * least // 100)))
+
+    def prefix(self, n: int) -> int:
+        return n - -(-self.percent * n // 100) + self.common
+
+    def early(self, place: str, n: str, m: str) -> str:
+        """Whether sets of n and m tokens that are similar share the first few of their tokens
+        at this place of the one, or before."""
+        most = f"(cast({n} as long) + {self.common - 1} - {place}) * {100 + self.percent}"
+        return f"{most} >= {self.percent} * cast({n} + {m} as long)"
+
+    def meets(self) -> str:
+        """Whether a token that two sets share counts: their sizes fit, and it is early in
+        either one."""
+        return (
+            f"100 * cast(least(n, m) as long) >= {self.percent} * cast(greatest(n, m) as long) "
+            f"and m <= fits and n <= other_fits and {self.early('place', 'n', 'm')} and {self.early('other_place', 'm', 'n')}"
+        )
+
+    def fits(self, seen: Column) -> Column:
+        """The size of the largest set that can be similar to one of ``n`` tokens and share its
+        token at ``place``, up to which ``seen`` of its tokens are in other prefixes. The
+        others up to there are in no such set: its prefix would have them."""
+        n = F.col("n").cast("long")
+        return (n - (F.col("place") + 1 - seen)) * (100 + self.percent) / self.percent - n
+
+    def enough(self, shared: Column, total: Column) -> Column:
+        """Whether so many shared tokens suffice for sets of so many tokens together."""
+        return shared.cast("long") * (100 + self.percent) >= self.percent * total.cast("long")
+
+
+def _postings(docs: DataFrame, words: int, rule: Filter, order: TokenOrder) -> DataFrame:
     """``token, doc, n, place``: each document's prefix under the first order. A task gives
     the prefix of equal sets once."""
 
@@ -121,13 +162,13 @@ def _postings(docs: DataFrame, words: int, percent: int, order: TokenOrder, leas
                 out: list[tuple] = []
                 for i, tokens in enumerate(shingle_sets(part.column("text"), words)):
                     n = len(tokens)
-                    if n < least:
+                    if n < rule.least:
                         continue
                     mark = (n, int(mix(tokens ^ U(1)).sum(dtype=np.uint64)), int(mix(tokens ^ U(2)).sum(dtype=np.uint64)))
                     if mark in seen:
                         continue
                     seen.add(mark)
-                    head = np.sort(order.keys(tokens, maybe, 1)[0])[: prefix_length(n, percent)]
+                    head = np.sort(order.keys(tokens, maybe, 1)[0])[: rule.prefix(n)]
                     out.append((head, ids[i], n))
                 sizes = np.array([len(h) for h, _, _ in out], np.int64)
                 if not len(sizes):
@@ -146,7 +187,7 @@ def _postings(docs: DataFrame, words: int, percent: int, order: TokenOrder, leas
     return docs.where("doc_id is not null").mapInArrow(prefixes, "token long, doc long, n int, place int")
 
 
-def _whole_sets(docs: DataFrame, words: int, percent: int, order: TokenOrder) -> DataFrame:
+def _whole_sets(docs: DataFrame, words: int, rule: Filter, order: TokenOrder) -> DataFrame:
     """``doc, tokens`` and the prefixes under the other orders."""
     names = ["doc", "tokens", *(f"prefix{k}" for k in range(1, ORDERS))]
 
@@ -158,7 +199,7 @@ def _whole_sets(docs: DataFrame, words: int, percent: int, order: TokenOrder) ->
                 heads: list[list[np.ndarray]] = [[] for _ in range(1, ORDERS)]
                 for tokens in sets:
                     for k, key in enumerate(order.keys(tokens, maybe, ORDERS)[1:]):
-                        heads[k].append(np.sort(key)[: prefix_length(len(tokens), percent)] if len(tokens) else key)
+                        heads[k].append(np.sort(key)[: rule.prefix(len(tokens))])
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), _lists(sets), *(_lists(h) for h in heads)], names
                 )
@@ -167,34 +208,44 @@ def _whole_sets(docs: DataFrame, words: int, percent: int, order: TokenOrder) ->
     return docs.mapInArrow(build, schema)
 
 
-def _possible(percent: int) -> Column:
-    """Whether two sets that share the token at these places can be similar enough: by their
-    sizes, and by what is left of either behind its place."""
-    n, m = F.col("n").cast("long"), F.col("m").cast("long")
-    left = F.least(n - F.col("place"), m - F.col("other_place"))
-    return (100 * F.least(n, m) >= percent * F.greatest(n, m)) & (left * (100 + percent) >= percent * (n + m))
-
-
-def _links(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) that share a prefix token under every other order and are similar."""
-    heads = [f"prefix{k}" for k in range(1, ORDERS)]
-    left = sets.select(F.col("doc").alias("a"), *[F.col(h).alias(f"a_{h}") for h in heads])
-    right = sets.select(F.col("doc").alias("b"), *[F.col(h).alias(f"b_{h}") for h in heads])
-    overlap = [F.arrays_overlap(f"a_{h}", f"b_{h}") for h in heads]
-    passed = pairs.join(left, "a").join(right, "b").where(reduce(Column.__and__, overlap)).select("a", "b")
-    left = sets.select(F.col("doc").alias("a"), F.col("tokens").alias("a_tokens"))
-    right = sets.select(F.col("doc").alias("b"), F.col("tokens").alias("b_tokens"))
-    both = F.size(F.array_intersect("a_tokens", "b_tokens")).cast("long")
-    total = F.size("a_tokens").cast("long") + F.size("b_tokens")
+def _candidates(met: DataFrame, rule: Filter) -> DataFrame:
+    """Pairs of documents whose prefixes share enough. ``met`` has a row ``doc, n, place,
+    other, m, other_place`` for each token that two prefixes share."""
+    low = F.col("doc") < F.col("other")
+    left, right = F.struct("doc", "n", "place"), F.struct(F.col("other").alias("doc"), F.col("m").alias("n"), F.col("other_place").alias("place"))
+    a, b = F.when(low, left).otherwise(right), F.when(low, right).otherwise(left)
+    pairs = met.select(a.alias("a"), b.alias("b"))
+    # What lies behind the last token shared can add no more than the shorter rest.
+    rest = F.least(F.col("na") - F.col("last_a"), F.col("nb") - F.col("last_b")) - 1
     return (
-        written(passed, "candidates")
-        .join(left, "a")
-        .join(right, "b")
-        .where(both * (100 + percent) >= percent * total)
+        pairs.groupBy(F.col("a.doc").alias("a"), F.col("b.doc").alias("b"))
+        .agg(
+            F.count(F.lit(1)).alias("shared"),
+            F.max("a.n").alias("na"),
+            F.max("b.n").alias("nb"),
+            F.max("a.place").alias("last_a"),
+            F.max("b.place").alias("last_b"),
+        )
+        .where((F.col("shared") >= rule.common) & rule.enough(F.col("shared") + rest, F.col("na") + F.col("nb")))
         .select("a", "b")
     )
 
 
+def _links(pairs: DataFrame, docs: DataFrame, words: int, rule: Filter, order: TokenOrder) -> DataFrame:
+    """The pairs (a, b) that share enough prefix tokens under every other order and, as whole
+    sets, are similar. Sets are made for the documents of these pairs only."""
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
+    sets = written(_whole_sets(docs.join(ids, "doc_id", "leftsemi"), words, rule, order), "tokens")
+    columns = ["tokens", *(f"prefix{k}" for k in range(1, ORDERS))]
+    left = sets.select(F.col("doc").alias("a"), *[F.col(c).alias(f"a_{c}") for c in columns])
+    right = sets.select(F.col("doc").alias("b"), *[F.col(c).alias(f"b_{c}") for c in columns])
+    in_all = [F.size(F.array_intersect(f"a_{c}", f"b_{c}")) >= rule.common for c in columns[1:]]
+    both = F.size(F.array_intersect("a_tokens", "b_tokens"))
+    similar = rule.enough(both, F.size("a_tokens") + F.size("b_tokens"))
+    met = pairs.join(left, "a").join(right, "b").where(reduce(Column.__and__, in_all)).where(similar)
+    return written(met.select("a", "b"), "links")
+
+
 def _apart(shared: DataFrame, parts: DataFrame) -> DataFrame:
     """The shared tokens of documents that are in more than one component, with components."""
     located = shared.join(parts, shared["doc"] == parts["node"], "left").select(
@@ -205,37 +256,52 @@ def _apart(shared: DataFrame, parts: DataFrame) -> DataFrame:
     return located.withColumn("mixed", mixed).where("mixed").drop("mixed")
 
 
-def _with_hub(shared: DataFrame, percent: int, *order: str | Column) -> DataFrame:
-    """Each document of a token with the token's first one, if they can be similar."""
-    hub = F.first(F.struct("doc", "n", "place")).over(Window.partitionBy("token").orderBy(*order))
-    return (
-        shared.withColumn("hub", hub)
-        .select("*", F.col("hub.n").alias("m"), F.col("hub.place").alias("other_place"))
-        .where((F.col("hub.doc") != F.col("doc")) & _possible(percent))
-        .select(F.least("doc", "hub.doc").alias("a"), F.greatest("doc", "hub.doc").alias("b"))
-        .distinct()
+def _with_hubs(shared: DataFrame, salt: int, hubs: int) -> DataFrame:
+    """Each document of a token with some of the token's documents: at first with those that
+    share most of their prefixes, as an original does with its near copies, later with any."""
+    first = F.desc("central") if salt == 0 else F.xxhash64("doc", F.lit(salt))
+    ranked = shared.withColumn("rank", F.row_number().over(Window.partitionBy("token").orderBy(first, "doc")))
+    few = ranked.where(F.col("rank") <= hubs).select(
+        "token",
+        F.col("doc").alias("other"),
+        F.col("n").alias("m"),
+        F.col("place").alias("other_place"),
+        F.col("fits").alias("other_fits"),
+        F.col("component").alias("other_component"),
+        F.col("rank").alias("other_rank"),
     )
+    return ranked.join(few, "token").where("rank > other_rank")
 
 
-def _across(apart: DataFrame, percent: int) -> DataFrame:
-    """All pairs of documents in different components that share a token and can be similar."""
-    sides = apart.groupBy("token", "component").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    left = sides.select("token", F.col("component").alias("c"), F.col("low").alias("c_low"), F.col("high").alias("c_high"))
-    right = sides.select("token", F.col("component").alias("d"), F.col("low").alias("d_low"), F.col("high").alias("d_high"))
-    near = (100 * F.col("c_high").cast("long") >= percent * F.col("d_low").cast("long")) & (
-        100 * F.col("d_high").cast("long") >= percent * F.col("c_low").cast("long")
+def _across(apart: DataFrame, rule: Filter) -> DataFrame:
+    """All documents in different components that share a token early enough. First whole
+    components meet, so the pairs inside of one are never formed."""
+    sides = apart.groupBy("token", "component").agg(
+        F.min("n").alias("low"), F.max("n").alias("high"), F.max("fits").alias("fits"), F.min("place").alias("early")
     )
-    meet = left.join(right, "token").where((F.col("c") < F.col("d")) & near).select("token", "c", "d")
-    first = apart.select("token", F.col("component").alias("c"), "doc", "n", "place")
+    left = sides.select("token", *[F.col(x).alias(f"c_{x}") for x in sides.columns[1:]])
+    right = sides.select("token", *[F.col(x).alias(f"d_{x}") for x in sides.columns[1:]])
+    meet = left.join(right, "token").where(
+        f"c_component < d_component and d_low <= c_fits and c_low <= d_fits "
+        f"and 100 * cast(c_high as long) >= {rule.percent} * cast(d_low as long) "
+        f"and 100 * cast(d_high as long) >= {rule.percent} * cast(c_low as long) "
+        f"and {rule.early('c_early', 'c_high', 'd_low')} and {rule.early('d_early', 'd_high', 'c_low')}"
+    )
+    first = apart.withColumnRenamed("component", "c_component")
     second = apart.select(
-        "token", F.col("component").alias("d"), F.col("doc").alias("other"), F.col("n").alias("m"), F.col("place").alias("other_place")
+        "token",
+        F.col("component").alias("d_component"),
+        F.col("doc").alias("other"),
+        F.col("n").alias("m"),
+        F.col("place").alias("other_place"),
+        F.col("fits").alias("other_fits"),
     )
     return (
-        meet.join(first, ["token", "c"])
-        .join(second, ["token", "d"])
-        .where(_possible(percent))
-        .select(F.least("doc", "other").alias("a"), F.greatest("doc", "other").alias("b"))
-        .distinct()
+        meet.select("token", "c_component", "d_component", "d_low", "d_high", "d_early", "d_fits")
+        .join(first, ["token", "c_component"])
+        .where(f"d_low <= fits and n <= d_fits and {rule.early('place', 'n', 'd_low')} and {rule.early('d_early', 'd_high', 'n')}")
+        .join(second, ["token", "d_component"])
+        .where(rule.meets())
     )
 
 
@@ -264,23 +330,32 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     rows = described.where("not common").select("doc_id", "n", "one", "two")
     equal = rows.where("n > 0").groupBy("n", "one", "two").agg(F.min("doc_id").alias("rep"))
 
-    least = -(-percent // (100 - percent)) if percent < 100 else 1 << 40  # smaller sets link with none but equal ones
-    by_token = Window.partitionBy("token").orderBy("n", "doc")
-    alone = F.lag("doc").over(by_token).isNull() & F.lead("doc").over(by_token).isNull()
-    prefixes = _postings(docs, words, percent, order, least)
+    rule = Filter.of(percent)
+    token, document = Window.partitionBy("token").orderBy("doc"), Window.partitionBy("doc")
+    alone = F.lag("doc").over(token).isNull() & F.lead("doc").over(token).isNull()
+    prefixes = _postings(docs, words, rule, order)
     several = prefixes.withColumn("alone", alone).where("not alone").drop("alone")
     reps = rows.join(equal, ["n", "one", "two"]).where("doc_id is not null").select(F.col("doc_id").alias("doc"), "rep")
     nodes = several.join(reps.distinct(), "doc").select("token", F.col("rep").alias("doc"), "n", "place").distinct()
-    shared = written(nodes.withColumn("alone", alone).where("not alone").drop("alone"), "shared")
-
-    wanted = shared.select(F.col("doc").alias("doc_id")).distinct()
-    sets = written(_whole_sets(docs.join(wanted, "doc_id", "leftsemi"), words, percent, order), "tokens")
-    links = written(_links(_with_hub(shared, percent, "n", "doc"), sets, percent), "links")
-    apart = written(_apart(shared, components(links)), "apart")
-    more = written(_links(_with_hub(apart, percent, F.xxhash64("doc"), "doc"), sets, percent), "links").unionByName(links)
-    apart = written(_apart(shared, components(more)), "apart")
-    rest = written(_links(_across(apart, percent), sets, percent), "links").unionByName(more)
-    parts = components(rest)
+    met = nodes.withColumn("alone", alone).where("not alone").drop("alone")
+    often = met.withColumn("met", F.count(F.lit(1)).over(document)).where(F.col("met") >= rule.common)
+    seen = F.row_number().over(document.orderBy("place"))
+    shared = written(
+        often.withColumn("central", F.col("met") / F.col("n")).withColumn("fits", rule.fits(seen)).drop("met"), "shared"
+    )
+
+    links = tried = docs.sparkSession.createDataFrame([], "a long, b long")
+    parts = None
+    for turn in range(len(HUBS) + 1):
+        apart = shared.withColumn("component", F.col("doc")) if parts is None else written(_apart(shared, parts), "apart")
+        if turn < len(HUBS):
+            met = _with_hubs(apart, turn, HUBS[turn]).where(f"component != other_component and {rule.meets()}")
+        else:
+            met = _across(apart, rule)
+        pairs = written(_candidates(met, rule).join(tried, ["a", "b"], "leftanti"), "pairs")
+        tried = tried.unionByName(pairs)
+        links = links.unionByName(_links(pairs, docs, words, rule, order))
+        parts = components(links)
 
     located = equal.join(parts, equal["rep"] == parts["node"], "left").select(
         "n", "one", "two", F.coalesce("component", "rep").alias("component_id")
