@@ -15,7 +15,7 @@ from tillroll.llm.stages import table, written
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents below the toxicity threshold; the model learns from the labels' table."""
-    model = toxicity.train(*toxicity.labelled_sample(docs, table(spark, sf_dir, "labels")))
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels"))
     scored = toxicity.toxicity(docs, model, "toxicity_of_text")
     return scored.where(F.col("toxicity_of_text") < toxicity.THRESHOLD).drop("toxicity_of_text")
 

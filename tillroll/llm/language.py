@@ -171,31 +171,40 @@ def train(texts: list[str], labels: list[str], seed: int = 11) -> Network | None
     return net
 
 
-def labelled_sample(docs: DataFrame) -> tuple[list[str], list[str]]:
-    """Texts and languages of the training sample: of each language about SAMPLE documents,
-    drawn by a hash of their ids."""
+def learn(docs: DataFrame) -> Network | None:
+    """Train on a sample of the labelled documents, in one task: of each language about SAMPLE
+    documents, drawn by a hash of their ids. None if there is nothing to learn from."""
     fold = F.crc32(F.col("doc_id").cast("string")) % 5
     known = docs.where("lang is not null and text is not null and doc_id is not null").where(fold != 0)
     counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
     if not counts:
-        return [], []
+        return None
     shares = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 1.5 * SAMPLE / r["count"]))])
     chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
-    rows = (
+    sample = (
         known.where(chance < shares[F.col("lang")] * (1 << 20))
         .select("doc_id", "lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"), chance.alias("chance"))
         .orderBy("chance", "doc_id", "text")
         .limit(2 * SAMPLE * len(counts))
-        .collect()
     )
-    held: dict[str, int] = {}
-    texts, labels = [], []
-    for r in rows:
-        held[r["lang"]] = held.get(r["lang"], 0) + 1
-        if held[r["lang"]] <= SAMPLE:
-            texts.append(r["text"])
-            labels.append(r["lang"])
-    return texts, labels
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        columns = ("chance", "doc_id", "text", "lang")
+        held: dict[str, list[str]] = {}
+        for _, _, text, lang in sorted(r for b in batches for r in zip(*(b.column(c).to_pylist() for c in columns))):
+            held.setdefault(lang, []).append(text)
+        held = {k: v[:SAMPLE] for k, v in held.items()}
+        net = train([t for v in held.values() for t in v], [k for k, v in held.items() for _ in v])
+        if net is not None:
+            weights = [w.tobytes() for w in net.weights()]
+            yield pa.RecordBatch.from_arrays([pa.array([net.labels]), pa.array([weights])], ["labels", "weights"])
+
+    fitted = sample.repartition(1).mapInArrow(fit, "labels array<string>, weights array<binary>").first()
+    if fitted is None:
+        return None
+    shapes = [(2, 256, 3 * UNITS), (2, UNITS, 3 * UNITS), (2 * UNITS, -1), (-1,)]
+    weights = [np.frombuffer(w, np.float32).reshape(s) for w, s in zip(fitted["weights"], shapes)]
+    return Network(list(fitted["labels"]), *weights)
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -207,8 +216,7 @@ def identify(docs: DataFrame) -> DataFrame:
     there is nothing to learn from. Of equal probabilities the first label in alphabetical
     order counts. A null doc_id is labelled and not held out.
     """
-    texts, labels = labelled_sample(docs)
-    net = train(texts, labels)
+    net = learn(docs)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

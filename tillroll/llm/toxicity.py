@@ -9,8 +9,8 @@ Training sees a bounded sample of labelled documents. A label says that some wor
 a document is toxic, not which: witnesses are chosen, a machine is trained on them, and
 the witnesses are chosen again with it. Nyström landmarks make the kernel finite: the
 machine is linear in the similarities to a few dozen words. Summed over the landmarks it
-is one weight per subsequence, so scoring all words of the corpus is one table look-up
-per subsequence. A document scores by its two worst words: a harmless word that happens to
+is one weight per subsequence, so scoring all words of the corpus is one look-up per
+subsequence. A document scores by its two worst words: a harmless word that happens to
 look like an insult seldom comes twice.
 """
 
@@ -127,8 +127,9 @@ class Model:
     shift: float
 
     def table(self) -> np.ndarray:
-        out = np.zeros(_SYMBOLS**4, np.float32)
-        out[self.codes] = self.weights
+        """Which subsequences have a weight."""
+        out = np.zeros(_SYMBOLS**4, bool)
+        out[self.codes] = True
         return out
 
     def word_scores(self, table: np.ndarray, symbols: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -136,7 +137,8 @@ class Model:
             return np.zeros(0, np.float32)
         each = np.zeros(len(symbols), np.float32)
         for at, code, fade in subsequences(symbols, starts, ends):
-            each[at] += fade * table[code]
+            hit = np.flatnonzero(table[code])
+            each[at[hit]] += fade * self.weights[np.searchsorted(self.codes, code[hit])]
         return np.add.reduceat(each, starts) / norms(ends - starts) + self.bias
 
     def probability(self, worst: np.ndarray) -> np.ndarray:
@@ -291,9 +293,9 @@ def train(texts: list[str], toxic: list[int], rate: float) -> Model:
     return Model(model.codes, model.weights, model.bias, (float(w[0]), float(w[1])), float(w[2]))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list[int], float]:
-    """Texts and labels of the training sample, and the share of toxic documents among all
-    labelled ones. Only the labels are sorted; the documents are read for the chosen ids."""
+def learn(docs: DataFrame, labels: DataFrame) -> Model:
+    """Train on a sample of the labelled documents, in one task: the sample is bounded. Only
+    the labels are sorted; the documents are read for the chosen ids."""
     fold = F.crc32(F.col("doc_id").cast("string")) % 4
     known = (
         labels.select("doc_id", F.col("toxic").cast("int").alias("toxic"))
@@ -311,15 +313,24 @@ def labelled_sample(docs: DataFrame, labels: DataFrame) -> tuple[list[str], list
     ]
     # At most SAMPLE_TOXIC + SAMPLE_CLEAN ids.
     ids = F.broadcast(chosen[0].unionByName(chosen[1]))
-    rows = (
-        docs.select("doc_id", "text")
-        .where(F.length("text") <= SAMPLE_CHARS)
-        .join(ids, "doc_id")
-        .select("doc_id", "text", "toxic")
-        .collect()
+    sample = docs.select("doc_id", "text").where(F.length("text") <= SAMPLE_CHARS).join(ids, "doc_id")
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted(r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "toxic"))))
+        model = train([r[1] for r in rows], [r[2] for r in rows], share)
+        values = [model.codes.astype(np.int64).tobytes(), model.weights.tobytes(), model.bias, *model.slopes, model.shift]
+        yield pa.RecordBatch.from_arrays([pa.array([v]) for v in values], ["codes", "weights", "bias", "one", "two", "shift"])
+
+    fitted = sample.select("doc_id", "text", "toxic").repartition(1).mapInArrow(
+        fit, "codes binary, weights binary, bias double, one double, two double, shift double"
     )
-    rows.sort(key=lambda r: (r["doc_id"], r["text"]))
-    return [r["text"] for r in rows], [r["toxic"] for r in rows], share
+    row = fitted.first()
+    if row is None:
+        return train([], [], share)
+    return Model(
+        np.frombuffer(row["codes"], np.int64), np.frombuffer(row["weights"], np.float32),
+        row["bias"], (row["one"], row["two"]), row["shift"],
+    )
 
 
 def toxicity(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
@@ -330,7 +341,7 @@ def toxicity(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = model.table()
         for batch in batches:
-            for part in slices(batch, "text", 8 << 20):
+            for part in slices(batch, "text"):
                 symbols, starts, ends, which, rows = distinct_words(part.column("text"))
                 scores = model.word_scores(table, symbols, starts, ends)[which]
                 worst = worst_words(scores, rows, part.num_rows)
@@ -348,7 +359,7 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     contradict each other are left out; without labels of both kinds all documents get
     the share of toxic ones as their score. A null doc_id is scored and not held out.
     """
-    model = train(*labelled_sample(docs, labels))
+    model = learn(docs, labels)
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
     scored = toxicity(docs.select("doc_id", "text"), model)
     return scored.select(
