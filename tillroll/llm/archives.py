@@ -6,8 +6,8 @@ length of the content that follows. The converter reads by these lengths and mak
 WARC wants and ARC lacks: record identifiers, ISO dates, record types and digests.
 Equal payloads are stored once; later records of the same payload are revisits.
 
-Files are written by Spark's text writer, a record a row, and read whole, so a file has
-to fit into a task: ``FILE_BYTES`` is what the writers aim at.
+Files are written by Spark's text writer, a record a row, zipped, and read whole, so a
+file has to fit into a task: ``FILE_BYTES`` is what the writers aim at before zipping.
 """
 
 from __future__ import annotations
@@ -92,7 +92,7 @@ def write_arc(pages: DataFrame, path: str) -> str:
     source = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     files = _files(source, F.coalesce(F.octet_length("html"), F.lit(0)) + 512)
     dealt = source.repartition(files, F.xxhash64("page_id", "url"))
-    dealt.mapInArrow(records, "value string").write.option("lineSep", "\n").text(path)
+    dealt.mapInArrow(records, "value string").write.options(lineSep="\n", compression="gzip").text(path)
     return path
 
 
@@ -284,7 +284,7 @@ def arc_to_warc(spark: SparkSession, arc: str, warc: str, least_bytes: int = 0)
         if out:
             yield pa.RecordBatch.from_arrays([_raw_strings(out)], ["value"])
 
-    joined.mapInArrow(encode, "value string").write.option("lineSep", "\n").text(warc)
+    joined.mapInArrow(encode, "value string").write.options(lineSep="\n", compression="gzip").text(warc)
     return warc
 
 
