@@ -1,7 +1,7 @@
-"""Benchmark passages in training documents: rare n-gram seeds, then Smith-Waterman.
+"""Benchmark passages in training documents: n-gram seeds, then Smith-Waterman.
 
-The n-grams of the test items are counted over all documents. An item's seeds are those
-that are not much commoner than its median one. Documents are scanned for seeds; a hit
+All n-grams of a test item are its seeds, however many documents have them: what many
+documents kept of an edited item is common. Documents are scanned for seeds; a hit
 opens a passage around it, as far as the longest item reaches, and near hits share one.
 Passages join items on their seeds, and pairs with enough seeds are aligned: a copy with
 words changed, dropped or put in keeps most of the item's score.
@@ -25,7 +25,6 @@ from tillroll.llm.stages import written
 
 GRAM = 3
 BLOCK = 1_000_000  # n-grams that a scan is sent at most
-RARE = 4.0  # a seed is at most so many times as common as the item's median n-gram
 SEEDS = 2  # that a passage must share with an item; one if the item has only one
 THRESHOLD = 0.5  # of the score of the whole item
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -95,22 +94,6 @@ def _blocks(grams: DataFrame) -> Iterator[np.ndarray]:
         yield grams.where(F.pmod("gram", F.lit(count)) == k).toPandas()["gram"].to_numpy(np.int64)
 
 
-def _document_counts(docs: DataFrame, grams: np.ndarray) -> DataFrame:
-    wanted = docs.sparkSession.sparkContext.broadcast(Grams(grams))
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                _, bounds, found, place = row_grams(part.column("text"))
-                hit = wanted.value.hits(found)
-                rows = np.searchsorted(bounds, place[hit], side="right").astype(np.int64)
-                pairs = np.unique(np.stack([found[hit].view(np.int64), rows]), axis=1)
-                values, counts = np.unique(pairs[0], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(counts.astype(np.int64))], ["gram", "n"])
-
-    return docs.select("text").mapInArrow(count, "gram long, n long")
-
-
 def _passages(docs: DataFrame, seeds: np.ndarray, reach: int) -> DataFrame:
     """``key, passage, words, seeds`` of the stretches of a document around its seeds."""
     wanted = docs.sparkSession.sparkContext.broadcast(Grams(seeds))
@@ -181,18 +164,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     seeds with one. ``docs`` has ``key, text``; ``benchmark`` has ``item_id, text``."""
     items = written(item_grams(benchmark), "items")
     grams = items.select("item_id", F.explode(F.array_distinct("grams")).alias("gram"))
-    counts = written(
-        reduce(DataFrame.unionByName, [_document_counts(docs, block) for block in _blocks(grams)])
-        .groupBy("gram")
-        .agg(F.sum("n").alias("n")),
-        "counts",
-    )
-    counted = grams.join(counts, "gram", "left").select("item_id", "gram", F.coalesce("n", F.lit(0)).alias("n"))
-    middle = counted.groupBy("item_id").agg(F.percentile_approx("n", 0.5).alias("middle"))
-    seeds = written(
-        counted.join(middle, "item_id").where(F.col("n") <= RARE * F.greatest("middle", F.lit(1))).select("item_id", "gram"),
-        "seeds",
-    )
+    # However common: a copy may have kept only what many documents have.
+    seeds = written(grams, "seeds")
     reach = items.agg(F.max(F.size("words"))).first()[0] or 0
     passages = written(
         reduce(DataFrame.unionByName, [_passages(docs, block, reach) for block in _blocks(seeds)]), "passages"
