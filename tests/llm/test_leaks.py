@@ -47,3 +47,24 @@ def test_an_edited_item_in_hundreds_of_documents(spark, docs, edit):
     want = brute(rows, items)
     assert len(want) == 300
     assert found(contamination.contamination(docs(*rows), benchmark(spark, *items))) == want
+
+
+def test_the_seeds_of_an_item_are_in_one_block(spark, docs, monkeypatch):
+    """Two seeds are left of each item, whatever the number of blocks."""
+    rng = random.Random(6)
+    items = [(k, " ".join(f"i{k}_{n}" for n in range(12))) for k in range(30)]
+    rows = []
+    for k, text in items:
+        kept = [w if n < 4 or n % 2 == 0 else f"e{rng.randrange(10**9)}" for n, w in enumerate(text.split())]
+        rows.append((k, planted(rng, kept)))
+    want = brute(rows, items)
+    assert len(want) == 30
+    monkeypatch.setattr(contamination, "BLOCK", 60)
+    assert found(contamination.contamination(docs(*rows), benchmark(spark, *items))) == want
+
+
+def test_alignments_of_many_pairs():
+    rng = np.random.default_rng(2)
+    pairs = [[rng.integers(0, 4, rng.integers(1, 14)).astype(np.uint64) for _ in range(2)] for _ in range(60)]
+    got = contamination.alignments([a for a, _ in pairs], [b for _, b in pairs])
+    assert got.tolist() == [contamination.alignment(a, b) for a, b in pairs]

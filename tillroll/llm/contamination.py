@@ -1,13 +1,13 @@
 """Benchmark passages in training documents: n-gram seeds, then Smith-Waterman.
 
 All n-grams of a test item are its seeds, however many documents have them: what many
-documents kept of an edited item is common. Documents are scanned for seeds; a hit
-opens a passage around it, as far as the longest item reaches, and near hits share one.
-Passages join items on their seeds, and pairs with enough seeds are aligned: a copy with
-words changed, dropped or put in keeps most of the item's score.
+documents kept of an edited item is common. Documents are scanned for seeds. Where one
+shares enough of them with an item, as far as an alignment reaches, the passage around
+them is aligned with it: a copy with words changed, dropped or put in keeps most of the
+item's score.
 
 Words are runs of letters and digits; their case does not count. The test items are a
-query set: tasks get their n-grams in blocks of bounded size, one scan for each block.
+query set: tasks get them in blocks of bounded size, one scan for each block.
 """
 
 from __future__ import annotations
@@ -24,7 +24,9 @@ from tillroll.llm.hashing import LOWER, SPACE, ngrams, slices, span_hashes, text
 from tillroll.llm.stages import written
 
 GRAM = 3
-BLOCK = 1_000_000  # n-grams that a scan is sent at most
+BLOCK = 1_000_000  # words of test items that a scan is sent, about
+PAIRS = 1 << 20  # of seeds and items that are looked at together
+CELLS = 1 << 16  # words of passages that are aligned together
 SEEDS = 2  # that a passage must share with an item; one if the item has only one
 THRESHOLD = 0.5  # of the score of the whole item
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -60,70 +62,93 @@ class Grams:
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[(self.grams >> np.uint64(44)).astype(np.int64)] = True
 
-    def hits(self, values: np.ndarray) -> np.ndarray:
+    def places(self, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which values are members, and which members they are."""
         some = np.flatnonzero(self.maybe[(values >> np.uint64(44)).astype(np.int64)])
         if not len(some):
-            return some
+            return some, some
         place = np.minimum(np.searchsorted(self.grams, values[some]), len(self.grams) - 1)
-        return some[self.grams[place] == values[some]]
-
-
-def item_grams(items: DataFrame) -> DataFrame:
-    """``item_id, words, grams``: of each test item, in order."""
+        same = self.grams[place] == values[some]
+        return some[same], place[same]
+
+
+class Items:
+    """Test items, looked up by their seeds: ``holders[first[g] : first[g + 1]]`` have gram g."""
+
+    def __init__(self, ids: np.ndarray, words: list[np.ndarray]):
+        self.ids, self.words = ids, words
+        self.sizes = np.array([len(w) for w in words], np.int64)
+        grams = [np.unique(ngrams(w, GRAM)[: max(0, len(w) - GRAM + 1)]) for w in words]
+        counts = np.array([len(g) for g in grams], np.int64)
+        every = np.concatenate(grams)
+        self.grams = Grams(every)
+        gram = np.searchsorted(self.grams.grams, every)
+        order = np.argsort(gram, kind="stable")
+        self.holders = np.repeat(np.arange(len(words)), counts)[order]
+        self.first = np.searchsorted(gram[order], np.arange(len(self.grams.grams) + 1))
+        self.enough = np.minimum(counts, SEEDS)
+
+    def passages(self, found: np.ndarray, place: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """``row, item, low, high``: where a row shares enough seeds with an item. No alignment
+        that reaches half of an item's score is longer than twice the item, so seeds that are
+        farther apart count apart, and a passage goes so far beyond its first and last seed."""
+        hit, gram = self.grams.places(found)
+        at = place[hit]
+        rows = np.searchsorted(bounds, at, side="right") - 1
+        many = self.first[gram + 1] - self.first[gram]
+        upto = np.cumsum(many)
+        ends = np.append(np.flatnonzero(np.diff(rows)) + 1, len(rows)) if len(rows) else rows
+        start = 0
+        while start < len(rows):
+            # Whole rows, of at most PAIRS pairs of a seed and an item if they are several.
+            limit = (upto[start - 1] if start else 0) + PAIRS
+            stop = ends[max(np.searchsorted(ends, start, side="right"), np.searchsorted(upto[ends - 1], limit, side="right") - 1)]
+            some = np.repeat(np.arange(start, stop), many[start:stop])
+            nth = np.arange(len(some)) - np.repeat(upto[start:stop] - many[start:stop] - (upto[start - 1] if start else 0), many[start:stop])
+            item = self.holders[self.first[gram[some]] + nth]
+            order = np.lexsort((at[some], item, rows[some]))
+            some, item = some[order], item[order]
+            new = np.ones(len(some), bool)
+            new[1:] = (np.diff(rows[some]) != 0) | (np.diff(item) != 0) | (np.diff(at[some]) > 2 * self.sizes[item[1:]])
+            passage = np.cumsum(new) - 1
+            # Distinct seeds of each passage.
+            pair = np.lexsort((gram[some], passage))
+            fresh = np.ones(len(pair), bool)
+            fresh[1:] = (np.diff(passage[pair]) != 0) | (np.diff(gram[some][pair]) != 0)
+            shared = np.bincount(passage[pair][fresh])
+            opens = np.flatnonzero(new)
+            last = np.append(opens[1:], len(some)) - 1
+            keep = shared >= self.enough[item[opens]]
+            opens, last = opens[keep], last[keep]
+            row, item = rows[some][opens], item[opens]
+            low = np.maximum(bounds[row], at[some][opens] - 2 * self.sizes[item])
+            high = np.minimum(bounds[row + 1], at[some][last] + GRAM + 2 * self.sizes[item])
+            yield row, item, low, high
+            start = stop
+
+
+def item_words(items: DataFrame) -> DataFrame:
+    """``item_id, words``: of each test item that has a seed, in order."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 words, bounds = passage_words(part.column("text"))
-                lists = [words[a:b].view(np.int64) for a, b in zip(bounds[:-1], bounds[1:])]
-                grams = [ngrams(w.view(np.uint64), GRAM)[: max(0, len(w) - GRAM + 1)].view(np.int64) for w in lists]
-                kind = pa.list_(pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("item_id"), pa.array(lists, kind), pa.array(grams, kind)], ["item_id", "words", "grams"]
-                )
+                lists = pa.array([words[a:b].view(np.int64) for a, b in zip(bounds[:-1], bounds[1:])], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([part.column("item_id"), lists], ["item_id", "words"])
 
     source = items.where("item_id is not null").selectExpr("cast(item_id as long) item_id", "text")
-    return source.mapInArrow(build, "item_id long, words array<bigint>, grams array<bigint>")
+    return source.mapInArrow(build, "item_id long, words array<bigint>").where(F.size("words") >= GRAM)
 
 
-def _blocks(grams: DataFrame) -> Iterator[np.ndarray]:
-    """The distinct values of column ``gram``, in blocks of at most about BLOCK."""
-    grams = grams.select("gram").distinct()
-    count = max(1, -(-grams.count() // BLOCK))
+def _blocks(items: DataFrame) -> Iterator[Items]:
+    """The test items in blocks of about BLOCK words; all seeds of an item are in one block."""
+    count = max(1, -(-(items.agg(F.sum(F.size("words"))).first()[0] or 0) // BLOCK))
     for k in range(count):
-        yield grams.where(F.pmod("gram", F.lit(count)) == k).toPandas()["gram"].to_numpy(np.int64)
-
-
-def _passages(docs: DataFrame, seeds: np.ndarray, reach: int) -> DataFrame:
-    """``key, passage, words, seeds`` of the stretches of a document around its seeds."""
-    wanted = docs.sparkSession.sparkContext.broadcast(Grams(seeds))
-    kind = pa.list_(pa.int64())
-    types = [pa.int64(), pa.int64(), kind, kind]
-    names = ["key", "passage", "words", "seeds"]
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        number = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            for part in slices(batch, "text"):
-                words, bounds, found, place = row_grams(part.column("text"))
-                hit = wanted.value.hits(found)
-                at, gram = place[hit], found[hit].view(np.int64)
-                rows = np.searchsorted(bounds, at, side="right") - 1
-                keys, out = part.column("key").to_pylist(), []
-                new = np.flatnonzero((np.diff(rows, prepend=-1) != 0) | (np.diff(at, prepend=0) > 2 * reach))
-                for a, b in zip(new, np.append(new[1:], len(at))):
-                    row = rows[a]
-                    low, high = max(bounds[row], at[a] - reach), min(bounds[row + 1], at[b - 1] + GRAM + reach)
-                    out.append((keys[row], number, words[low:high].view(np.int64), np.unique(gram[a:b])))
-                    number += 1
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
-
-    return docs.select("key", "text").mapInArrow(
-        cut, "key long, passage long, words array<bigint>, seeds array<bigint>"
-    )
+        own = items.where(F.pmod(F.xxhash64("item_id", "words"), F.lit(count)) == k).toArrow().combine_chunks()
+        if own.num_rows:
+            words = [np.asarray(x.values, np.int64).view(np.uint64) for x in own["words"]]
+            yield Items(own["item_id"].to_numpy(), words)
 
 
 def alignment(item: np.ndarray, passage: np.ndarray) -> int:
@@ -141,50 +166,66 @@ def alignment(item: np.ndarray, passage: np.ndarray) -> int:
     return best
 
 
-def _aligned(pairs: DataFrame) -> DataFrame:
-    """``key, item_id, score`` of (key, item_id, item_words, words)."""
+def alignments(items: list[np.ndarray], passages: list[np.ndarray]) -> np.ndarray:
+    """``alignment`` of many pairs at once."""
+    wide, long = max(map(len, passages)), max(map(len, items))
+    # What fills up the shorter ones equals nothing, so it adds to no score.
+    known, text = np.zeros((long, len(items)), np.uint64), np.zeros((len(items), wide), np.uint64)
+    for k, (item, passage) in enumerate(zip(items, passages)):
+        known[: len(item), k], text[k, : len(passage)] = item, passage
+    filled = np.arange(wide) < np.array([len(x) for x in passages])[:, None]
+    sizes = np.array([len(x) for x in items])
+    place = np.arange(1, wide + 1, dtype=np.int32)
+    above, best = np.zeros((len(items), wide + 1), np.int32), np.zeros(len(items), np.int32)
+    for n, word in enumerate(known):
+        same = (text == word[:, None]) & filled & (n < sizes)[:, None]
+        step = np.maximum(above[:, :-1] + np.where(same, np.int32(MATCH), np.int32(MISMATCH)), above[:, 1:] + np.int32(GAP))
+        step = np.maximum(step, 0)
+        above[:, 1:] = np.maximum.accumulate(step - np.int32(GAP) * place, axis=1) + np.int32(GAP) * place
+        best = np.maximum(best, above.max(axis=1))
+    return best
+
 
-    def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _scored(docs: DataFrame, items: Items) -> DataFrame:
+    """``key, item_id, score`` of the passages of documents that share enough seeds with an item."""
+    wanted = docs.sparkSession.sparkContext.broadcast(items)
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = wanted.value
         for batch in batches:
-            score = []
-            for item, passage in zip(batch.column("item_words"), batch.column("words")):
-                item, passage = (np.asarray(x.values, dtype=np.int64) for x in (item, passage))
-                score.append(alignment(item, passage) / (MATCH * len(item)))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), batch.column("item_id"), pa.array(score, pa.float64())], ["key", "item_id", "score"]
-            )
-
-    return pairs.select("key", "item_id", "item_words", "words").mapInArrow(
-        align, "key long, item_id long, score double"
-    )
+            for part in slices(batch, "text"):
+                words, bounds, found, place = row_grams(part.column("text"))
+                keys = part.column("key").to_numpy()
+                for row, item, low, high in known.passages(found, place, bounds):
+                    order = np.lexsort((known.sizes[item], high - low))
+                    row, item, low, high = row[order], item[order], low[order], high[order]
+                    start = 0
+                    while start < len(row):
+                        # Like sizes together; the widest passage is the last one.
+                        ends = np.minimum(start + 256, len(row))
+                        stop = start + max(1, int(np.searchsorted((high - low)[start:ends] * np.arange(1, ends - start + 1), CELLS, side="right")))
+                        own = [known.words[i] for i in item[start:stop]]
+                        best = alignments(own, [words[a:b] for a, b in zip(low[start:stop], high[start:stop])])
+                        share = best / (MATCH * known.sizes[item[start:stop]])
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(keys[row[start:stop]]), pa.array(known.ids[item[start:stop]], pa.int64()), pa.array(share, pa.float64())],
+                            ["key", "item_id", "score"],
+                        )
+                        start = stop
+
+    return docs.select("key", "text").mapInArrow(score, "key long, item_id long, score double")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``key, item_id, score`` of the best aligned item of each document that shares enough
     seeds with one. ``docs`` has ``key, text``; ``benchmark`` has ``item_id, text``."""
-    items = written(item_grams(benchmark), "items")
-    grams = items.select("item_id", F.explode(F.array_distinct("grams")).alias("gram"))
-    # However common: a copy may have kept only what many documents have.
-    seeds = written(grams, "seeds")
-    reach = items.agg(F.max(F.size("words"))).first()[0] or 0
-    passages = written(
-        reduce(DataFrame.unionByName, [_passages(docs, block, reach) for block in _blocks(seeds)]), "passages"
-    )
-    enough = seeds.groupBy("item_id").agg(F.least(F.count("gram"), F.lit(SEEDS)).alias("enough"))
-    pairs = (
-        passages.select("passage", F.explode("seeds").alias("gram"))
-        .join(seeds, "gram")
-        .groupBy("passage", "item_id")
-        .agg(F.count("gram").alias("n"))
-        .join(enough, "item_id")
-        .where("n >= enough")
-        .select("passage", "item_id")
-        .join(passages.select("passage", "key", "words"), "passage")
-        .join(items.select("item_id", F.col("words").alias("item_words")), "item_id")
-    )
+    items = written(item_words(benchmark), "items")
+    scored = [_scored(docs, block) for block in _blocks(items)]
+    if not scored:
+        return docs.sparkSession.createDataFrame([], "key long, item_id long, score double")
     best = F.max(F.struct("score", (-F.col("item_id")).alias("first")))
     return (
-        _aligned(pairs)
+        reduce(DataFrame.unionByName, scored)
         .groupBy("key")
         .agg(best.alias("best"))
         .select("key", (-F.col("best.first")).alias("item_id"), F.col("best.score").alias("score"))
