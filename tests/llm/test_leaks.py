@@ -68,3 +68,25 @@ def test_alignments_of_many_pairs():
     pairs = [[rng.integers(0, 4, rng.integers(1, 14)).astype(np.uint64) for _ in range(2)] for _ in range(60)]
     got = contamination.alignments([a for a, _ in pairs], [b for _, b in pairs])
     assert got.tolist() == [contamination.alignment(a, b) for a, b in pairs]
+
+
+def split(text):
+    """The words of a text by code points, as text."""
+    data, starts, ends = (x := contamination.text_bytes(pa.array([text])))[0], *contamination.word_places(*x)[:2]
+    return [data[a:b].tobytes().decode() for a, b in zip(starts, ends)]
+
+
+def test_words_end_at_unicode_punctuation_and_spaces():
+    assert split("“Naïve” —don’t… ２０，été​𝐱🙂я_σ") == ["Naïve", "don", "t", "２０", "été", "𝐱", "я", "σ"]
+    assert split("漢字とA1か、ไทย。𠀀b") == ["漢", "字", "と", "A1", "か", "ไ", "ท", "ย", "𠀀", "b"]
+    assert split("हिन्दी می‌خواهم 한국어") == ["हिन्दी", "می‌خواهم", "한국어"]
+
+
+def test_items_in_any_script_and_of_any_length(spark, docs):
+    items = [(1, "敏捷的棕色狐狸跳过了懒狗。"), (2, "สุนัขจิ้งจอกสีน้ำตาล"), (3, "“Zwei – Wörter”"), (4, "einzig"), (5, "the “quick” brown—fox jumps")]
+    rows = [
+        (1, "开头，敏捷的棕色狐狸跳过了懒狗！结尾"), (2, "ก ข สุนัขจิ้งจอกสีน้ำตาล ค"), (3, "so zwei wörter."), (4, "wörter zwei"),
+        (5, "(EINZIG)"), (6, "einzigartig"), (7, "the quick brown fox jumps"), (8, "完全不同的句子"), (9, ""),
+    ]
+    got = found(contamination.contamination(docs(*rows), benchmark(spark, *items)))
+    assert got == {1: (1, 1.0), 2: (2, 1.0), 3: (3, 1.0), 5: (4, 1.0), 7: (5, 1.0)}

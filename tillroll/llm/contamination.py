@@ -6,12 +6,14 @@ shares enough of them with an item, as far as an alignment reaches, the passage
 them is aligned with it: a copy with words changed, dropped or put in keeps most of the
 item's score.
 
-Words are runs of letters and digits; their case does not count. The test items are a
+Words are runs of letters and digits, or single characters in scripts without spaces;
+their case does not count. The test items are a
 query set: tasks get them in blocks of bounded size, one scan for each block.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 from functools import reduce
 
@@ -20,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.hashing import LOWER, SPACE, ngrams, slices, span_hashes, text_bytes, word_spans
+from tillroll.llm.hashing import LOWER, SPACE, ngrams, slices, span_hashes, text_bytes
 from tillroll.llm.stages import written
 
 GRAM = 3
@@ -33,6 +35,59 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 
 _byte = np.arange(256)
 _APART = SPACE | ((_byte < 128) & ~np.isin(_byte, [*range(48, 58), *range(65, 91), *range(97, 123)]))
+# Letters of scripts that put no space between words: each is a word of its own.
+_UNSPACED = [
+    (0x0E01, 0x0E4E), (0x0E81, 0x0ECE), (0x0EDC, 0x0EDF), (0x1000, 0x103F), (0x1050, 0x108F), (0x109A, 0x109F),
+    (0x1780, 0x17D3), (0x1950, 0x19DF), (0x1A20, 0x1A7F), (0x1B00, 0x1B4F), (0x2E80, 0x2FDF), (0x3005, 0x3007),
+    (0x3021, 0x302F), (0x3031, 0x3035), (0x3038, 0x303C), (0x3041, 0x312F), (0x31A0, 0x31BF), (0x31F0, 0x31FF),
+    (0x3400, 0x4DBF), (0x4E00, 0xA48C), (0xA980, 0xA9C0), (0xA9E0, 0xA9EF), (0xA9FA, 0xA9FE), (0xAA60, 0xAADF),
+    (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x16FE0, 0x18DFF), (0x1AFF0, 0x1B2FF), (0x20000, 0x3FFFF),
+]
+_JOINERS = (0xAD, 0x200C, 0x200D)  # inside words
+
+
+def _kinds() -> tuple[np.ndarray, np.ndarray]:
+    """The code points where another kind of character begins, and the kinds: 0 in words, 1
+    between them, 2 a word of its own."""
+    kinds = np.zeros(0x110000, np.uint8)
+    for first, last in _UNSPACED:
+        kinds[first : last + 1] = 2
+    for point in [*range(0x40000), *range(0xE0000, 0xE1000)]:
+        kind = unicodedata.category(chr(point))
+        if kind[0] in "ZPS" or kind == "Cc" or kind == "Cf" and point not in _JOINERS:
+            kinds[point] = 1
+    starts = np.flatnonzero(np.diff(kinds, prepend=255))
+    return starts, kinds[starts]
+
+
+_STARTS, _KINDS = _kinds()
+
+
+def word_places(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every word of UTF-8 texts."""
+    apart = _APART[data]
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    at = np.flatnonzero(data >= 0xC0)
+    lead = data[at]
+    # Of a text cut within a character, what is there.
+    size = np.minimum(2 + (lead >= 0xE0) + (lead >= 0xF0), len(data) - at)
+    # Five, four or three low bits of the lead byte, then six of each that follows.
+    point = (lead & (0xFF >> (size + 1)).astype(np.uint8)).astype(np.int64)
+    for k in range(1, 4):
+        more = size > k
+        point[more] = point[more] << 6 | data[at[more] + k] & 0x3F
+    kind = _KINDS[np.searchsorted(_STARTS, point, side="right") - 1]
+    for k in range(4):
+        apart[at[(kind == 1) & (size > k)] + k] = True
+    alone = kind == 2
+    edge[at[alone]] = True
+    edge[at[alone] + size[alone]] = True
+    first, last = ~apart, ~apart
+    first[1:] &= apart[:-1] | edge[1:-1]
+    last[:-1] &= apart[1:] | edge[1:-1]
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+    return starts, ends, np.searchsorted(offsets, starts, side="right") - 1
 
 
 def passage_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -42,16 +97,15 @@ def passage_words(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     # Two-byte Latin letters: upper and lower case are 32 apart.
     upper = np.flatnonzero((data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)) + 1
     data[upper] += 32
-    starts, ends, rows = word_spans(data, offsets, _APART)
+    starts, ends, rows = word_places(data, offsets)
     return span_hashes(data, starts, ends), np.searchsorted(rows, np.arange(len(offsets)))
 
 
-def row_grams(column: pa.Array, n: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words and row bounds as above; the n-grams that lie in one row, and their places."""
-    words, bounds = passage_words(column)
+def row_grams(words: np.ndarray, bounds: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams that lie in one row, and their places."""
     rows = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
     place = np.flatnonzero(rows[n - 1 :] == rows[: len(rows) - n + 1]) if len(rows) >= n else np.zeros(0, np.int64)
-    return words, bounds, ngrams(words, n)[place], place
+    return ngrams(words, n)[place], place
 
 
 class Grams:
@@ -78,7 +132,10 @@ class Items:
     def __init__(self, ids: np.ndarray, words: list[np.ndarray]):
         self.ids, self.words = ids, words
         self.sizes = np.array([len(w) for w in words], np.int64)
-        grams = [np.unique(ngrams(w, GRAM)[: max(0, len(w) - GRAM + 1)]) for w in words]
+        # An item of fewer words is a seed as a whole.
+        spans = np.minimum(self.sizes, GRAM)
+        self.spans = np.unique(spans).tolist()
+        grams = [np.unique(ngrams(w, n)[: len(w) - n + 1]) for w, n in zip(words, spans.tolist())]
         counts = np.array([len(g) for g in grams], np.int64)
         every = np.concatenate(grams)
         self.grams = Grams(every)
@@ -88,12 +145,18 @@ class Items:
         self.first = np.searchsorted(gram[order], np.arange(len(self.grams.grams) + 1))
         self.enough = np.minimum(counts, SEEDS)
 
-    def passages(self, found: np.ndarray, place: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    def passages(self, words: np.ndarray, bounds: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
         """``row, item, low, high``: where a row shares enough seeds with an item. No alignment
         that reaches half of an item's score is longer than twice the item, so seeds that are
         farther apart count apart, and a passage goes so far beyond its first and last seed."""
-        hit, gram = self.grams.places(found)
-        at = place[hit]
+        hits = []
+        for n in self.spans:
+            found, place = row_grams(words, bounds, n)
+            hit, gram = self.grams.places(found)
+            hits.append((place[hit], gram))
+        at, gram = (np.concatenate(x) for x in zip(*hits))
+        order = np.argsort(at, kind="stable")
+        at, gram = at[order], gram[order]
         rows = np.searchsorted(bounds, at, side="right") - 1
         many = self.first[gram + 1] - self.first[gram]
         upto = np.cumsum(many)
@@ -128,7 +191,7 @@ class Items:
 
 
 def item_words(items: DataFrame) -> DataFrame:
-    """``item_id, words``: of each test item that has a seed, in order."""
+    """``item_id, words``: of each test item that has a word, in order."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -138,7 +201,7 @@ def item_words(items: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("item_id"), lists], ["item_id", "words"])
 
     source = items.where("item_id is not null").selectExpr("cast(item_id as long) item_id", "text")
-    return source.mapInArrow(build, "item_id long, words array<bigint>").where(F.size("words") >= GRAM)
+    return source.mapInArrow(build, "item_id long, words array<bigint>").where(F.size("words") > 0)
 
 
 def _blocks(items: DataFrame) -> Iterator[Items]:
@@ -194,9 +257,9 @@ def _scored(docs: DataFrame, items: Items) -> DataFrame:
         known = wanted.value
         for batch in batches:
             for part in slices(batch, "text"):
-                words, bounds, found, place = row_grams(part.column("text"))
+                words, bounds = passage_words(part.column("text"))
                 keys = part.column("key").to_numpy()
-                for row, item, low, high in known.passages(found, place, bounds):
+                for row, item, low, high in known.passages(words, bounds):
                     order = np.lexsort((known.sizes[item], high - low))
                     row, item, low, high = row[order], item[order], low[order], high[order]
                     start = 0
@@ -243,8 +306,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     The score is that of the best alignment with a test item, as a share of what the whole
     item would score, and null with the item where no passage shares enough seeds with one.
-    From THRESHOLD on the document is contaminated. Items with a null id or with fewer than
-    three words, and null or empty texts, match nothing; of equal scores the smallest item
+    From THRESHOLD on the document is contaminated. Items with a null id or without a
+    word, and null or empty texts, match nothing; an item of one or two words matches where
+    a text has them in order. Of equal scores the smallest item
     counts. Repeated items count once. Empty tables give no rows or no contamination.
     """
     keyed = docs.select("doc_id", "text", row_key().alias("key"))
