@@ -1,6 +1,7 @@
 """Stupid-backoff scores of documents, from n-gram counts of the whole corpus.
 
-Each task gathers the distinct n-grams of a slice of texts and deals them out by hash.
+The texts are written in numbered slices. Each task gathers the distinct n-grams of a
+slice and deals them out by hash.
 A bucket is one part of the count table: it adds up its n-grams over all slices, and
 gives each slice the totals of the n-grams that it asked for. The totals join their
 slice's texts, whose n-grams are looked up and summed per document.
@@ -88,7 +89,8 @@ class SliceGrams:
 
 
 def _sliced(docs: DataFrame) -> DataFrame:
-    """Texts with the number of the slice that they are in."""
+    """``slice, texts``: each row is a whole slice, its doc_id and text packed, so no later
+    step depends on where Arrow batches end."""
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -96,23 +98,34 @@ def _sliced(docs: DataFrame) -> DataFrame:
         slice_ = TaskContext.get().partitionId() << 32
         for batch in batches:
             for part in slices(batch, "text", SLICE):
-                ids = pa.array(np.full(part.num_rows, slice_, np.int64))
-                yield pa.RecordBatch.from_arrays([ids, *part.columns], ["slice", "doc_id", "text"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([slice_], pa.int64()), pa.array([packed(part.select(["doc_id", "text"]))], pa.binary())],
+                    ["slice", "texts"],
+                )
                 slice_ += 1
 
-    return docs.mapInArrow(number, "slice long, doc_id long, text string")
+    return docs.mapInArrow(number, "slice long, texts binary")
+
+
+def packed(part: pa.RecordBatch) -> bytes:
+    """A batch as one compressed value."""
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(part)
+    return out.getvalue().to_pybytes()
+
+
+def unpacked(value: pa.Scalar) -> pa.RecordBatch:
+    return pa.ipc.open_stream(value.as_buffer()).read_next_batch()
 
 
-def _requests(docs: DataFrame, order: int, buckets: int) -> DataFrame:
+def _requests(sliced: DataFrame, order: int, buckets: int) -> DataFrame:
     """``bucket, slice, keys, counts``: the n-grams of every slice, packed."""
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        slice_ = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for part in slices(batch, "text", SLICE):
-                grams = SliceGrams(part.column("text"), order)
+            for slice_, value in zip(batch.column("slice").to_pylist(), batch.column("texts")):
+                grams = SliceGrams(unpacked(value).column("text"), order)
                 # Keys ascend, and so do their buckets, so a slice's totals are put together again in order.
                 place = bucket_of(grams.keys, buckets)
                 cuts = np.searchsorted(place, np.arange(buckets + 1))
@@ -127,9 +140,8 @@ def _requests(docs: DataFrame, order: int, buckets: int) -> DataFrame:
                     ],
                     ["bucket", "slice", "keys", "counts"],
                 )
-                slice_ += 1
 
-    return docs.select("text").mapInArrow(ask, "bucket long, slice long, keys binary, counts binary")
+    return sliced.mapInArrow(ask, "bucket long, slice long, keys binary, counts binary")
 
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -166,20 +178,20 @@ def score_documents(docs: DataFrame, order: int = ORDER) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    totals = _totals(_requests(docs, order, 1 + int(size // BUCKET_BYTES)))
+    # Written: two scans might cut their batches, and so the slices, at other rows.
+    sliced = written(_sliced(docs), "slices")
+    totals = _totals(_requests(sliced, order, 1 + int(size // BUCKET_BYTES)))
 
     def score(slice_: tuple, texts: pa.Table, counts: pa.Table) -> pa.Table:
-        texts = texts.combine_chunks()
-        column = texts["text"].chunk(0) if texts.num_rows else pa.array([], pa.string())
-        grams = SliceGrams(column, order)
-        packed = counts.sort_by("bucket")["totals"]
-        found = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x.as_py(), "<i8") for x in packed)])
+        part = unpacked(texts["texts"][0])
+        grams = SliceGrams(part.column("text"), order)
+        parts = counts.sort_by("bucket")["totals"]
+        found = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x.as_py(), "<i8") for x in parts)])
         value, open_, words = grams.scores(found)
-        return pa.table([texts["doc_id"], pa.array(value), pa.array(open_), pa.array(words)], names=["doc_id", "value", "open", "n_words"])
+        return pa.table([part.column("doc_id"), pa.array(value), pa.array(open_), pa.array(words)], names=["doc_id", "value", "open", "n_words"])
 
     parts = written(
-        _sliced(docs)
-        .groupBy("slice")
+        sliced.groupBy("slice")
         .cogroup(totals.groupBy("slice"))
         .applyInArrow(score, "doc_id long, value double, open long, n_words long"),
         "scores",
