@@ -16,14 +16,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.hashing import LOWER, slices, span_hashes, text_bytes, word_spans
+from tillroll.llm.stages import written
 
 SAMPLE = 300  # labelled documents of a language that training reads at most
 SAMPLE_CHARS = 1_500  # of each of them
-LANGUAGES = 100  # the commonest ones are learned
+SAMPLE_ALL = 30_000  # documents of all languages; the more languages, the fewer of each
 PIECE = 16  # bytes
 UNITS = 12
 STEPS, BATCH, RATE = 300, 384, 0.02
@@ -172,34 +173,39 @@ def train(texts: list[str], labels: list[str], seed: int = 11) -> Network | None
 
 
 def learn(docs: DataFrame) -> Network | None:
-    """Train on a sample of the labelled documents, in one task: of each language about SAMPLE
-    documents, drawn by a hash of their ids. None if there is nothing to learn from."""
+    """Train on a sample of the labelled documents, in one task: of every language SAMPLE
+    documents at most, fewer from a hundred languages on, drawn by a hash of their ids. None if there is nothing to learn from."""
     fold = F.crc32(F.col("doc_id").cast("string")) % 5
     known = docs.where("lang is not null and text is not null and doc_id is not null").where(fold != 0)
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    if not counts:
+    # Distinct ids, so that an id on many rows is one of them.
+    counts = written(known.groupBy("lang").agg(F.approx_count_distinct("doc_id").alias("n")), "languages")
+    languages = counts.count()
+    if not languages:
         return None
-    shares = F.create_map(*[F.lit(x) for r in counts for x in (r["lang"], min(1.0, 1.5 * SAMPLE / r["count"]))])
+    bound = max(1, min(SAMPLE, SAMPLE_ALL // languages))
     chance = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20))
-    sample = (
-        known.where(chance < shares[F.col("lang")] * (1 << 20))
-        .select("doc_id", "lang", F.substring("text", 1, SAMPLE_CHARS).alias("text"), chance.alias("chance"))
-        .orderBy("chance", "doc_id", "text")
-        .limit(2 * SAMPLE * len(counts))
+    # Some more than needed: of few documents all, as the hash leaves a small language out by chance.
+    share = F.lit(1.5 * bound + 20) / F.col("n") * (1 << 20)
+    drawn = (
+        known.join(F.broadcast(counts), "lang")
+        .where(chance < share)
+        .groupBy("lang", "doc_id")
+        .agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("row"))
+        .select("doc_id", "lang", "row.text", chance.alias("chance"))
     )
+    first = Window.partitionBy("lang").orderBy("chance", "doc_id")
+    sample = drawn.withColumn("place", F.row_number().over(first)).where(F.col("place") <= bound).drop("place")
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = ("chance", "doc_id", "text", "lang")
-        held: dict[str, list[str]] = {}
-        for _, _, text, lang in sorted(r for b in batches for r in zip(*(b.column(c).to_pylist() for c in columns))):
-            held.setdefault(lang, []).append(text)
-        held = {k: v[:SAMPLE] for k, v in held.items()}
-        net = train([t for v in held.values() for t in v], [k for k, v in held.items() for _ in v])
+        rows = sorted(r for b in batches for r in zip(*(b.column(c).to_pylist() for c in columns)))
+        net = train([r[2] for r in rows], [r[3] for r in rows])
         if net is not None:
             weights = [w.tobytes() for w in net.weights()]
             yield pa.RecordBatch.from_arrays([pa.array([net.labels]), pa.array([weights])], ["labels", "weights"])
 
-    fitted = sample.repartition(1).mapInArrow(fit, "labels array<string>, weights array<binary>").first()
+    short = sample.withColumn("text", F.substring("text", 1, SAMPLE_CHARS))
+    fitted = short.repartition(1).mapInArrow(fit, "labels array<string>, weights array<binary>").first()
     if fitted is None:
         return None
     shapes = [(2, 256, 3 * UNITS), (2, UNITS, 3 * UNITS), (2 * UNITS, -1), (-1,)]
