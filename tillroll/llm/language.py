@@ -11,6 +11,8 @@ distinct word once and counts it as often as it occurs. Long words are read in p
 
 from __future__ import annotations
 
+import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -172,9 +174,20 @@ def train(texts: list[str], labels: list[str], seed: int = 11) -> Network | None
     return net
 
 
+def sampled_words(text: str) -> str:
+    """SAMPLE_CHARS characters of a text at most, in words drawn from the whole of it."""
+    if len(text) <= SAMPLE_CHARS:
+        return text
+    words = re.findall(r"\S{1,64}", text)
+    order = np.random.default_rng(zlib.crc32(text.encode("utf-8", "replace"))).permutation(len(words))
+    upto = np.cumsum([len(words[k]) + 1 for k in order])
+    return " ".join(words[k] for k in np.sort(order[: np.searchsorted(upto, SAMPLE_CHARS + 1, side="right")]))
+
+
 def learn(docs: DataFrame) -> Network | None:
     """Train on a sample of the labelled documents, in one task: of every language SAMPLE
-    documents at most, fewer from a hundred languages on, drawn by a hash of their ids. None if there is nothing to learn from."""
+    documents at most, fewer from a hundred languages on, drawn by a hash of their ids, with
+    words from all over each text. None if there is nothing to learn from."""
     fold = F.crc32(F.col("doc_id").cast("string")) % 5
     known = docs.where("lang is not null and text is not null and doc_id is not null").where(fold != 0)
     # Distinct ids, so that an id on many rows is one of them.
@@ -196,6 +209,12 @@ def learn(docs: DataFrame) -> Network | None:
     first = Window.partitionBy("lang").orderBy("chance", "doc_id")
     sample = drawn.withColumn("place", F.row_number().over(first)).where(F.col("place") <= bound).drop("place")
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = pa.array([sampled_words(t) for t in batch.column("text").to_pylist()], pa.string())
+            at = batch.schema.get_field_index("text")
+            yield batch.set_column(at, "text", texts)
+
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = ("chance", "doc_id", "text", "lang")
         rows = sorted(r for b in batches for r in zip(*(b.column(c).to_pylist() for c in columns)))
@@ -204,7 +223,7 @@ def learn(docs: DataFrame) -> Network | None:
             weights = [w.tobytes() for w in net.weights()]
             yield pa.RecordBatch.from_arrays([pa.array([net.labels]), pa.array([weights])], ["labels", "weights"])
 
-    short = sample.withColumn("text", F.substring("text", 1, SAMPLE_CHARS))
+    short = sample.mapInArrow(cut, sample.schema)
     fitted = short.repartition(1).mapInArrow(fit, "labels array<string>, weights array<binary>").first()
     if fitted is None:
         return None
