@@ -119,6 +119,16 @@ def unpacked(value: pa.Scalar) -> pa.RecordBatch:
     return pa.ipc.open_stream(value.as_buffer()).read_next_batch()
 
 
+def planes(values: np.ndarray) -> bytes:
+    """64-bit values with their first bytes together, then the second ones: most of the high
+    bytes are zero, and the shuffle compresses them away."""
+    return np.ascontiguousarray(values).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def from_planes(data: bytes, kind: type) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(8, -1).T).view(kind).ravel()
+
+
 def _requests(sliced: DataFrame, order: int, buckets: int) -> DataFrame:
     """``bucket, slice, keys, counts``: the n-grams of every slice, packed."""
 
@@ -130,16 +140,19 @@ def _requests(sliced: DataFrame, order: int, buckets: int) -> DataFrame:
                 place = bucket_of(grams.keys, buckets)
                 cuts = np.searchsorted(place, np.arange(buckets + 1))
                 some = np.flatnonzero(np.diff(cuts))
-                counts = grams.counts.astype("<u4")
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(some.astype(np.int64)),
-                        pa.array(np.full(len(some), slice_, np.int64)),
-                        pa.array([grams.keys[cuts[b] : cuts[b + 1]].tobytes() for b in some], pa.binary()),
-                        pa.array([counts[cuts[b] : cuts[b + 1]].tobytes() for b in some], pa.binary()),
-                    ],
-                    ["bucket", "slice", "keys", "counts"],
-                )
+                keys, counts = grams.keys, grams.counts.astype("<u4")
+                del grams, place
+                for k in range(0, len(some), 64):
+                    own = some[k : k + 64]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(own.astype(np.int64)),
+                            pa.array(np.full(len(own), slice_, np.int64)),
+                            pa.array([planes(np.diff(keys[cuts[b] : cuts[b + 1]], prepend=U(0))) for b in own], pa.binary()),
+                            pa.array([counts[cuts[b] : cuts[b + 1]].tobytes() for b in own], pa.binary()),
+                        ],
+                        ["bucket", "slice", "keys", "counts"],
+                    )
 
     return sliced.mapInArrow(ask, "bucket long, slice long, keys binary, counts binary")
 
@@ -153,12 +166,12 @@ def _totals(requests: DataFrame) -> DataFrame:
     """``slice, bucket, totals``: for each slice the corpus's counts of its n-grams."""
 
     def add(bucket: tuple, rows: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(x.as_py(), np.uint64) for x in rows["keys"]]
+        keys = [np.cumsum(from_planes(x.as_py(), U), dtype=U) for x in rows["keys"]]
         counts = [np.frombuffer(x.as_py(), "<u4") for x in rows["counts"]]
         table, place = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(place, np.concatenate(counts), len(table)).astype("<i8")[place]
         cuts = np.cumsum([len(k) for k in keys])[:-1]
-        packed = [t.tobytes() for t in np.split(total, cuts)]
+        packed = [planes(t) for t in np.split(total, cuts)]
         ids = pa.array([bucket[0].as_py()] * len(keys), pa.int64())
         return pa.table([rows["slice"], ids, pa.array(packed, pa.binary())], names=["slice", "bucket", "totals"])
 
@@ -186,7 +199,7 @@ def score_documents(docs: DataFrame, order: int = ORDER) -> DataFrame:
         part = unpacked(texts["texts"][0])
         grams = SliceGrams(part.column("text"), order)
         parts = counts.sort_by("bucket")["totals"]
-        found = np.concatenate([np.zeros(0, np.int64), *(np.frombuffer(x.as_py(), "<i8") for x in parts)])
+        found = np.concatenate([np.zeros(0, np.int64), *(from_planes(x.as_py(), np.int64) for x in parts)])
         value, open_, words = grams.scores(found)
         return pa.table([part.column("doc_id"), pa.array(value), pa.array(open_), pa.array(words)], names=["doc_id", "value", "open", "n_words"])
 
