@@ -1,6 +1,6 @@
 """What the trained operators learn from."""
 
-from tillroll.llm import language
+from tillroll.llm import language, toxicity
 
 SCHEMA = "doc_id long, text string, lang string"
 
@@ -28,3 +28,16 @@ def test_words_of_the_whole_text_and_rows_of_many_ids(spark, monkeypatch):
     long = [t for t in texts if "license" in t]
     assert len(long) == 1 and len(long[0]) <= language.SAMPLE_CHARS + 2 and " t1" in long[0]
     assert sum(t.startswith("b:") for t in texts) > 20 and sum(t.startswith("a:a") for t in texts) > 10
+
+
+def test_toxicity_learns_one_row_of_an_id(spark, monkeypatch):
+    def count(texts, labels, share, make=toxicity.Model):
+        import numpy as np
+
+        return make(np.zeros(0, np.int64), np.zeros(0, np.float32), float(len(texts)), (0.0, 0.0), 0.0)
+
+    monkeypatch.setattr(toxicity, "train", count)
+    rows = [(1, f"text {i}") for i in range(500)] + [(i, "other") for i in range(2, 40)]
+    marks = spark.createDataFrame([(i, i % 2) for i in range(1, 40)], "doc_id long, toxic int")
+    model = toxicity.learn(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), marks)
+    assert 0 < model.bias <= 39

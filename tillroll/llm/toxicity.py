@@ -313,7 +313,15 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
     ]
     # At most SAMPLE_TOXIC + SAMPLE_CLEAN ids.
     ids = F.broadcast(chosen[0].unionByName(chosen[1]))
-    sample = docs.select("doc_id", "text").where(F.length("text") <= SAMPLE_CHARS).join(ids, "doc_id")
+    # One row of each id, however many have it.
+    sample = (
+        docs.select("doc_id", "text")
+        .where(F.length("text") <= SAMPLE_CHARS)
+        .join(ids, "doc_id")
+        .groupBy("doc_id")
+        .agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("row"), F.first("toxic").alias("toxic"))
+        .select("doc_id", "row.text", "toxic")
+    )
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = sorted(r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text", "toxic"))))
