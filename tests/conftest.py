@@ -6,7 +6,7 @@ import sys
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import types as T
+from helpers import LINE_SCHEMA
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -14,21 +14,6 @@ from tillroll.functions.sharing import release_shared  # noqa: E402
 from tillroll.operators.cleaning import add_sales_amounts  # noqa: E402
 from tillroll.session import local_session  # noqa: E402
 
-LINE_SCHEMA = T.StructType(
-    [
-        T.StructField("customer_id", T.StringType()),
-        T.StructField("order_id", T.StringType()),
-        T.StructField("product_name", T.StringType()),
-        T.StructField("customer_segment", T.StringType()),
-        T.StructField("order_date", T.DateType()),
-        T.StructField("quantity", T.IntegerType()),
-        T.StructField("unit_price", T.DecimalType(10, 2)),
-        T.StructField("shipping_cost", T.DecimalType(10, 2)),
-        T.StructField("place", T.LongType()),
-    ]
-)
-
-
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(4, "6g")
@@ -71,16 +56,3 @@ def lines(spark):
         return add_sales_amounts(spark.createDataFrame(records, LINE_SCHEMA))
 
     return build
-
-
-def one(df):
-    rows = df.collect()
-    assert len(rows) == 1, rows
-    return rows[0].asDict()
-
-
-def by(df, *keys):
-    rows = [r.asDict() for r in df.collect()]
-    out = {tuple(r[k] for k in keys) if len(keys) > 1 else r[keys[0]]: r for r in rows}
-    assert len(out) == len(rows)
-    return out

@@ -5,7 +5,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import by
+from helpers import by
 from tillroll.operators import baskets as b
 
 

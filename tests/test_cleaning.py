@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from conftest import by, one
+from helpers import by, one
 from tillroll.operators import cleaning as c
 from tillroll.operators import profiling
 from tillroll.schema import ORDER_COLUMNS, RAW_HEADERS, snake_name

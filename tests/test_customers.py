@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import by, one
+from helpers import by, one
 from tillroll.functions.expressions import money_text, percent_text
 from tillroll.operators import customers as c
 

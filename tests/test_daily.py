@@ -2,7 +2,7 @@ import glob
 
 import pytest
 
-from conftest import by
+from helpers import by
 from test_cleaning import order_row, write_csv
 from tillroll.functions.sharing import share
 from tillroll.plans.daily import run_daily

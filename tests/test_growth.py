@@ -1,6 +1,6 @@
 import pytest
 
-from conftest import by, one
+from helpers import by, one
 from tillroll.operators import growth as g
 
 

@@ -5,7 +5,7 @@ import os
 
 import pytest
 
-from conftest import LINE_SCHEMA
+from helpers import LINE_SCHEMA
 from tillroll.operators import baskets, customers, growth, products
 from tillroll.operators.cleaning import add_sales_amounts
 from tillroll.plans.catalog import all_queries
