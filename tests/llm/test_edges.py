@@ -6,7 +6,21 @@ import pytest
 from pyspark.sql import functions as F
 
 from tillroll.functions.sharing import scratch_path
-from tillroll.llm import archives, backoff, contamination, jaccard, language, naming, packing, secrets, toxicity, viterbi
+from tillroll.llm import (
+    alignment,
+    archives,
+    backoff,
+    contamination,
+    jaccard,
+    language,
+    naming,
+    packing,
+    resampling,
+    secrets,
+    sharding,
+    toxicity,
+    viterbi,
+)
 
 LONG = "word " * 30_000
 ROWS = [(1, None), (2, ""), (3, " \n "), (4, "a b c d"), (4, "a b c d"), (None, "a b c d"), (5, "A b  c d"), (6, LONG), (7, "é漢😀")]
@@ -32,10 +46,13 @@ def operators(spark):
         "secrets": lambda d: secrets.scan_documents(d, scratch_path(spark, "ledger")),
         "tokens": viterbi.token_counts,
         "lm": backoff.score_documents,
+        "resampling": lambda d: resampling.resample(d, items),
+        "alignment": alignment.align_documents,
+        "sharding": sharding.shard_documents,
     }
 
 
-NAMES = ["near", "exact", "language", "contamination", "toxicity", "secrets", "tokens", "lm"]
+NAMES = ["near", "exact", "language", "contamination", "toxicity", "secrets", "tokens", "lm", "resampling", "alignment", "sharding"]
 
 
 @pytest.mark.parametrize("name", NAMES)
