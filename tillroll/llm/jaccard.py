@@ -143,7 +143,7 @@ class Filter:
         token at ``place``, up to which ``seen`` of its tokens are in other prefixes. The
         others up to there are in no such set: its prefix would have them."""
         n = F.col("n").cast("long")
-        return (n - (F.col("place") + 1 - seen)) * (100 + self.percent) / self.percent - n
+        return F.floor((n - (F.col("place") + 1 - seen)) * (100 + self.percent) / self.percent - n).cast("int")
 
     def enough(self, shared: Column, total: Column) -> Column:
         """Whether so many shared tokens suffice for sets of so many tokens together."""
@@ -211,39 +211,42 @@ def _whole_sets(docs: DataFrame, words: int, rule: Filter, order: TokenOrder) ->
 def _candidates(met: DataFrame, rule: Filter) -> DataFrame:
     """Pairs of documents whose prefixes share enough. ``met`` has a row ``doc, n, place,
     other, m, other_place`` for each token that two prefixes share."""
-    low = F.col("doc") < F.col("other")
-    left, right = F.struct("doc", "n", "place"), F.struct(F.col("other").alias("doc"), F.col("m").alias("n"), F.col("other_place").alias("place"))
-    a, b = F.when(low, left).otherwise(right), F.when(low, right).otherwise(left)
-    pairs = met.select(a.alias("a"), b.alias("b"))
-    # What lies behind the last token shared can add no more than the shorter rest.
-    rest = F.least(F.col("na") - F.col("last_a"), F.col("nb") - F.col("last_b")) - 1
+    # What lies behind the last token shared can add no more than the shorter rest. A pair's
+    # total is the same in all its rows, so it travels in the upper half of the same number.
+    rest = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("other_place")) - 1
+    total = F.col("n") + F.col("m")
+    pairs = met.select(
+        F.least("doc", "other").alias("a"),
+        F.greatest("doc", "other").alias("b"),
+        (F.shiftleft(total.cast("long"), 32) + rest).alias("bound"),
+    )
+    rest, total = F.col("bound").bitwiseAND(F.lit((1 << 32) - 1)), F.shiftright("bound", 32)
     return (
-        pairs.groupBy(F.col("a.doc").alias("a"), F.col("b.doc").alias("b"))
-        .agg(
-            F.count(F.lit(1)).alias("shared"),
-            F.max("a.n").alias("na"),
-            F.max("b.n").alias("nb"),
-            F.max("a.place").alias("last_a"),
-            F.max("b.place").alias("last_b"),
-        )
-        .where((F.col("shared") >= rule.common) & rule.enough(F.col("shared") + rest, F.col("na") + F.col("nb")))
+        pairs.groupBy("a", "b")
+        .agg(F.count(F.lit(1)).alias("shared"), F.min("bound").alias("bound"))
+        .where((F.col("shared") >= rule.common) & rule.enough(F.col("shared") + rest, total))
         .select("a", "b")
     )
 
 
 def _links(pairs: DataFrame, docs: DataFrame, words: int, rule: Filter, order: TokenOrder) -> DataFrame:
     """The pairs (a, b) that share enough prefix tokens under every other order and, as whole
-    sets, are similar. Sets are made for the documents of these pairs only."""
+    sets, are similar. Sets are made for the documents of these pairs only; whole ones are
+    read for the pairs that their prefixes leave."""
     ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
     sets = written(_whole_sets(docs.join(ids, "doc_id", "leftsemi"), words, rule, order), "tokens")
-    columns = ["tokens", *(f"prefix{k}" for k in range(1, ORDERS))]
-    left = sets.select(F.col("doc").alias("a"), *[F.col(c).alias(f"a_{c}") for c in columns])
-    right = sets.select(F.col("doc").alias("b"), *[F.col(c).alias(f"b_{c}") for c in columns])
-    in_all = [F.size(F.array_intersect(f"a_{c}", f"b_{c}")) >= rule.common for c in columns[1:]]
-    both = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    similar = rule.enough(both, F.size("a_tokens") + F.size("b_tokens"))
-    met = pairs.join(left, "a").join(right, "b").where(reduce(Column.__and__, in_all)).where(similar)
-    return written(met.select("a", "b"), "links")
+
+    def both(some: DataFrame, columns: list[str]) -> DataFrame:
+        left = sets.select(F.col("doc").alias("a"), *[F.col(c).alias(f"a_{c}") for c in columns])
+        right = sets.select(F.col("doc").alias("b"), *[F.col(c).alias(f"b_{c}") for c in columns])
+        return some.join(left, "a").join(right, "b")
+
+    prefixes = [f"prefix{k}" for k in range(1, ORDERS)]
+    in_all = [F.size(F.array_intersect(f"a_{c}", f"b_{c}")) >= rule.common for c in prefixes]
+    left = written(both(pairs, prefixes).where(reduce(Column.__and__, in_all)).select("a", "b").distinct(), "filtered")
+    shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
+    similar = rule.enough(shared, F.size("a_tokens") + F.size("b_tokens"))
+    return written(both(left, ["tokens"]).where(similar).select("a", "b"), "links")
 
 
 def _apart(shared: DataFrame, parts: DataFrame) -> DataFrame:
@@ -275,8 +278,9 @@ def _with_hubs(shared: DataFrame, salt: int, hubs: int) -> DataFrame:
 
 def _across(apart: DataFrame, rule: Filter) -> DataFrame:
     """All documents in different components that share a token early enough. First whole
-    components meet, so the pairs inside of one are never formed."""
-    sides = apart.groupBy("token", "component").agg(
+    components meet, and they go on only if they share as many tokens as two of their
+    documents must; so the pairs inside of one are never formed."""
+    sides = apart.repartition("token").groupBy("token", "component").agg(
         F.min("n").alias("low"), F.max("n").alias("high"), F.max("fits").alias("fits"), F.min("place").alias("early")
     )
     left = sides.select("token", *[F.col(x).alias(f"c_{x}") for x in sides.columns[1:]])
@@ -287,6 +291,10 @@ def _across(apart: DataFrame, rule: Filter) -> DataFrame:
         f"and 100 * cast(d_high as long) >= {rule.percent} * cast(c_low as long) "
         f"and {rule.early('c_early', 'c_high', 'd_low')} and {rule.early('d_early', 'd_high', 'c_low')}"
     )
+    meet = written(meet.select("token", "c_component", "d_component", "d_low", "d_high", "d_early", "d_fits"), "meet")
+    two = ["c_component", "d_component"]
+    enough = meet.groupBy(*two).agg(F.count(F.lit(1)).alias("met")).where(F.col("met") >= rule.common)
+    meet = meet.join(enough.select(*two), two, "leftsemi")
     first = apart.withColumnRenamed("component", "c_component")
     second = apart.select(
         "token",
@@ -296,13 +304,12 @@ def _across(apart: DataFrame, rule: Filter) -> DataFrame:
         F.col("place").alias("other_place"),
         F.col("fits").alias("other_fits"),
     )
-    return (
-        meet.select("token", "c_component", "d_component", "d_low", "d_high", "d_early", "d_fits")
-        .join(first, ["token", "c_component"])
+    near = (
+        meet.join(first, ["token", "c_component"])
         .where(f"d_low <= fits and n <= d_fits and {rule.early('place', 'n', 'd_low')} and {rule.early('d_early', 'd_high', 'n')}")
-        .join(second, ["token", "d_component"])
-        .where(rule.meets())
+        .select("token", "d_component", "doc", "n", "place", "fits")
     )
+    return near.join(second, ["token", "d_component"]).where(rule.meets())
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -336,26 +343,30 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     prefixes = _postings(docs, words, rule, order)
     several = prefixes.withColumn("alone", alone).where("not alone").drop("alone")
     reps = rows.join(equal, ["n", "one", "two"]).where("doc_id is not null").select(F.col("doc_id").alias("doc"), "rep")
-    nodes = several.join(reps.distinct(), "doc").select("token", F.col("rep").alias("doc"), "n", "place").distinct()
+    nodes = several.join(reps.distinct(), "doc").select("token", F.col("rep").alias("doc"), "n", "place")
+    nodes = nodes.repartition("token").distinct()  # dealt out once, for the window too
     met = nodes.withColumn("alone", alone).where("not alone").drop("alone")
     often = met.withColumn("met", F.count(F.lit(1)).over(document)).where(F.col("met") >= rule.common)
     seen = F.row_number().over(document.orderBy("place"))
     shared = written(
-        often.withColumn("central", F.col("met") / F.col("n")).withColumn("fits", rule.fits(seen)).drop("met"), "shared"
+        often.withColumn("central", (1000 * F.col("met") / F.col("n")).cast("int")).withColumn("fits", rule.fits(seen)).drop("met"), "shared"
     )
 
     links = tried = docs.sparkSession.createDataFrame([], "a long, b long")
-    parts = None
+    apart, parts = shared.withColumn("component", F.col("doc")), None
     for turn in range(len(HUBS) + 1):
-        apart = shared.withColumn("component", F.col("doc")) if parts is None else written(_apart(shared, parts), "apart")
         if turn < len(HUBS):
             met = _with_hubs(apart, turn, HUBS[turn]).where(f"component != other_component and {rule.meets()}")
         else:
             met = _across(apart, rule)
         pairs = written(_candidates(met, rule).join(tried, ["a", "b"], "leftanti"), "pairs")
         tried = tried.unionByName(pairs)
-        links = links.unionByName(_links(pairs, docs, words, rule, order))
-        parts = components(links)
+        found = _links(pairs, docs, words, rule, order)
+        if parts is None or not found.isEmpty():  # else all is as it was
+            links = links.unionByName(found)
+            parts = components(links)
+            if turn < len(HUBS):
+                apart = written(_apart(apart.drop("component"), parts), "apart")
 
     located = equal.join(parts, equal["rep"] == parts["node"], "left").select(
         "n", "one", "two", F.coalesce("component", "rep").alias("component_id")
