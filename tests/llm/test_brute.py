@@ -89,6 +89,25 @@ def test_packs_are_full_and_balanced():
     assert (got == sizes).all()
 
 
+@pytest.mark.parametrize("capacity, least, most", [(64, 1, 64), (512, 200, 400), (10, 1, 3)])
+def test_pieces_go_to_the_cheapest_sequence_with_room(capacity, least, most):
+    """Longest first; cut where no sequence has room. A packer that ignored the cost would fail."""
+    sizes = np.random.default_rng(capacity).integers(least, most, 300)
+    room = [capacity] * -(-int(sizes.sum()) // capacity)
+    spent, want = [0.0] * len(room), []
+    for piece in sorted(range(len(sizes)), key=lambda k: (-sizes[k], k)):
+        start, left = 0, int(sizes[piece])
+        while left:
+            able = [s for s in range(len(room)) if room[s] >= left] or [s for s in range(len(room)) if room[s]]
+            s = min(able, key=lambda s: (spent[s], s))
+            take = min(left, room[s])
+            want.append((piece, start, take, s, capacity - room[s]))
+            spent[s] += packing.cost(take)
+            room[s] -= take
+            start, left = start + take, left - take
+    assert packing.pack(sizes, capacity) == want
+
+
 @needs_tables
 def test_pieces_hold_every_token(spark):
     import public_tokenizers

@@ -59,7 +59,7 @@ class WordTokens:
     goes through the whole tokenizer.
     """
 
-    KNOWN = 200_000  # parts whose ids are remembered; then it starts anew
+    KNOWN = 300_000  # parts whose ids are remembered; then it starts anew
 
     def __init__(self, definition: str):
         import os
@@ -75,33 +75,33 @@ class WordTokens:
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = re.compile("|".join(map(re.escape, added)) or "(?!)").search
         self.characters = _byte_characters()
-        self.known: dict[str, list[int]] = {}
-
-    def word(self, word: str) -> list[int]:
+        self.known: dict[str, bytes] = {}
+
+    def part(self, part: str) -> bytes:
+        ids = self.known.get(part)
+        if ids is None:
+            if len(self.known) >= self.KNOWN:
+                self.known.clear()
+            as_bytes = part if part.isascii() else part.encode().decode("latin-1").translate(self.characters)
+            ids = self.known[part] = array.array("I", [t.id for t in self.model.tokenize(as_bytes)]).tobytes()
+        return ids
+
+    def word(self, word: str) -> bytes:
+        """The ids of a word as 32-bit numbers."""
+        if word.isascii() and word.isalpha():
+            return self.part(word.lower())
         if not self.simple(word) or self.special(word):
-            return self.tokenizer.encode(word, add_special_tokens=False).ids
-        out: list[int] = []
-        for part in self.parts(word.lower()):
-            ids = self.known.get(part)
-            if ids is None:
-                if len(self.known) >= self.KNOWN:
-                    self.known.clear()
-                as_bytes = part if part.isascii() else part.encode().decode("latin-1").translate(self.characters)
-                ids = self.known[part] = [t.id for t in self.model.tokenize(as_bytes)]
-            out += ids
-        return out
+            return array.array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        return b"".join(map(self.part, self.parts(word.lower())))
 
     def ids(self, column: pa.Array) -> Iterator[np.ndarray]:
         data, offsets = text_bytes(column)
         starts, ends, rows = word_spans(data, offsets)
         _, where, which = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
         raw = data.tobytes()
-        flat, sizes = array.array("I"), np.zeros(len(where), np.int64)
-        for i, (a, b) in enumerate(zip(starts[where].tolist(), ends[where].tolist())):
-            ids = self.word(raw[a:b].decode())
-            flat.extend(ids)
-            sizes[i] = len(ids)
-        flat = np.frombuffer(flat, np.uint32) if flat else np.zeros(0, np.uint32)
+        found = [self.word(raw[a:b].decode()) for a, b in zip(starts[where].tolist(), ends[where].tolist())]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat = np.frombuffer(b"".join(found), np.uint32)
         firsts = np.cumsum(sizes) - sizes
         bounds = np.searchsorted(rows, np.arange(len(offsets)))
         for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
