@@ -9,6 +9,7 @@ from collections import Counter
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tillroll.llm import alignment, resampling, sharding
@@ -99,19 +100,27 @@ def test_alignment(spark):
     assert got == sorted(brute.alignments(rows), key=str)
 
 
-def test_alignment_with_small_slices_and_memory(spark, monkeypatch):
+def test_alignment_with_small_slices(spark, monkeypatch):
     rng = random.Random(5)
     rows = [(i, " ".join(f"{rng.choice('abc')}{rng.randrange(50)}é" for _ in range(rng.randrange(60)))) for i in range(400)]
-    monkeypatch.setattr(alignment, "KNOWN", 20)
-    monkeypatch.setattr(alignment, "slices", lambda batch, column: (batch.slice(k, 7) for k in range(0, batch.num_rows, 7)))
+    monkeypatch.setattr(alignment, "ENCODED", 5)
+    monkeypatch.setattr(alignment, "slices", lambda batch, column, limit: (batch.slice(k, 7) for k in range(0, batch.num_rows, 7)))
     got = sorted(tuple(r) for r in alignment.align_documents(frame(spark, rows)).collect())
     assert got == sorted(brute.alignments(rows))
 
 
 def test_spans_that_the_bytes_contradict():
-    assert alignment.token_ends([2, -1, 4], [b"ab", b"\xc3", b"\xa9"], "abé".encode()) == [2, 3, 4]
-    assert alignment.token_ends([2, 3], [b"ab", b"x"], b"aby") is None
-    assert alignment.token_ends([2], [b"ab"], b"abc") is None
+    table, offsets = np.frombuffer("abéx".encode(), np.uint8), np.array([0, 2, 3, 4, 5])  # ab, two bytes of é, x
+    data, bounds = np.frombuffer("abéabxabyab".encode(), np.uint8), np.array([0, 4, 7, 10, 12])
+    tokens = alignment.Tokens([0, 1, 2, 0, 3, 0, 3, 0, 3], [3, 2, 2, 2], np.array([2, -1, 4, 2, 3, 2, 3, 1, 3]))
+    ends, whole = tokens.ends(table, offsets, data, bounds)
+    assert ends[:5].tolist() == [2, 3, 4, 6, 7] and whole.tolist() == [True, True, False, False]
+
+
+def test_stretches_whose_hashes_collide(monkeypatch):
+    monkeypatch.setattr(alignment, "span_hashes", lambda data, starts, ends: np.zeros(len(starts), np.uint64))
+    texts, which, bounds = alignment.stretches(pa.array(["ab cd ab", None, "", "cd"]))
+    assert [[texts[k].decode() for k in which[a:b]] for a, b in zip(bounds[:-1], bounds[1:])] == [[" ab", " cd", " ab"], [], [], [" cd"]]
 
 
 def shard_of(key, weights):

@@ -7,8 +7,8 @@ bytes of the tokens tell where they end. Bytes that two tokens share link them;
 where a token of either side ends closes a group.
 
 No token goes across a place where a space follows a character that is no white space, so
-texts fall apart there, and each distinct part is aligned once by a task. Documents are
-lists of parts of their slice. How often two ids meet is counted over the distinct pairs of
+texts fall apart there, and each distinct part of a slice of texts is aligned once, all parts
+in a few array operations. Documents are lists of parts of their slice. How often two ids meet is counted over the distinct pairs of
 a slice, added up over all slices, and goes back to each slice, where the values of its
 parts and then of its documents are sums.
 """
@@ -24,15 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.hashing import slices, text_bytes
+from tillroll.llm.hashing import slices, span_hashes, text_bytes
 from tillroll.llm.packing import _byte_characters
 from tillroll.llm.stages import written
 
 BYTE_TOKENIZER = "byte_bpe_50k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-KNOWN = 150_000  # parts that a task remembers; then it starts anew
-KNOWN_BYTES = 64  # longer parts are not remembered
+ENCODED = 8_192  # parts that are encoded at a time
+_SLICE = 8 << 20
 
 
 def default_files() -> tuple[str, str]:
@@ -41,37 +41,57 @@ def default_files() -> tuple[str, str]:
     return public_tokenizers.path(BYTE_TOKENIZER), public_tokenizers.path(PIECE_MODEL)
 
 
-def token_ends(spans: list[int], tokens: list[bytes], data: bytes) -> list[int] | None:
-    """The byte where each token ends: as its span says, or, where that is -1, as its own bytes
-    say. None if the tokens' bytes are not the text's."""
-    out, at = [], 0
-    for span, token in zip(spans, tokens):
-        end = span if span >= 0 else at + len(token)
-        if data[at:end] != token:
-            return None
-        out.append(end)
-        at = end
-    return out if at == len(data) else None
-
-
-class Part:
-    """A stretch of text in the tokens of both sides."""
-
-    __slots__ = ("n_a", "n_b", "n_groups", "digest", "links")
-
-    def __init__(self, a: list[int], b: list[int], ends_a: list[int], ends_b: list[int]):
-        i = j = first_a = first_b = 0
-        links, groups = [], []
-        while i < len(a):
-            links.append(b[j] << 32 | a[i])
-            end_a, end_b = ends_a[i], ends_b[j]
-            i += end_a <= end_b
-            j += end_b <= end_a
-            if end_a == end_b:
-                groups.append(f"{','.join(map(str, a[first_a:i]))}|{','.join(map(str, b[first_b:j]))}")
-                first_a, first_b = i, j
-        self.n_a, self.n_b, self.n_groups = len(a), len(b), len(groups)
-        self.digest, self.links = ";".join(groups), np.array(links, np.int64)
+class Tokens:
+    """The tokens of one side for consecutive parts of a text."""
+
+    def __init__(self, ids: list[int], counts: list[int], spans: np.ndarray):
+        self.ids, self.counts = np.array(ids, np.int64), np.array(counts, np.int64)
+        self.spans = spans  # the byte where each token ends in its part, -1 if its span does not say
+        self.part = np.repeat(np.arange(len(counts)), self.counts)
+
+    def ends(self, table: np.ndarray, offsets: np.ndarray, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The byte of ``data`` where each token ends, and which parts have all their bytes.
+
+        The spans say where tokens end; in between, the decoded bytes do, and they must fill
+        what is between two spans. ``table`` has the bytes of all tokens, that of id i from
+        ``offsets[i]`` on; part k is from ``bounds[k]`` on.
+        """
+        size = offsets[self.ids + 1] - offsets[self.ids]
+        upto = np.concatenate([[0], np.cumsum(size)])
+        ends = upto[1:] - upto[np.cumsum(self.counts) - self.counts][self.part] + bounds[self.part]
+        whole = np.bincount(self.part, size, len(self.counts)).astype(np.int64) == np.diff(bounds)
+        whole[self.part[(self.spans >= 0) & (self.spans + bounds[self.part] != ends)]] = False
+        some = np.flatnonzero(whole[self.part])
+        size = size[some]
+        inside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        same = table[np.repeat(offsets[self.ids[some]], size) + inside] == data[np.repeat(ends[some] - size, size) + inside]
+        whole[np.repeat(self.part[some], size)[~same]] = False
+        return ends, whole
+
+
+class Parts:
+    """Parts of texts in the tokens of both sides: numbers of tokens and groups, the groups as
+    text, each with a semicolon behind it, and the links of all parts one after another."""
+
+    def __init__(self, a: Tokens, ends_a: np.ndarray, b: Tokens, ends_b: np.ndarray, whole: np.ndarray, bounds: np.ndarray, names: np.ndarray):
+        self.whole, n = whole, len(whole)
+        in_a, in_b = whole[a.part], whole[b.part]
+        ids_a, ids_b, ends_a, ends_b = a.ids[in_a], b.ids[in_b], ends_a[in_a], ends_b[in_b]
+        # The ends of both sides cut the bytes into stretches of one token of each side.
+        cuts, both = np.union1d(ends_a, ends_b), np.intersect1d(ends_a, ends_b, assume_unique=True)
+        self.links = ids_b[np.searchsorted(ends_b, cuts)] << 32 | ids_a[np.searchsorted(ends_a, cuts)]
+
+        def count(ends: np.ndarray) -> np.ndarray:
+            return np.bincount(np.searchsorted(bounds[1:], ends), minlength=n)
+
+        self.n_a, self.n_b, self.n_groups, self.n_links = map(count, (ends_a, ends_b, both, cuts))
+        side = np.concatenate([2 * np.searchsorted(both, ends_a), 2 * np.searchsorted(both, ends_b) + 1])
+        order = np.argsort(side, kind="stable")
+        side = side[order]
+        mark = np.append(side[1:] != side[:-1], True) * (1 + side % 2)
+        written_out = names[mark, np.concatenate([ids_a, ids_b])[order]].tolist()
+        bound = np.concatenate([[0], np.cumsum(self.n_a + self.n_b)]).tolist()
+        self.groups = ["".join(written_out[x:y]) for x, y in zip(bound[:-1], bound[1:])]
 
 
 class Aligner:
@@ -87,45 +107,61 @@ class Aligner:
         self.b = SentencePieceProcessor(model_proto=model)
         others = _byte_characters()
         value = {chr(others.get(byte, byte)): byte for byte in range(256)}
-        self.bytes_a = {i: bytes(map(value.get, t)) for t, i in self.a.get_vocab(with_added_tokens=False).items()}
+        vocabulary = self.a.get_vocab(with_added_tokens=False)
+        in_a = [b""] * (1 + max(vocabulary.values()))
+        for token, i in vocabulary.items():
+            in_a[i] = bytes(map(value.get, token))
         names = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
-        self.is_byte = [self.b.is_byte(i) for i in range(len(names))]
-        self.bytes_b = [bytes([int(n[1:-1], 16)]) if byte else n.replace(MARK, " ").encode() for n, byte in zip(names, self.is_byte)]
-        self.known: dict[bytes, Part | None] = {}
-
-    def parts(self, stretches: list[bytes]) -> list[Part | None]:
-        """For each stretch, a space in front of each, its part; None if some bytes are lost."""
-        if len(self.known) > KNOWN:
-            self.known.clear()
-        new = [s for s in stretches if s not in self.known]
-        found = {}
-        for k in range(0, len(new), 4_096):
-            some = new[k : k + 4_096]
-            texts = [s.decode() for s in some]
-            by_offsets = self.a.encode_batch(texts, add_special_tokens=False)
-            by_spans = self.b.encode([t[1:] for t in texts], return_type="proto")
-            for stretch, text, one, two in zip(some, texts, by_offsets, by_spans):
-                part = self._part(stretch, text, one.ids, one.offsets, two.pieces)
-                found[stretch] = part
-                if len(stretch) <= KNOWN_BYTES:
-                    self.known[stretch] = part
-        return [found[s] if s in found else self.known[s] for s in stretches]
-
-    def _part(self, stretch: bytes, text: str, a: list[int], offsets: list[tuple[int, int]], pieces) -> Part | None:
-        place = range(len(text) + 1)
-        if len(text) != len(stretch):
-            place = [0, *np.cumsum([len(c.encode()) for c in text]).tolist()]
+        self.is_byte = np.array([self.b.is_byte(i) for i in range(len(names))])
+        in_b = [bytes([int(n[1:-1], 16)]) if byte else n.replace(MARK, " ").encode() for n, byte in zip(names, self.is_byte)]
+        self.bytes_a, self.bytes_b = map(self._table, (in_a, in_b))
+        ids = range(max(len(in_a), len(in_b)))
+        self.names = np.array([[f"{i}{mark}" for i in ids] for mark in ",|;"], object)
+
+    @staticmethod
+    def _table(tokens: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        return np.frombuffer(b"".join(tokens), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in tokens])])
+
+    def parts(self, stretches: list[bytes]) -> Parts:
+        """The parts that these stretches of text are, a space in front of each. One whose bytes
+        a side does not give back is not whole and has no tokens."""
+        data = np.frombuffer(b"".join(stretches), np.uint8)
+        bounds = np.concatenate([[0], np.cumsum([len(s) for s in stretches], dtype=np.int64)]).astype(np.int64)
+        a, b = self._tokens(stretches, data, bounds)
+        ends_a, whole_a = a.ends(*self.bytes_a, data, bounds)
+        ends_b, whole_b = b.ends(*self.bytes_b, data, bounds)
+        return Parts(a, ends_a, b, ends_b, whole_a & whole_b, bounds, self.names)
+
+    def _tokens(self, stretches: list[bytes], data: np.ndarray, bounds: np.ndarray) -> tuple[Tokens, Tokens]:
+        ids_a, n_a, first, last = [], [], [], []
+        ids_b, n_b, begin, end = [], [], [], []
+        for k in range(0, len(stretches), ENCODED):
+            texts = [s.decode() for s in stretches[k : k + ENCODED]]
+            for e in self.a.encode_batch(texts, add_special_tokens=False):
+                n_a.append(len(e))
+                ids_a += e.ids
+                for x, y in e.offsets:
+                    first.append(x)
+                    last.append(y)
+            for proto in self.b.encode([t[1:] for t in texts], return_type="proto"):
+                pieces = proto.pieces
+                n_b.append(len(pieces))
+                for p in pieces:
+                    ids_b.append(p.id)
+                    begin.append(p.begin)
+                    end.append(p.end)
+        a = Tokens(ids_a, n_a, np.zeros(0, np.int64))
+        place = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))  # the byte of each character
+        char = np.searchsorted(place, bounds)[a.part]
+        first, last = char + np.array(first, np.int64), char + np.array(last, np.int64)
         # A span that the next one overlaps ends inside a character.
-        later = [*(start for start, _ in offsets[1:]), len(text)]
-        ends_a = token_ends([place[e] if e <= n else -1 for (_, e), n in zip(offsets, later)], [self.bytes_a[i] for i in a], stretch)
-        b, spans = [], []
-        for p in pieces:
-            i, end = p.id, p.end
-            b.append(i)
-            # Of the bytes of a character the last one has the span.
-            spans.append(-1 if self.is_byte[i] and p.begin == end else end + 1)
-        ends_b = token_ends(spans, [self.bytes_b[i] for i in b], stretch)
-        return None if ends_a is None or ends_b is None else Part(a, b, ends_a, ends_b)
+        inside = np.append(first[1:] < last[:-1], False)[: len(last)]
+        a.spans = np.where(inside, -1, place[last] - bounds[a.part])
+        b = Tokens(ids_b, n_b, np.zeros(0, np.int64))
+        begin, end = np.array(begin, np.int64), np.array(end, np.int64)
+        # Of the bytes of a character the last one has the span. The space in front is in none.
+        b.spans = np.where(self.is_byte[b.ids] & (begin == end), -1, end + 1)
+        return a, b
 
 
 def _cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -148,15 +184,21 @@ def stretches(column: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """The distinct stretches of a slice of texts with a space before each text; which one
     each is, in order; and for each row where its stretches start."""
     data, offsets = text_bytes(column)
-    own = np.flatnonzero(offsets[1:] > offsets[:-1])
-    starts = np.union1d(offsets[own], _cuts(data, offsets))
-    first = np.isin(starts, offsets[own])
-    ends, raw = np.append(starts[1:], len(data)), data.tobytes()
-    index: dict[bytes, int] = {}
-    which = np.empty(len(starts), np.int32)
-    for k, (a, b, f) in enumerate(zip(starts.tolist(), ends.tolist(), first.tolist())):
-        which[k] = index.setdefault(b" " + raw[a:b] if f else raw[a:b], len(index))
-    return list(index), which, np.searchsorted(starts, offsets)
+    own = offsets[1:] > offsets[:-1]
+    data = np.insert(data, offsets[:-1][own], 32)
+    offsets = offsets + np.concatenate([[0], np.cumsum(own)])
+    starts = np.union1d(offsets[:-1][own], _cuts(data, offsets))
+    ends, raw = np.append(starts[1:], len(data))[: len(starts)], data.tobytes()
+    _, where, which = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
+    # Equal hashes, equal bytes: each stretch is held against the one that stands for it.
+    size, ahead = ends - starts, starts[where][which] - starts
+    same = (size == size[where][which]).all()
+    if not (same and (data[np.arange(len(data)) + np.repeat(ahead, size)] == data).all()):
+        index: dict[bytes, int] = {}
+        which = np.array([index.setdefault(raw[a:b], len(index)) for a, b in zip(starts.tolist(), ends.tolist())], np.int64)
+        return list(index), which, np.searchsorted(starts, offsets)
+    distinct = [raw[a:b] for a, b in zip(starts[where].tolist(), ends[where].tolist())]
+    return distinct, which, np.searchsorted(starts, offsets)
 
 
 def _sums(values: np.ndarray, which: np.ndarray, bounds: np.ndarray) -> np.ndarray:
@@ -196,39 +238,35 @@ def _aligned(docs: DataFrame, definition: str, model: bytes) -> DataFrame:
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        aligner, number, none = Aligner(*files.value), TaskContext.get().partitionId() << 33, np.zeros(0, np.int64)
+        aligner, number = Aligner(*files.value), TaskContext.get().partitionId() << 33
         for batch in batches:
-            for piece in slices(batch, "text"):
+            for piece in slices(batch, "text", _SLICE):
                 texts, which, bounds = stretches(piece.column("text"))
                 parts = aligner.parts(texts)
-                good = np.array([p is not None for p in parts], bool)
-                whole = (bounds[1:] > bounds[:-1]) & (_sums(~good, which, bounds) == 0)
-                links = [p.links if p else none for p in parts]
-                sizes = np.array([len(x) for x in links], np.int64)
-                values = {c: np.array([getattr(p, c) if p else 0 for p in parts], np.int64) for c in ("n_a", "n_b", "n_groups")}
-                values["n_links"] = sizes
-                digests = []
-                for row, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
-                    joined = ";".join([parts[k].digest for k in which[a:b].tolist()]) if whole[row] else None
-                    digests.append("" if joined is None else hashlib.sha256(joined.encode()).hexdigest())
-                n, part_of = piece.num_rows, np.repeat(whole, bounds[1:] - bounds[:-1])
-                named = np.where(whole, bounds[1:] - bounds[:-1], 0)
+                n, length = piece.num_rows, bounds[1:] - bounds[:-1]
+                whole = (length > 0) & (_sums(~parts.whole, which, bounds) == 0)
+                digests, groups = [""] * n, parts.groups
+                for row in np.flatnonzero(whole).tolist():
+                    joined = "".join([groups[k] for k in which[bounds[row] : bounds[row + 1]].tolist()])
+                    digests[row] = hashlib.sha256(joined[:-1].encode()).hexdigest()
+                values = {c: np.where(whole, _sums(getattr(parts, c), which, bounds), 0) for c in ("n_a", "n_b", "n_groups", "n_links")}
+                used = which[np.repeat(whole, length)]
                 yield _batch(
                     slice=pa.array(np.full(n, number)),
                     is_doc=pa.array(np.ones(n, bool)),
                     doc_id=piece.column("doc_id"),
-                    **{c: pa.array(np.where(whole, _sums(v, which, bounds), 0)) for c, v in values.items()},
+                    **{c: pa.array(v) for c, v in values.items()},
                     groups_sha256=pa.array(digests, pa.string()),
-                    parts=_lists(which[part_of], named),
+                    parts=_lists(used.astype(np.int32), np.where(whole, length, 0)),
                 )
-                pairs, place = np.unique(np.concatenate([none, *links]), return_inverse=True)
-                times = np.bincount(which[part_of], minlength=len(parts))
-                counts = np.bincount(place, np.repeat(times, sizes), minlength=len(pairs)).astype(np.int64)
+                pairs, place = np.unique(parts.links, return_inverse=True)
+                times = np.bincount(used, minlength=len(texts))
+                counts = np.bincount(place, np.repeat(times, parts.n_links), minlength=len(pairs)).astype(np.int64)
                 one = lambda x: _lists(x, [len(x)])
                 yield _batch(
                     slice=pa.array([number]),
                     is_doc=pa.array([False]),
-                    parts=one(sizes.astype(np.int32)),
+                    parts=one(parts.n_links.astype(np.int32)),
                     links=one(place.astype(np.int32)),
                     pairs=one(pairs),
                     counts=one(counts),
