@@ -1,4 +1,5 @@
 import math
+import random
 from itertools import combinations
 
 import pytest
@@ -6,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from helpers import by
+from pyspark.sql import functions as F
 from tillroll.operators import baskets as b
 
 
@@ -103,6 +105,37 @@ def test_many_copies_and_one_huge_order(spark):
     )
 
 
+@pytest.mark.parametrize("combined, buckets", [(1, 1), (2, 3)])
+def test_orders_set_apart_match_brute_force(spark, monkeypatch, combined, buckets):
+    monkeypatch.setattr(b, "COMBINED", combined)
+    monkeypatch.setattr(b, "BUCKETS", buckets)
+    rng = random.Random(buckets)
+    orders = [rng.sample("abcdefgh", rng.choice([2, 2, 3, 6])) for _ in range(200)]
+    frame = basket_frame(spark, orders)
+    for support, max_len in ((0.05, 2), (0.4, 3), (0.08, None)):
+        assert found(b.frequent_itemsets(frame, support, max_len)) == brute_force(orders, support, max_len)
+
+
+def test_rows_that_meet_the_bitmaps_grow_with_the_input(spark, monkeypatch):
+    """Many large orders, every pair somewhere, none frequent: each pair meets an order only
+    within a word of 64 orders, and only while it can reach the support."""
+    monkeypatch.setattr(b, "COMBINED", 8)
+    count, joined = b._count_in, []
+
+    def counted(bits, itemsets):
+        joined.append(itemsets.select("items", F.explode("items").alias("item")).join(bits, "item").count())
+        return count(bits, itemsets)
+
+    monkeypatch.setattr(b, "_count_in", counted)
+    rng = random.Random(1)
+    for n in (1_000, 2_000):
+        orders = [rng.sample(range(100), max(2, min(40, int(rng.paretovariate(0.9))))) for _ in range(n)]
+        frame = spark.createDataFrame([(o, f"i{i}") for o, items in enumerate(orders) for i in items], "order_id long, item string")
+        sets = found(b.frequent_itemsets(frame, 0.05, 2))
+        assert sets == {tuple(sorted(f"i{i}" for i in k)): v for k, v in brute_force(orders, 0.05, 2).items()}
+        assert joined.pop() < 2 * sum(map(len, orders))
+
+
 def test_min_support_is_checked(spark):
     with pytest.raises(ValueError, match="min_support"):
         b.frequent_itemsets(basket_frame(spark, ORDERS), 0)
@@ -143,6 +176,26 @@ def test_rules(spark, metric, least):
     assert [r["lift"] for r in rows] == sorted((r["lift"] for r in rows), reverse=True)
 
 
+@pytest.mark.parametrize("metric, least", [("confidence", 0.9), ("lift", 2.5), ("leverage", 0.1), ("conviction", 6.0), ("support", 0.2)])
+def test_splits_that_cannot_reach_the_threshold_are_not_formed(spark, monkeypatch, metric, least):
+    rng = random.Random(7)
+    orders = ["".join(sorted(set("abcde") - set(rng.sample("abcde", rng.choice([0, 0, 1]))) | set(rng.sample("vwxyz", 2)))) for _ in range(30)]
+    orders += ["".join(rng.sample("abcdefvwxyz", 2)) for _ in range(60)]
+    sets = b.frequent_itemsets(basket_frame(spark, orders), 0.06)
+    known, formed = b._known, []
+
+    def counted(splits, itemsets):
+        formed.append(splits.count())
+        return known(splits, itemsets)
+
+    monkeypatch.setattr(b, "_known", counted)
+    rows = b.association_rules(sets, metric, least).collect()
+    every = list(brute_rules(orders, 0.06))
+    want = {(a, c) for a, c, m in every if m[metric] >= least}
+    assert {(tuple(r["antecedents"]), tuple(r["consequents"])) for r in rows} == want and want
+    assert sum(formed) < 0.75 * len(every)
+
+
 def test_rules_both_ways_and_certain(spark):
     sets = b.frequent_itemsets(basket_frame(spark, ORDERS), 0.25, 2)
     rows = by_pair(b.association_rules(sets, "support", 0.0))

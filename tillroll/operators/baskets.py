@@ -9,6 +9,10 @@ from tillroll.functions.expressions import ratio
 from tillroll.functions.sharing import cut_lineage, share
 
 RULE_METRICS = ("support", "confidence", "lift", "leverage", "conviction")
+SYMMETRIC = ("support", "lift", "leverage")  # the same for a rule and its reverse
+COMBINED = 64  # items of an order that is always combined with itself: 2,016 pairs
+BUCKETS = 16  # of the orders set apart
+_SLACK = 1e-9  # for the rounding of bounds
 
 
 def order_baskets(
@@ -40,14 +44,17 @@ def frequent_itemsets(
 
     ``baskets`` is ``order_id, item``. Items below the support cannot be part of a
     frequent set, so they are dropped first. If a frequent set needs n orders, it is in
-    one that is not among the n - 1 largest: only the others name sets, level by level,
-    and the largest ones are searched for the sets named. So the longest orders, which
-    would make the most combinations, are never combined with themselves.
+    one that is not among any n - 1 others. So up to n - 1 orders, the largest of those
+    with more than ``COMBINED`` items, are set apart and never combined with themselves:
+    the other orders name sets, level by level, and of these the ones that can still reach
+    the support are looked up in bitmaps of the orders set apart.
     """
     if not 0 < min_support <= 1:
         raise ValueError("min_support must be above 0 and at most 1")
     baskets = share(baskets)
-    total = baskets.agg(F.count_distinct("order_id")).first()[0]
+    # Orders by size: no more sizes than the root of twice the rows.
+    sizes = dict(_sizes(baskets).groupBy("size").agg(F.count(F.lit(1))).collect())
+    total = sum(sizes.values())
     needed = max(1, int(min_support * total) - 1)
     while total and needed / total < min_support:
         needed += 1
@@ -55,55 +62,75 @@ def frequent_itemsets(
     found = singles.select(F.array("item").alias("items"), "n")
     if max_len is None or max_len > 1:
         kept = share(baskets.join(singles.select("item"), "item", "left_semi"))
-        found = found.unionByName(_grow(kept, needed, max_len))
+        apart = None
+        smallest = _smallest_apart(sizes, needed - 1)
+        if smallest is not None:
+            apart = share(_sizes(baskets).where(F.col("size") >= smallest).select("order_id"))
+        found = found.unionByName(_grow(kept, apart, needed, max_len))
     return found.withColumn("support", ratio(F.col("n"), F.lit(total)))
 
 
-def _largest_orders(kept: DataFrame, most: int) -> DataFrame:
-    """The largest orders, ``most`` of them at most: all from some size on."""
-    sizes = kept.groupBy("order_id").agg(F.count(F.lit(1)).alias("size"))
-    # Distinct sizes, from the top: few, as they add up to the rows.
-    counts = sizes.groupBy("size").agg(F.count(F.lit(1)).alias("n"))
-    from_top = F.sum("n").over(Window.orderBy(F.desc("size")))
-    smallest = (
-        counts.withColumn("from_top", from_top)
-        .where(F.col("from_top") <= most)
-        .agg(F.min("size").alias("smallest"))
-        .scalar()
-    )
-    return share(sizes.where(F.col("size") >= smallest).select("order_id"))
+def _sizes(baskets: DataFrame) -> DataFrame:
+    return baskets.groupBy("order_id").agg(F.count(F.lit(1)).alias("size"))
+
 
+def _smallest_apart(sizes: dict[int, int], most: int) -> int | None:
+    """The size from which on orders are set apart, so that they are ``most`` at most."""
+    smallest, orders = None, 0
+    for size in sorted(sizes, reverse=True):
+        orders += sizes[size]
+        if size <= COMBINED or orders > most:
+            break
+        smallest = size
+    return smallest
 
-def _grow(kept: DataFrame, needed: int, max_len: int | None) -> DataFrame:
+
+def _grow(kept: DataFrame, apart: DataFrame | None, needed: int, max_len: int | None) -> DataFrame:
     """Itemsets of two and more items of ``order_id, item``.
 
-    ``inside`` has a row for each frequent set in each order: its first items and its
-    last. Two sets of an order that differ in the last one alone make the next longer
-    set. The join feeds a partial count, so the shuffle carries a count per distinct set
-    and task.
+    ``inside`` has a row for each frequent set in each order that is not set apart: its
+    first items, its last, and ``reach``, how many orders set apart can hold it, as none
+    holds it that lacks one of its items. Two sets of an order that differ in the last
+    item alone make the next longer set. The join feeds a partial count, so the shuffle
+    carries a count per distinct set and task.
     """
-    largest = _largest_orders(kept, needed - 1)
-    n_largest = largest.agg(F.count(F.lit(1)).alias("n")).scalar()
-    in_largest = share(kept.join(largest, "order_id", "left_semi"))
-    ordinary = kept.join(largest, "order_id", "left_anti")
-    inside = ordinary.select("order_id", F.slice(F.array("item"), 1, 0).alias("first"), F.col("item").alias("last"))
+    none = F.lit(0).cast("bigint")
+    bits = None
+    if apart is None:
+        inside = kept.withColumn("reach", none)
+    else:
+        bits = share(_bitmaps(kept.join(apart, "order_id", "left_semi")))
+        reach = bits.groupBy("item").agg(F.sum(F.bit_count("bits")).alias("reach"))
+        inside = (
+            kept.join(apart, "order_id", "left_anti")
+            .join(reach, "item", "left")
+            .withColumn("reach", F.coalesce("reach", none))
+        )
+    inside = inside.select("order_id", F.slice(F.array("item"), 1, 0).alias("first"), F.col("item").alias("last"), "reach")
     found, length = None, 2
     while True:
-        other = inside.select("order_id", "first", F.col("last").alias("next"))
+        other = inside.select("order_id", "first", F.col("last").alias("next"), F.col("reach").alias("other_reach"))
         longer = (
             inside.join(other, ["order_id", "first"])
             .where(F.col("last") < F.col("next"))
-            .select("order_id", F.concat("first", F.array("last")).alias("first"), F.col("next").alias("last"))
+            .select(
+                "order_id",
+                F.concat("first", F.array("last")).alias("first"),
+                F.col("next").alias("last"),
+                F.least("reach", "other_reach").alias("reach"),
+            )
         )
-        counts = longer.groupBy("first", "last").agg(F.count(F.lit(1)).alias("n"))
+        counts = longer.groupBy("first", "last").agg(F.count(F.lit(1)).alias("n"), F.max("reach").alias("reach"))
         items = F.concat("first", F.array("last")).alias("items")
-        possible = share(counts.where(F.col("n") + n_largest >= needed).select(items, "n"))
-        level = (
-            possible.unionByName(_count_in(in_largest, possible))
-            .groupBy("items")
-            .agg(F.sum("n").alias("n"))
-            .where(F.col("n") >= needed)
-        )
+        level = counts.where(F.col("n") + F.col("reach") >= needed).select(items, "n")
+        if bits is not None:
+            level = share(level)
+            level = (
+                level.unionByName(_count_in(bits, level))
+                .groupBy("items")
+                .agg(F.sum("n").alias("n"))
+                .where(F.col("n") >= needed)
+            )
         if length != max_len:
             level = share(level)
         found = level if found is None else found.unionByName(level)
@@ -120,16 +147,32 @@ def _grow(kept: DataFrame, needed: int, max_len: int | None) -> DataFrame:
         length += 1
 
 
-def _count_in(members: DataFrame, itemsets: DataFrame) -> DataFrame:
-    """How many orders of ``members`` (``order_id, item``) hold each whole itemset."""
+def _bitmaps(members: DataFrame) -> DataFrame:
+    """``item, bucket, word, bits`` of ``order_id, item``: the orders that hold an item, 64 in
+    a word. Orders are dealt to buckets by their hash and numbered in each, so no task
+    numbers all of them."""
+    bucket = F.pmod(F.xxhash64("order_id"), F.lit(BUCKETS)).alias("bucket")
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy("order_id")) - 1
+    orders = members.select("order_id").distinct().select("order_id", bucket).withColumn("place", place)
+    bit = F.expr("shiftleft(1L, cast(place % 64 as int))")
+    return (
+        members.join(orders, "order_id")
+        .groupBy("item", "bucket", F.expr("place div 64").alias("word"))
+        .agg(F.bit_or(bit).alias("bits"))
+    )
+
+
+def _count_in(bits: DataFrame, itemsets: DataFrame) -> DataFrame:
+    """How many orders of the bitmaps hold each whole itemset: one row meets 64 orders."""
     return (
         itemsets.select("items", F.explode("items").alias("item"))
-        .join(members, "item")
-        .groupBy("items", "order_id")
-        .agg(F.count(F.lit(1)).alias("held"))
+        .join(bits, "item")
+        .groupBy("items", "bucket", "word")
+        .agg(F.bit_and("bits").alias("bits"), F.count(F.lit(1)).alias("held"))
         .where(F.col("held") == F.size("items"))
         .groupBy("items")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum(F.bit_count("bits")).alias("n"))
+        .where("n > 0")
     )
 
 
@@ -141,28 +184,33 @@ def association_rules(
 
     ``itemsets`` must hold all frequent sets up to its longest, as
     ``frequent_itemsets`` returns them: a part of a frequent set is frequent. Of sets of
-    any length only rules whose both sides are known are formed, one more item a round.
+    any length only rules whose both sides are known are formed, one more item a round,
+    and only from sets and splits that ``_can_reach`` the threshold.
     """
     if metric not in RULE_METRICS:
         raise ValueError(f"unknown metric {metric!r}; one of {', '.join(RULE_METRICS)}")
     itemsets = share(itemsets)
     longest = itemsets.agg(F.max(F.size("items"))).first()[0] or 0
-    # Consequents grow item by item, in the items' order, through sets that are known. An
-    # item that moves over to them can only lower the confidence.
-    level = itemsets.where(F.size("items") > 1).select(
-        "items", "support", F.slice("items", 1, 0).alias("consequents"), F.explode("items").alias("next")
+    # Consequents grow item by item, in the items' order, through sets that are known. Where
+    # a rule and its reverse measure the same, the first item stays an antecedent and each
+    # split stands for both.
+    fixed = 1 if metric in SYMMETRIC else 0
+
+    def free(items: str) -> Column:
+        return F.explode(F.slice(items, F.lit(1 + fixed), F.size(items) - fixed)).alias("next")
+
+    level = (
+        itemsets.where(F.size("items") > 1)
+        .where(_can_reach(metric, F.col("support"), min_threshold))
+        .select("items", "support", F.slice("items", 1, 0).alias("consequents"), free("items"))
     )
     rules = None
     for length in range(1, max(longest, 2)):
         grown = F.concat("consequents", F.array("next"))
-        level = _measured(
-            level.select(
-                "items", "support", F.array_except("items", grown).alias("antecedents"), grown.alias("consequents")
-            ),
-            itemsets,
+        splits = level.select(
+            "items", "support", F.array_except("items", grown).alias("antecedents"), grown.alias("consequents")
         )
-        if metric == "confidence":
-            level = level.where(F.col("confidence") >= min_threshold)
+        level = _known(splits, itemsets).where(_can_reach(metric, F.col("antecedent_support"), min_threshold))
         if length > 1:
             level = cut_lineage(level)
             if level.isEmpty():
@@ -170,44 +218,73 @@ def association_rules(
         elif longest > 2:
             level = share(level)
         rules = level if rules is None else rules.unionByName(level)
-        level = level.where(F.size("antecedents") > 1).select(
-            "items", "support", "consequents", F.explode("antecedents").alias("next")
-        ).where(F.col("next") > F.element_at("consequents", -1))
+        level = (
+            level.where(F.size("antecedents") > 1)
+            .select("items", "support", "consequents", free("antecedents"))
+            .where(F.col("next") > F.element_at("consequents", -1))
+        )
+    rules = rules.drop("items")
     return (
-        rules.drop("items")
+        _measured(_both_ways(rules) if fixed else rules)
         .where(F.col(metric) >= min_threshold)
         .orderBy(F.desc("lift"), "antecedents", "consequents")
     )
 
 
-def _measured(splits: DataFrame, itemsets: DataFrame) -> DataFrame:
-    """Splits of itemsets into two known ones, with the measures of the rule."""
+def _can_reach(metric: str, antecedent: Column, threshold: float) -> Column:
+    """Whether a split of a set, or one that an item moved over to the consequents leads to,
+    can reach the threshold.
+
+    ``antecedent`` is at most the support of its antecedents: that of the split at hand, as
+    fewer antecedents have no lower support, or that of the set. No consequents have a
+    lower support than the set.
+    """
+    whole = F.col("support")
+    sure = F.when(antecedent <= whole, F.lit(float("inf")))  # the confidence can be 1
+    bound = {
+        "support": whole,
+        "confidence": whole / antecedent,
+        "lift": 1 / antecedent,
+        "leverage": whole - antecedent * whole,
+        "conviction": sure.otherwise((1 - whole) / (1 - whole / antecedent)),
+    }[metric]
+    return bound + F.abs(bound) * _SLACK + _SLACK >= threshold
+
+
+def _known(splits: DataFrame, itemsets: DataFrame) -> DataFrame:
+    """Splits of itemsets into two known ones, with their supports."""
     antecedents = itemsets.select(
         F.col("items").alias("antecedents"), F.col("support").alias("antecedent_support")
     )
     consequents = itemsets.select(
         F.col("items").alias("consequents"), F.col("support").alias("consequent_support")
     )
+    return splits.join(antecedents, "antecedents").join(consequents, "consequents")
+
+
+def _both_ways(splits: DataFrame) -> DataFrame:
+    names = ("antecedents", "consequents", "antecedent_support", "consequent_support")
+    swapped = (names[1], names[0], names[3], names[2])
+    sides = [F.struct(*[F.col(c).alias(n) for c, n in zip(some, names)]) for some in (names, swapped)]
+    return splits.select("support", F.inline(F.array(*sides)))
+
+
+def _measured(splits: DataFrame) -> DataFrame:
+    """The measures of the rules that splits with their supports are."""
     confidence, s_both = F.col("confidence"), F.col("support")
     s_ante, s_cons = F.col("antecedent_support"), F.col("consequent_support")
-    return (
-        splits.join(antecedents, "antecedents")
-        .join(consequents, "consequents")
-        .withColumn("confidence", s_both / s_ante)
-        .select(
-            "items",
-            "antecedents",
-            "consequents",
-            "antecedent_support",
-            "consequent_support",
-            "support",
-            "confidence",
-            (confidence / s_cons).alias("lift"),
-            (s_both - s_ante * s_cons).alias("leverage"),
-            F.when(confidence >= 1, F.lit(float("inf")))
-            .otherwise((1 - s_cons) / (1 - confidence))
-            .alias("conviction"),
-        )
+    return splits.withColumn("confidence", s_both / s_ante).select(
+        "antecedents",
+        "consequents",
+        "antecedent_support",
+        "consequent_support",
+        "support",
+        "confidence",
+        (confidence / s_cons).alias("lift"),
+        (s_both - s_ante * s_cons).alias("leverage"),
+        F.when(confidence >= 1, F.lit(float("inf")))
+        .otherwise((1 - s_cons) / (1 - confidence))
+        .alias("conviction"),
     )
 
 
@@ -261,25 +338,20 @@ def association_edges(rules: DataFrame, directed: bool = False) -> DataFrame:
 def association_nodes(rules: DataFrame, directed: bool = False) -> DataFrame:
     """``item, color, degree``: blue if the item came first as a source in rule order,
     else red; the degree counts the edges that touch it."""
-    role = F.explode(
-        F.array(
-            F.struct(F.col("source").alias("item"), F.lit(0).alias("side")),
-            F.struct(F.col("target").alias("item"), F.lit(1).alias("side")),
-        )
-    ).alias("end")
-    rules = share(rules)
-    # The earliest appearance is a minimum per item; rules are never put in one line.
-    colors = (
+    ends = [("source", "target", 0), ("target", "source", 1)]
+    seen = F.explode(
+        F.array(*[F.struct(F.col(a).alias("item"), F.col(b).alias("partner"), F.lit(side).alias("side")) for a, b, side in ends])
+    )
+    # The earliest appearance is a minimum per item; rules are never put in one line. One edge
+    # a pair, so an item has as many edges as partners; directed, as many as rules.
+    pairs = (
         _ends(rules)
-        .select("place", role)
-        .groupBy(F.col("end.item").alias("item"))
-        .agg(F.min(F.struct("place", "end.side")).alias("first"))
-        .select("item", F.when(F.col("first.side") == 0, "blue").otherwise("red").alias("color"))
+        .select("place", seen.alias("end"))
+        .groupBy("end.item", "end.partner")
+        .agg(F.min(F.struct("place", "end.side")).alias("first"), F.count(F.lit(1)).alias("n"))
     )
-    degrees = (
-        association_edges(rules, directed)
-        .select(F.explode(F.array("source", "target")).alias("item"))
-        .groupBy("item")
-        .agg(F.count(F.lit(1)).alias("degree"))
+    return (
+        pairs.groupBy("item")
+        .agg(F.min("first").alias("first"), (F.sum("n") if directed else F.count(F.lit(1))).alias("degree"))
+        .select("item", F.when(F.col("first.side") == 0, "blue").otherwise("red").alias("color"), "degree")
     )
-    return colors.join(degrees, "item")
