@@ -19,16 +19,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillroll.llm.stages import written
+from tillroll.llm.stages import fresh, written
 
 BLOCK_BYTES = 4096
 _RANK_BITS = 40
-ROW = "naming_row"  # a column of this name numbers the rows
 
 
-def text_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
+def text_blocks(docs: DataFrame, block_bytes: int, row: str | None = None) -> DataFrame:
     """Rows ``row, place, blocks, block, doc_id, text_sha256``; the last two and the number
-    of blocks on place 0 only. An empty text is one empty block."""
+    of blocks on place 0 only. An empty text is one empty block. ``row`` names a column of
+    ``docs`` that numbers them."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -52,7 +52,7 @@ def text_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
     types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary()]
     text = F.coalesce("text", F.lit(""))
     keyed = docs.select(
-        (F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()).alias("row"),
+        (F.col(row) if row else F.monotonically_increasing_id()).alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),
         text.alias("text"),
         F.unhex(F.sha2(text, 256)).alias("text_sha256"),
@@ -123,11 +123,11 @@ def name_keys(rows: DataFrame, keys: list[str], stage: str) -> DataFrame:
     return named.join(F.broadcast(mended), "name", "left").select(*rest, F.coalesce("first", "name").alias("name"))
 
 
-def block_names(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def block_names(docs: DataFrame, block_bytes: int = BLOCK_BYTES, row: str | None = None) -> DataFrame:
     """One row per document: ``row, doc_id, text_sha256, blocks, name``. Equal texts, and
     only they, have equal (blocks, name)."""
     heads = ["blocks", "doc_id", "text_sha256"]
-    level = name_keys(text_blocks(docs, block_bytes), ["block"], "blocks")
+    level = name_keys(text_blocks(docs, block_bytes, row), ["block"], "blocks")
     longest = level.agg(F.max("blocks")).first()[0] or 0
     done = [level.where("blocks = 1").drop("place")]
     level, width = level.where("blocks > 1"), 1
@@ -167,8 +167,10 @@ def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFra
 
 
 def without_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that ``exact_duplicates`` keeps."""
-    numbered = docs.withColumn(ROW, F.monotonically_increasing_id())
+    """The rows of ``docs``, with all their columns, that ``exact_duplicates`` keeps. ``docs``
+    is read twice and must give its rows in the same order, as files do."""
+    row = fresh(docs, "naming_row")
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
     best = F.max(F.struct("doc_id", "row"))
-    kept = block_names(numbered, block_bytes).groupBy("blocks", "name").agg(best.alias("best"))
-    return numbered.join(kept.select(F.col("best.row").alias(ROW)), ROW, "leftsemi").drop(ROW)
+    kept = block_names(numbered, block_bytes, row).groupBy("blocks", "name").agg(best.alias("best"))
+    return numbered.join(kept.select(F.col("best.row").alias(row)), row, "leftsemi").drop(row)
