@@ -5,7 +5,10 @@ import pytest
 from helpers import by
 from test_cleaning import order_row, write_csv
 from tillroll.functions.sharing import share
+from tillroll.plans import daily
 from tillroll.plans.daily import run_daily
+from tillroll.sources import published
+from tillroll.sources.published import published_versions, read_published
 
 
 def order_file(tmp_path):
@@ -29,8 +32,8 @@ def test_all_outputs_are_written(spark, tmp_path, fmt):
         "cleaned_data": 30, "quality_report": 29, "customer_metrics": 7, "boston_matrix": 4,
     }
     for name, row in summary.items():
-        assert glob.glob(f"{out}/{name}/*.{fmt}")
-        back = spark.read.parquet(f"{out}/{name}") if fmt == "parquet" else spark.read.csv(f"{out}/{name}", header=True)
+        assert glob.glob(f"{out}/versions/*/{name}/*.{fmt}")
+        back = read_published(spark, out, name)
         assert back.count() == row["rows"]
     assert "risk_level" in back.columns or "category" in back.columns
 
@@ -45,10 +48,53 @@ def test_a_second_run_replaces_the_first(spark, tmp_path):
 def test_a_failed_run_leaves_the_old_outputs(spark, tmp_path):
     path, out = order_file(tmp_path), tmp_path / "out"
     run_daily(spark, path, str(out))
-    before = {p.name: sorted(f.name for f in p.iterdir()) for p in out.iterdir()}
+    before = sorted(str(p) for p in out.rglob("*"))
     with pytest.raises(Exception, match="label"):
         run_daily(spark, path, str(out), risk_label_names=("one",))
-    assert {p.name: sorted(f.name for f in p.iterdir()) for p in out.iterdir()} == before
+    assert sorted(str(p) for p in out.rglob("*")) == before
+
+
+@pytest.mark.parametrize("stops_at", ["manifest", "rename", "clean up"])
+def test_readers_see_one_run_whole_wherever_the_next_stops(spark, tmp_path, monkeypatch, stops_at):
+    """The run is cut off before its manifest, between writing and naming it, or behind it."""
+    out = str(tmp_path / "out")
+    run_daily(spark, order_file(tmp_path), out)
+    (old,) = published_versions(spark, out)
+    longer = write_csv(tmp_path / "more.csv", *[order_row(order_id=f"n{i}", order_date="1/2/2013") for i in range(50)])
+
+    class Stopped(BaseException):
+        pass
+
+    def stop(*_, **__):
+        raise Stopped
+
+    if stops_at == "manifest":
+        monkeypatch.setattr(daily, "publish", stop)
+    elif stops_at == "rename":
+        monkeypatch.setattr(published.json, "dumps", stop)
+    else:
+        monkeypatch.setattr(published, "published_versions", stop)
+    with pytest.raises(Stopped):
+        run_daily(spark, longer, out)
+    monkeypatch.undo()
+    rows = {name: read_published(spark, out, name).count() for name in ("cleaned_data", "customer_metrics")}
+    if stops_at == "clean up":  # the new version is complete, and stays
+        assert rows["cleaned_data"] == 50 and published_versions(spark, out)[0] == old
+    else:
+        assert rows["cleaned_data"] == 30 and published_versions(spark, out) == [old]
+    assert read_published(spark, out, "cleaned_data", old).count() == 30
+
+
+def test_old_versions_go_and_wrong_names_are_told(spark, tmp_path):
+    path, out = order_file(tmp_path), tmp_path / "out"
+    with pytest.raises(FileNotFoundError):
+        read_published(spark, str(out), "cleaned_data")
+    for _ in range(3):
+        run_daily(spark, path, str(out))
+    assert sorted(p.name for p in (out / "versions").iterdir()) == published_versions(spark, str(out))
+    assert len(published_versions(spark, str(out))) == published.KEPT
+    with pytest.raises(KeyError, match="cleaned_data"):
+        read_published(spark, str(out), "nothing")
 
 
 def test_file_order_decides_what_comes_first(spark, tmp_path):
@@ -59,8 +105,8 @@ def test_file_order_decides_what_comes_first(spark, tmp_path):
     path, out = write_csv(tmp_path / "orders.csv", *rows), str(tmp_path / "out")
     for file_order, first in ((True, 50.0), (False, 30.0)):
         run_daily(spark, path, out, file_order=file_order)
-        assert [r.first_order_revenue for r in spark.read.parquet(f"{out}/customer_metrics").collect()] == [first]
-        assert "file_order" not in spark.read.parquet(f"{out}/cleaned_data").columns
+        assert [r.first_order_revenue for r in read_published(spark, out, "customer_metrics").collect()] == [first]
+        assert "file_order" not in read_published(spark, out, "cleaned_data").columns
 
 
 def test_frames_of_others_stay_shared(spark, tmp_path):

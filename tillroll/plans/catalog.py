@@ -16,6 +16,7 @@ from tillroll.functions.sharing import scratch_path
 from tillroll.operators import baskets, cleaning, customers, growth, products, profiling
 from tillroll.plans.daily import run_daily
 from tillroll.sources.orders_files import delete_output, load_orders, write_output
+from tillroll.sources.published import read_published
 from tillroll.sources.star_tables import raw_order_text, sales_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -180,7 +181,7 @@ def _daily_job(spark: SparkSession, sf_dir: str, output: str | None = None) -> D
     folder = scratch_path(spark, "daily")
     summary = run_daily(spark, raw, folder, risk_edges=RISK_EDGES)
     delete_output(spark, raw)
-    return summary if output is None else spark.read.parquet(f"{folder}/{output}")
+    return summary if output is None else read_published(spark, folder, output)
 
 
 def _basket_products(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +17,8 @@ from tillroll.operators.customers import (
     risk_allocation_report,
 )
 from tillroll.operators.products import boston_matrix
-from tillroll.sources.orders_files import delete_output, load_orders, replace_output, write_output
+from tillroll.sources.orders_files import delete_output, load_orders, write_output
+from tillroll.sources.published import new_version, output_path, publish, published_versions
 
 
 def run_daily(
@@ -38,35 +38,37 @@ def run_daily(
     Each stage is written as parquet and the next one reads that table, so a lost
     executor costs no earlier stage. ``quality_report`` tells what cleaning dropped and
     could not read. With ``file_order`` the first of equal rows stays, and first orders
-    and day gaps follow the file, else the dates. All outputs are written to a staging
-    folder and put in place at the end: a run that fails leaves the old ones as they are.
+    and day gaps follow the file, else the dates. Outputs are published as one version, to
+    be read with ``read_published``: wherever a run fails, readers see the version before.
     """
     order_key = "file_order" if file_order else None
-    output_dir = output_dir.rstrip("/")
-    staging = f"{output_dir}/_staging-{uuid.uuid4().hex}"
+    version = new_version()
     work = scratch_path(spark, "stages")
     counts: list[tuple[str, int]] = []
 
-    def publish(name: str, df: DataFrame) -> DataFrame:
+    def stage(name: str, df: DataFrame) -> DataFrame:
         as_it_is = fmt == "parquet" and "file_order" not in df.columns
-        staged = spark.read.parquet(write_output(df, f"{staging if as_it_is else work}/{name}"))
+        target = output_path(output_dir, version, name)
+        staged = spark.read.parquet(write_output(df, target if as_it_is else f"{work}/{name}"))
         if not as_it_is:
-            write_output(staged.drop("file_order"), f"{staging}/{name}", fmt)
+            write_output(staged.drop("file_order"), target, fmt)
         counts.append((name, staged.count()))
         return staged
 
     try:
         with shared_scope():
             raw = load_orders(spark, input_path, multiline, file_order)
-            clean = publish("cleaned_data", clean_orders(raw, date_mode, order_key))
-            publish("quality_report", quality_report(raw.drop("file_order"), clean.drop("file_order"), date_mode))
-            customers = publish("customer_metrics", clv_segments(customer_metrics(clean, order_key)))
+            clean = stage("cleaned_data", clean_orders(raw, date_mode, order_key))
+            stage("quality_report", quality_report(raw.drop("file_order"), clean.drop("file_order"), date_mode))
+            customers = stage("customer_metrics", clv_segments(customer_metrics(clean, order_key)))
         budget = risk_allocation(customers, as_of_year, risk_edges, risk_label_names)
-        publish("risk_budget", risk_allocation_report(budget))
-        publish("boston_matrix", boston_matrix(clean))
-        for name, _ in counts:
-            replace_output(spark, f"{staging}/{name}", f"{output_dir}/{name}")
+        stage("risk_budget", risk_allocation_report(budget))
+        stage("boston_matrix", boston_matrix(clean))
+        publish(spark, output_dir, version, {name: fmt for name, _ in counts})
+    except BaseException:
+        if version not in published_versions(spark, output_dir):
+            delete_output(spark, output_path(output_dir, version, ""))
+        raise
     finally:
-        delete_output(spark, staging)
         delete_output(spark, work)
     return spark.createDataFrame(counts, "output string, rows bigint")
