@@ -6,9 +6,10 @@ paired, the pairs are sorted and named alike, and so on, until one name is left
 text. Two texts of the same number of blocks are equal if and only if their last names
 are equal: no hash decides anything.
 
-The sort is dealt out by ranges of (key, row, place), so a block that a third of all
-rows share is spread over many tasks. What runs over the edge between two tasks is
-mended from one small row per task.
+The sort is dealt out by ranges of (hash of the key, row, place), so a block that a third
+of all rows share is spread over many tasks, and no block goes to the driver. Inside a task
+keys of one hash are told apart by their bytes. What runs over the edge between two tasks
+is mended from a few rows per task.
 """
 
 from __future__ import annotations
@@ -16,19 +17,18 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.stages import fresh, written
+from tillroll.llm.stages import written
 
 BLOCK_BYTES = 4096
 _RANK_BITS = 40
 
 
-def text_blocks(docs: DataFrame, block_bytes: int, row: str | None = None) -> DataFrame:
+def text_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
     """Rows ``row, place, blocks, block, doc_id, text_sha256``; the last two and the number
-    of blocks on place 0 only. An empty text is one empty block. ``row`` names a column of
-    ``docs`` that numbers them."""
+    of blocks on place 0 only. An empty text is one empty block."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -52,7 +52,7 @@ def text_blocks(docs: DataFrame, block_bytes: int, row: str | None = None) -> Da
     types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary()]
     text = F.coalesce("text", F.lit(""))
     keyed = docs.select(
-        (F.col(row) if row else F.monotonically_increasing_id()).alias("row"),
+        F.monotonically_increasing_id().alias("row"),
         F.col("doc_id").cast("long").alias("doc_id"),
         text.alias("text"),
         F.unhex(F.sha2(text, 256)).alias("text_sha256"),
@@ -62,72 +62,70 @@ def text_blocks(docs: DataFrame, block_bytes: int, row: str | None = None) -> Da
     )
 
 
+def _deal(keys: list[str]) -> Column:
+    return F.xxhash64(*keys)
+
+
 def name_keys(rows: DataFrame, keys: list[str], stage: str) -> DataFrame:
     """Replace the key columns by ``name``: equal keys get equal names, others others, and
-    names ascend with the keys. ``row, place`` make the rows distinct."""
+    names ascend with (hash, key). ``row, place`` make the rows distinct."""
     rest = [c for c in rows.columns if c not in keys]
-    ranged = rows.repartitionByRange(*keys, "row", "place").sortWithinPartitions(*keys, "row", "place")
+    dealt = rows.withColumn("deal", _deal(keys)).repartitionByRange("deal", "row", "place")
+    ranged = dealt.sortWithinPartitions("deal", *keys, "row", "place")
     kinds = {f.name: f.dataType for f in rows.schema}
 
     def rank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        part = TaskContext.get().partitionId()
-        last, at = None, -1
+        first = TaskContext.get().partitionId() << _RANK_BITS
+        last, name = None, first - 1
         for batch in batches:
-            names, firsts = [], []
-            columns = [batch.column(k).to_pylist() for k in keys]
+            names, edges = [], []
+            columns = [batch.column(k).to_pylist() for k in ("deal", *keys)]
             for key in zip(*columns):
                 if key != last:
-                    last, at = key, at + 1
-                names.append((part << _RANK_BITS) + at)
-                firsts.append(at == 0)
-            kept = [batch.column(c) for c in rest]
-            # Each task's lowest name, and its last so far, show where a key crosses an edge.
+                    if last is None:
+                        edges.append((key, name + 1))
+                    elif key[0] == last[0]:
+                        edges += [(last, name), (key, name + 1)]
+                    last, name = key, name + 1
+                names.append(name)
             yield pa.RecordBatch.from_arrays(
-                [*kept, *(pa.array(c, arrow[k]) for k, c in zip(keys, edge_columns(columns, names, firsts))), pa.array(names, pa.int64())],
-                [*rest, *keys, "name"],
+                [*(batch.column(c) for c in rest), *(pa.nulls(len(names), arrow[k]) for k in keys), pa.array(names, pa.int64())], shown
             )
-
-    def edge_columns(columns: list[list], names: list[int], firsts: list[bool]) -> list[list]:
-        """Keys are kept on the rows next to an edge of a batch; the others need none."""
-        shown = {0, len(names) - 1}
-        return [[v if i in shown else None for i, v in enumerate(c)] for c in columns]
-
+            if edges:
+                yield edge_rows(edges, batch.schema)
+        if last is not None:
+            yield edge_rows([(last, name)], batch.schema)
+
+    def edge_rows(edges: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+        """Rows of keys alone, without a row: a task's first key and its last, and all keys of
+        a hash that several have. Only these can go on in another task."""
+        values = [pa.array([key[1 + i] for key, _ in edges], arrow[k]) for i, k in enumerate(keys)]
+        blank = [pa.nulls(len(edges), schema.field(c).type) for c in rest]
+        return pa.RecordBatch.from_arrays([*blank, *values, pa.array([name for _, name in edges], pa.int64())], shown)
+
+    shown = [*rest, *keys, "name"]
     arrow = {k: pa.binary() if kinds[k].typeName() == "binary" else pa.int64() for k in keys}
-    schema = ", ".join(
-        [*(f"`{c}` {kinds[c].simpleString()}" for c in rest), *(f"`{k}` {kinds[k].simpleString()}" for k in keys), "name long"]
-    )
-    named = written(ranged.mapInArrow(rank, schema), stage)
-
-    # One row per task: its first and last key with their names. As many as there are tasks.
-    known = named.where(F.coalesce(*[F.col(k).cast("string") for k in keys]).isNotNull())
-    edges = (
-        known.groupBy(F.shiftright("name", _RANK_BITS).alias("part"))
-        .agg(
-            F.min_by(F.struct(*keys, "name"), "name").alias("low"),
-            F.max_by(F.struct(*keys, "name"), "name").alias("high"),
-        )
-        .orderBy("part")
-        .collect()
-    )
-    same: dict[int, int] = {}
-    for before, after in zip(edges, edges[1:]):
-        if all(before["high"][k] == after["low"][k] for k in keys):
-            name = before["high"]["name"]
-            same[after["low"]["name"]] = same.get(name, name)
+    schema = ", ".join([*(f"`{c}` {kinds[c].simpleString()}" for c in (*rest, *keys)), "name long"])
+    table = written(ranged.mapInArrow(rank, schema), stage)
+    named = table.where("row is not null").select(*rest, "name")
+
+    lowest = F.min("name").over(Window.partitionBy(*keys)).alias("first")
+    edges = table.where("row is null").select("name", lowest).where("name <> first").distinct()
+    # Two numbers for each edge between tasks.
+    same = [tuple(r) for r in edges.collect()]
     if not same:
-        return named.select(*rest, "name")
-    # At most one row per task.
-    mended = named.sparkSession.createDataFrame(list(same.items()), "name long, first long")
+        return named
+    mended = table.sparkSession.createDataFrame(same, "name long, first long")
     return named.join(F.broadcast(mended), "name", "left").select(*rest, F.coalesce("first", "name").alias("name"))
 
 
-def block_names(docs: DataFrame, block_bytes: int = BLOCK_BYTES, row: str | None = None) -> DataFrame:
+def block_names(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """One row per document: ``row, doc_id, text_sha256, blocks, name``. Equal texts, and
     only they, have equal (blocks, name)."""
     heads = ["blocks", "doc_id", "text_sha256"]
-    level = name_keys(text_blocks(docs, block_bytes, row), ["block"], "blocks")
+    level = name_keys(text_blocks(docs, block_bytes), ["block"], "blocks")
     longest = level.agg(F.max("blocks")).first()[0] or 0
     done = [level.where("blocks = 1").drop("place")]
     level, width = level.where("blocks > 1"), 1
@@ -167,10 +165,15 @@ def exact_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFra
 
 
 def without_duplicates(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that ``exact_duplicates`` keeps. ``docs``
-    is read twice and must give its rows in the same order, as files do."""
-    row = fresh(docs, "naming_row")
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
-    best = F.max(F.struct("doc_id", "row"))
-    kept = block_names(numbered, block_bytes, row).groupBy("blocks", "name").agg(best.alias("best"))
-    return numbered.join(kept.select(F.col("best.row").alias(row)), row, "leftsemi").drop(row)
+    """The rows of ``docs``, with all their columns, that ``exact_duplicates`` keeps. They are
+    found again by doc_id and digest, in whatever order ``docs`` gives its rows."""
+
+    def key(sha: Column) -> Column:
+        return F.concat_ws(":", sha, F.col("doc_id").cast("long").cast("string")).alias("key")
+
+    groups = block_names(docs, block_bytes).groupBy("blocks", "name")
+    kept = groups.agg(F.max("doc_id").alias("doc_id"), F.first("text_sha256").alias("sha"))
+    rows = docs.select(key(F.sha2(F.coalesce("text", F.lit("")), 256)), F.struct("*").alias("whole"))
+    # Rows equal in both merge before the shuffle.
+    one = rows.groupBy("key").agg(F.first("whole").alias("whole"))
+    return one.join(kept.select(key(F.lower(F.hex("sha")))), "key", "leftsemi").select("whole.*")

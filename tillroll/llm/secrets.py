@@ -97,18 +97,17 @@ def scan_versions(docs: DataFrame, ledger: str, rules: Sequence[Rule] = RULES) -
     """Bring the ledger up to date with all rows of ``docs`` (doc_id, text) and return
     ``doc_id, blob`` of every row. A null text is an empty one."""
     spark = docs.sparkSession
-    numbered = docs.select(
-        F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce("text", F.lit("")).alias("text")
-    )
-    versions = written(numbered.select("row", "doc_id", F.unhex(F.sha2("text", 256)).alias("blob")), "versions")
-    wanted = versions.groupBy("blob").agg(F.min("row").alias("row"))
+    text = F.coalesce("text", F.lit(""))
+    named = docs.select("doc_id", F.unhex(F.sha2(text, 256)).alias("blob"), text.alias("text"))
+    versions = written(named.select("doc_id", "blob"), "versions")
     scanned = _ledger_table(spark, ledger, "scanned", "blob binary, rule string").distinct()
-    pairs = wanted.select("blob", "row", F.explode(F.array(*[F.lit(r.key) for r in rules])).alias("rule"))
+    pairs = versions.select("blob").distinct().select("blob", F.explode(F.array(*[F.lit(r.key) for r in rules])).alias("rule"))
     unseen = written(
-        pairs.join(scanned, ["blob", "rule"], "leftanti").groupBy("blob", "row").agg(F.collect_list("rule").alias("rules")),
+        pairs.join(scanned, ["blob", "rule"], "leftanti").groupBy("blob").agg(F.collect_list("rule").alias("rules")),
         "unseen",
     )
-    texts = numbered.select("row", "text").join(unseen, "row")
+    # A text comes with its own digest, in whatever order the rows come; copies merge before the shuffle.
+    texts = named.groupBy("blob").agg(F.first("text").alias("text")).join(unseen, "blob")
     increment = uuid.uuid4().hex
     _findings(texts, rules).write.parquet(f"{ledger}/findings/{increment}")
     unseen.select("blob", F.explode("rules").alias("rule")).write.parquet(f"{ledger}/scanned/{increment}")
