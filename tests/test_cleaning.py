@@ -106,6 +106,20 @@ def test_category_codes(spark):
     }
 
 
+@pytest.mark.parametrize("ranges", [1, 40, 100_000])
+def test_codes_of_a_large_domain(spark, monkeypatch, ranges):
+    monkeypatch.setattr(c, "CODE_RANGES", ranges)
+    wide = spark.range(9_000).selectExpr("concat('v', id * 7919 % 4000) as s", "if(id % 3 = 0, null, 'é') as t")
+    rows = by(c.category_codes(wide, ["s", "t"]), "column", "value")
+    domain = sorted({f"v{i}" for i in range(4_000)})
+    assert {v: r["code"] for (column, v), r in rows.items() if column == "s"} == {v: i for i, v in enumerate(domain)}
+    assert (rows["t", "é"]["code"], rows["t", "é"]["n"]) == (0, 6_000)
+    sizes = c.value_ranges(spark.createDataFrame([("s", v) for v in domain], "column string, value string")).groupBy("range").count()
+    if ranges == 40:  # no task ranks more than a small part of the domain
+        assert sizes.agg(F.max("count")).first()[0] < 1_000
+    assert c.category_codes(wide.limit(0), ["s", "t"]).collect() == []
+
+
 # --- files -------------------------------------------------------------------------------
 
 HEADERS = ["Quantity " if h == "Quantity" else h for h in RAW_HEADERS]
@@ -195,6 +209,19 @@ def test_clean_orders_and_report(spark, tmp_path):
     assert report[("columns", None)] == len(clean.columns)
 
 
+def test_rejected_rows_keep_their_text(spark, tmp_path):
+    path = write_csv(
+        tmp_path / "o.csv",
+        order_row(), order_row(order_id="2", unit_price="abc", ship_date="soon"), order_row(order_id="2", unit_price="abc", ship_date="soon"),
+        order_row(order_id="3", quantity="", order_date=" "), order_row(order_id="4", quantity="2.5"),
+    )
+    raw = load_orders(spark, path)
+    got = sorted((r.order_id, r.unit_price, r.rejected_for) for r in c.rejected_rows(raw).collect())
+    assert got == [("2", "abc", "ship_date,unit_price")] * 2 + [("4", "2.50", "quantity")]
+    plan = c.rejected_rows(raw)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
 def test_write_output_formats(spark, tmp_path):
     df = spark.createDataFrame([("a,b", 1.5), ('say "x"', None)], "t string, v double")
     for fmt in ("parquet", "csv"):

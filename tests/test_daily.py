@@ -38,6 +38,15 @@ def test_all_outputs_are_written(spark, tmp_path, fmt):
     assert "risk_level" in back.columns or "category" in back.columns
 
 
+def test_rejected_rows_are_kept_on_request(spark, tmp_path):
+    out = str(tmp_path / "out")
+    path = write_csv(tmp_path / "o.csv", *[order_row(order_id=f"o{i}", order_date="1/2/2013") for i in range(9)], order_row(order_id="bad", quantity="many"))
+    rows = by(run_daily(spark, path, out, keep_rejects=True, file_order=True), "output")
+    assert rows["rejected_rows"]["rows"] == 1 and rows["cleaned_data"]["rows"] == 10
+    kept = read_published(spark, out, "rejected_rows").first()
+    assert (kept.order_id, kept.quantity, kept.rejected_for) == ("bad", "many", "quantity")
+
+
 def test_a_second_run_replaces_the_first(spark, tmp_path):
     path, out = order_file(tmp_path), str(tmp_path / "out")
     for _ in range(2):

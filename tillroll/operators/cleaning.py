@@ -23,6 +23,8 @@ DATE_STYLES = {
 }
 DATE_MODES = (*DATE_STYLES, "epoch_ms")
 
+CODE_RANGES = 1_000
+
 
 def normalize_columns(df: DataFrame) -> DataFrame:
     """Trim header blanks and name columns in snake_case."""
@@ -97,9 +99,40 @@ def add_calendar(df: DataFrame, date: str = "order_date") -> DataFrame:
     )
 
 
+def value_ranges(counted: DataFrame) -> DataFrame:
+    """Add ``range`` to ``column, value`` rows that are distinct: ranges ascend with the
+    values of a column and hold about one value in ``CODE_RANGES``.
+
+    The values that bound the ranges are those of lowest hash, so every evaluation draws the
+    same ones, about ``CODE_RANGES`` a column however large its domain is.
+    """
+    # One entry per column asked for in either map.
+    sizes = (
+        counted.groupBy("column")
+        .agg(F.count(F.lit(1)).alias("size"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("column", "size"))).alias("sizes"))
+        .scalar()
+    )
+    share = F.pmod(F.xxhash64("value"), F.lit(1 << 40)) / F.lit(float(1 << 40))
+    bounds = (
+        counted.where(share * sizes[F.col("column")] < CODE_RANGES)
+        .groupBy("column")
+        .agg(F.sort_array(F.collect_list("value")).alias("bounds"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("column", "bounds"))).alias("bounds"))
+        .scalar()
+    )
+    bounded = counted.withColumn("bounds", F.coalesce(bounds[F.col("column")], F.array().cast("array<string>")))
+    below = F.filter("bounds", lambda bound: bound <= F.col("value"))
+    return bounded.withColumn("range", F.size(below)).drop("bounds")
+
+
 def category_codes(df: DataFrame, cols: Iterable[str] = CATEGORY_COLUMNS) -> DataFrame:
     """``column, value, code, n``: the domain of each categorical column; the code is
-    the 0-based rank of the value in text order, nulls excluded."""
+    the 0-based rank of the value in text order, nulls excluded.
+
+    Values are ranked inside ranges of a column, and the sizes of the ranges before are
+    added, so no task has a whole domain.
+    """
     counted = (
         df.select(*[F.col(c).cast("string") for c in cols])
         .unpivot([], list(cols), "column", "value")
@@ -107,9 +140,16 @@ def category_codes(df: DataFrame, cols: Iterable[str] = CATEGORY_COLUMNS) -> Dat
         .groupBy("column", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    # Ranks distinct values only: one partition per column, after the grouping.
-    rank = F.dense_rank().over(Window.partitionBy("column").orderBy("value"))
-    return counted.select("column", "value", (rank - 1).cast("bigint").alias("code"), "n")
+    ranged = value_ranges(counted)
+    before = Window.partitionBy("column").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        ranged.groupBy("column", "range")
+        .agg(F.count(F.lit(1)).alias("size"))
+        .select("column", "range", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("start"))
+    )
+    rank = F.row_number().over(Window.partitionBy("column", "range").orderBy("value"))
+    placed = ranged.withColumn("rank", rank).join(starts, ["column", "range"])
+    return placed.select("column", "value", (F.col("start") + F.col("rank") - 1).cast("bigint").alias("code"), "n")
 
 
 def clean_orders(
@@ -121,6 +161,30 @@ def clean_orders(
     return add_sales_amounts(coerce_numerics(dedupe_orders(df, order_key)))
 
 
+def _unreadable(raw: DataFrame, date_mode: str) -> dict[tuple[str, str], Column]:
+    """By metric and column, whether a row has a value there that cleaning cannot read."""
+    dates = [c for c in DATE_COLUMNS if not isinstance(raw.schema[c].dataType, T.DateType)]
+
+    def given(c: str) -> Column:
+        return F.col(c).isNotNull() & (F.trim(F.col(c).cast("string")) != "")
+
+    bad = {("unparsed_dates", c): given(c) & order_date_expr(c, date_mode).isNull() for c in dates}
+    return bad | {
+        ("failed_numbers", c): given(c) & number_expr(c, t).isNull() for c, t in NUMERIC_TYPES.items()
+    }
+
+
+def rejected_rows(raw: DataFrame, date_mode: str = "month_first_fallback") -> DataFrame:
+    """The raw rows, as they came, with a date or number that cleaning cannot read, and
+    ``rejected_for``: the names of those columns, comma-joined. Blank values are no rejects;
+    repeated rows are repeated here. One pass, nothing is shuffled.
+    """
+    raw = normalize_columns(raw)
+    bad = _unreadable(raw, date_mode)
+    names = F.concat_ws(",", *[F.when(test, F.lit(c)) for (_, c), test in bad.items()])
+    return raw.withColumn("rejected_for", names).where(F.col("rejected_for") != "")
+
+
 def quality_report(
     raw: DataFrame, clean: DataFrame, date_mode: str = "month_first_fallback"
 ) -> DataFrame:
@@ -129,15 +193,6 @@ def quality_report(
     One pass over each frame; neither is shuffled, only the counts meet.
     """
     raw = normalize_columns(raw)
-    dates = [c for c in DATE_COLUMNS if not isinstance(raw.schema[c].dataType, T.DateType)]
-
-    def given(c: str) -> Column:
-        return F.col(c).isNotNull() & (F.trim(F.col(c).cast("string")) != "")
-
-    failures = {("unparsed_dates", c): order_date_expr(c, date_mode).isNull() for c in dates}
-    failures |= {
-        ("failed_numbers", c): number_expr(c, t).isNull() for c, t in NUMERIC_TYPES.items()
-    }
 
     def long_form(df: DataFrame, counts: dict[tuple[str, str | None], Column]) -> DataFrame:
         one = df.agg(*[c.alias(f"m{i}") for i, c in enumerate(counts.values())])
@@ -153,7 +208,7 @@ def quality_report(
 
     n = F.count(F.lit(1))
     before = {("rows_in", None): n, ("duplicate_rows", None): n}
-    before |= {key: F.count_if(given(key[1]) & bad) for key, bad in failures.items()}
+    before |= {key: F.count_if(bad) for key, bad in _unreadable(raw, date_mode).items()}
     after = {
         ("rows_out", None): n,
         ("duplicate_rows", None): -n,

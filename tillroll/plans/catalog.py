@@ -234,6 +234,9 @@ def _queries() -> dict[str, Query]:
     q["quality_report"] = lambda s, d: cleaning.quality_report(
         raw_order_text(s, d), cleaning.clean_orders(raw_order_text(s, d))
     )
+    q["rejected_rows"] = lambda s, d: cleaning.rejected_rows(raw_order_text(s, d)).select(
+        "order_id", "product_name", "rejected_for"
+    )
     q["profile_numeric"] = lambda s, d: profiling.profile_numeric(
         sales_lines(s, d, "unit_price", "shipping_cost", "quantity")
     )

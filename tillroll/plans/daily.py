@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from tillroll.functions.sharing import scratch_path, shared_scope
-from tillroll.operators.cleaning import clean_orders, quality_report
+from tillroll.operators.cleaning import clean_orders, quality_report, rejected_rows
 from tillroll.operators.customers import (
     RISK_EDGES,
     RISK_LABELS,
@@ -32,13 +32,15 @@ def run_daily(
     risk_edges: Sequence[float] = RISK_EDGES,
     risk_label_names: Sequence[str] = RISK_LABELS,
     file_order: bool = False,
+    keep_rejects: bool = False,
 ) -> DataFrame:
     """Run the job and return ``output, rows``, one row per written output.
 
     Each stage is written as parquet and the next one reads that table, so a lost
     executor costs no earlier stage. ``quality_report`` tells what cleaning dropped and
     could not read. With ``file_order`` the first of equal rows stays, and first orders
-    and day gaps follow the file, else the dates. Outputs are published as one version, to
+    and day gaps follow the file, else the dates. With ``keep_rejects`` the raw rows that hold
+    an unreadable date or number are an output of their own, ``rejected_rows``. Outputs are published as one version, to
     be read with ``read_published``: wherever a run fails, readers see the version before.
     """
     order_key = "file_order" if file_order else None
@@ -60,6 +62,8 @@ def run_daily(
             raw = load_orders(spark, input_path, multiline, file_order)
             clean = stage("cleaned_data", clean_orders(raw, date_mode, order_key))
             stage("quality_report", quality_report(raw.drop("file_order"), clean.drop("file_order"), date_mode))
+            if keep_rejects:
+                stage("rejected_rows", rejected_rows(raw.drop("file_order"), date_mode))
             customers = stage("customer_metrics", clv_segments(customer_metrics(clean, order_key)))
         budget = risk_allocation(customers, as_of_year, risk_edges, risk_label_names)
         stage("risk_budget", risk_allocation_report(budget))

@@ -189,18 +189,23 @@ FROM lines""",
         "SELECT 'duplicate_rows', NULL, (SELECT count(*) FROM dated) - (SELECT count(*) FROM deduped)",
         "SELECT 'columns', NULL, 20",
     ]
-    checks += [
-        f"SELECT 'unparsed_dates', '{c}', (SELECT count(*) FROM raw WHERE {c} <> '' AND {_month_first(c)} IS NULL)"
-        for c in ("order_date", "ship_date")
+    readings = [("unparsed_dates", c, _month_first(c)) for c in ("order_date", "ship_date")]
+    readings += [
+        ("failed_numbers", "unit_price", "TRY_CAST(unit_price AS DECIMAL(10,2))"),
+        ("failed_numbers", "shipping_cost", "TRY_CAST(shipping_cost AS DECIMAL(10,2))"),
+        ("failed_numbers", "quantity", WHOLE),
     ]
     checks += [
-        f"SELECT 'failed_numbers', '{c}', (SELECT count(*) FROM raw WHERE {c} <> '' AND {read} IS NULL)"
-        for c, read in (
-            ("unit_price", "TRY_CAST(unit_price AS DECIMAL(10,2))"),
-            ("shipping_cost", "TRY_CAST(shipping_cost AS DECIMAL(10,2))"),
-            ("quantity", WHOLE),
-        )
+        f"SELECT '{metric}', '{c}', (SELECT count(*) FROM raw WHERE {c} <> '' AND {read} IS NULL)"
+        for metric, c, read in readings
     ]
+    named = ", ".join(f"CASE WHEN {c} <> '' AND {read} IS NULL THEN '{c}' END" for _, c, read in readings)
+    o["rejected_rows"] = _with(
+        CLEAN,
+        f"""
+SELECT * FROM (SELECT order_id, product_name, concat_ws(',', {named}) AS rejected_for FROM raw)
+WHERE rejected_for <> ''""",
+    )
     checks += [
         f"SELECT 'non_null', '{c}', (SELECT count({c}) FROM clean)"
         for c in (*ORDER_COLUMNS, "sales_amount", "sales_amount_with_shipping")
