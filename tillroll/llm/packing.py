@@ -29,7 +29,7 @@ PACK = 8_192
 END_ID = 2
 LINEAR, QUADRATIC = 1.0, 1.0 / 1024
 TOKENIZER = "word_bpe_49k.json"
-_SLICE = 8 << 20
+_SLICE = 4 << 20
 
 
 def default_tokenizer() -> str:
