@@ -165,6 +165,54 @@ def test_load_csv_line_break_in_a_field(spark, tmp_path):
         load_orders(spark, path).collect()
 
 
+@pytest.fixture
+def small_splits(spark):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8k")
+    yield
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_quoted_breaks_in_splits_as_in_whole_files(spark, tmp_path, small_splits):
+    # Records within a split, over an edge, and over several whole splits.
+    names = ["plain", "two\nlines", 'a "q"\n\n,b', "\n", "x" * 3000, "l\n" * 9000, "", '"']
+    rows = [order_row(order_id=str(i), product_name=names[i * i % len(names)], city=names[i % 3]) for i in range(200)]
+    path = write_csv(tmp_path / "o.csv", *rows)
+    assert spark.read.text(path).rdd.getNumPartitions() > 20
+    found = load_orders(spark, path, quoted_breaks=True, file_order=True).orderBy("file_order").drop("file_order")
+    assert found.collect() == load_orders(spark, path, multiline=True).collect()
+
+
+def test_quoted_breaks_of_several_files_line_ends_and_blank_lines(spark, tmp_path):
+    text = open(write_csv(tmp_path / "o.csv", order_row(product_name="two\nlines"), order_row())).read()
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.csv").write_text(text)
+    (folder / "b.csv").write_bytes(text.replace("\n", "\r\n").encode())
+    (folder / "c.csv").write_text("\n" + text.rstrip("\n"))
+    (folder / "d.csv").write_text(text.split("\n")[0] + "\n\n")
+    found = load_orders(spark, str(folder), quoted_breaks=True)
+    assert found.count() == 6 and found.where("product_name = 'two\nlines'").count() == 3
+
+
+@pytest.mark.parametrize(
+    "spoil",
+    [
+        lambda text: text + "a,b,c\n",
+        lambda text: text + ",".join("a" * 19) + "\n",
+        lambda text: text + '"a,b\n',
+        lambda text: text.replace("ship_mode text", '5" pipe'),
+        lambda text: text.replace("ship_mode text", 'a "b" c'),
+    ],
+)
+def test_quoted_breaks_refuse_what_is_no_record(spark, tmp_path, spoil):
+    path = tmp_path / "o.csv"
+    write_csv(path, order_row(product_name="two\nlines"), order_row())
+    path.write_text(spoil(path.read_text()))
+    with pytest.raises(Exception, match="malformed"):
+        load_orders(spark, str(path), quoted_breaks=True).collect()
+
+
 def test_load_reports_what_is_missing(spark, tmp_path):
     with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
         load_orders(spark, str(tmp_path / "none.csv"))

@@ -135,6 +135,13 @@ def _load_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_orders(spark, path)
 
 
+def _load_quoted_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names with a line break and quotes, read in splits."""
+    name = F.concat("customer_name", F.lit('\n"'), "city", F.lit('",\n\n'), "customer_id")
+    path = write_output(_raw(spark, sf_dir).withColumn("customer_name", name), scratch_path(spark, "quoted-csv"), "csv")
+    return load_orders(spark, path, quoted_breaks=True)
+
+
 def _parsed(mode: str) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw = _raw(spark, sf_dir)
@@ -212,6 +219,7 @@ def _queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
 
     q["load_orders"] = _load_orders
+    q["load_orders_quoted_breaks"] = _load_quoted_breaks
     q["normalize_columns"] = _raw
     for mode in cleaning.DATE_MODES:
         q[f"parse_order_dates_{mode}"] = _parsed(mode)

@@ -33,6 +33,7 @@ def run_daily(
     risk_label_names: Sequence[str] = RISK_LABELS,
     file_order: bool = False,
     keep_rejects: bool = False,
+    quoted_breaks: bool = False,
 ) -> DataFrame:
     """Run the job and return ``output, rows``, one row per written output.
 
@@ -59,7 +60,7 @@ def run_daily(
 
     try:
         with shared_scope():
-            raw = load_orders(spark, input_path, multiline, file_order)
+            raw = load_orders(spark, input_path, multiline, file_order, quoted_breaks)
             clean = stage("cleaned_data", clean_orders(raw, date_mode, order_key))
             stage("quality_report", quality_report(raw.drop("file_order"), clean.drop("file_order"), date_mode))
             if keep_rejects:

@@ -108,6 +108,8 @@ def _with(ctes: str, query: str) -> str:
 def _ingest() -> dict[str, str]:
     o: dict[str, str] = {}
     o["load_orders"] = _with(RAW, f"SELECT {ALL_TEXT} FROM raw")
+    broken = """customer_name || chr(10) || '"' || city || '",' || chr(10) || chr(10) || customer_id"""
+    o["load_orders_quoted_breaks"] = _with(RAW, f"SELECT * REPLACE ({broken} AS customer_name) FROM (SELECT {ALL_TEXT} FROM raw)")
     o["normalize_columns"] = o["load_orders"]
     def parsed(source: str, order: str, ship: str) -> str:
         return _with(
