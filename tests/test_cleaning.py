@@ -183,6 +183,21 @@ def test_quoted_breaks_in_splits_as_in_whole_files(spark, tmp_path, small_splits
     assert found.collect() == load_orders(spark, path, multiline=True).collect()
 
 
+def test_quoted_breaks_in_runs_of_few_lines(spark, tmp_path, small_splits, monkeypatch):
+    # A run is much smaller than a split: records within it, over an edge, over several runs.
+    monkeypatch.setattr("tillroll.sources.quoted_breaks._RUN_BITS", 2)
+    names = ["plain", "two\nlines", "l\n" * 50, "\n", '"']
+    rows = [order_row(order_id=str(i), product_name=names[i * i % len(names)]) for i in range(200)]
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name, part in (("a.csv", rows[:150]), ("b.csv", rows[150:152]), ("c.csv", rows[152:])):
+        text = open(write_csv(tmp_path / name, *part)).read()
+        # Blank lines of more than a split before the header of one file.
+        (folder / name).write_text("\n" * 20_000 + text if name == "c.csv" else text)
+    found = load_orders(spark, str(folder), quoted_breaks=True, file_order=True).orderBy("file_order").drop("file_order")
+    assert found.collect() == load_orders(spark, str(folder), multiline=True, file_order=True).orderBy("file_order").drop("file_order").collect()
+
+
 def test_quoted_breaks_of_several_files_line_ends_and_blank_lines(spark, tmp_path):
     text = open(write_csv(tmp_path / "o.csv", order_row(product_name="two\nlines"), order_row())).read()
     folder = tmp_path / "in"
