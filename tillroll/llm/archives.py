@@ -19,14 +19,19 @@ import os
 import re
 import uuid
 from collections.abc import Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tillroll.llm.stages import written
+
 FILE_BYTES = 8 << 20
 SEQUENCE = "X-Archive-Sequence"  # HTTP header with a record's place in the crawl
 _ORIGIN = "tillroll"
+# Zipping took most of the time of writing; the level of Hadoop's codecs is theirs to read.
+_ZIPPED = {"lineSep": "\n", "compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 _DATE = "20240101000000"
 #: The header fields of either version, and the WARC profile of revisits.
 ARC_FIELDS = {
@@ -92,7 +97,7 @@ def write_arc(pages: DataFrame, path: str) -> str:
     source = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html")
     files = _files(source, F.coalesce(F.octet_length("html"), F.lit(0)) + 512)
     dealt = source.repartition(files, F.xxhash64("page_id", "url"))
-    dealt.mapInArrow(records, "value string").write.options(lineSep="\n", compression="gzip").text(path)
+    dealt.mapInArrow(records, "value string").write.options(**_ZIPPED).text(path)
     return path
 
 
@@ -175,19 +180,23 @@ _ARC = pa.schema(
 
 def _batches(rows: Iterator[tuple], schema: pa.Schema, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Rows as batches of bounded size."""
+    def batch() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), schema.types)], schema=schema)
+
     held, size = [], 0
     for row in rows:
         held.append(row)
         size += 256 + sum(len(x) for x in row if isinstance(x, bytes))
         if size > limit:
-            yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in held], schema)
+            yield batch()
             held, size = [], 0
     if held:
-        yield pa.RecordBatch.from_pylist([dict(zip(schema.names, r)) for r in held], schema)
+        yield batch()
 
 
-def read_arc(spark: SparkSession, path: str) -> DataFrame:
-    """One row per ARC record, with the WARC identifier, type, date and digests it gets."""
+def read_arc(spark: SparkSession, path: str, contents: bool = True) -> DataFrame:
+    """One row per ARC record, with the WARC identifier, type, date and digests it gets.
+    Without ``contents``, head and payload are read but not given: they are null."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
@@ -208,8 +217,8 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
                         header.get("IP-address"),
                         iso_date(header.get("Archive-date", "")),
                         "application/http; msgtype=response" if http else header.get("Content-type", "application/octet-stream"),
-                        head,
-                        payload,
+                        head if contents else None,
+                        payload if contents else None,
                         len(payload),
                         _sha1(payload),
                         hashlib.sha256(payload).hexdigest(),
@@ -236,9 +245,15 @@ def arc_to_warc(spark: SparkSession, arc: str, warc: str, least_bytes: int = 0)
     sequence number (none counts last; then the smallest identifier) is written whole, the
     others as revisits that refer to it. Records that cannot be read become metadata.
     """
-    records = read_arc(spark, arc)
-    brief = records.where((F.col("type") == "response") & (F.col("payload_bytes") >= least_bytes)).select(
-        "record_id", "digest", "sha256", "payload_bytes", F.col("rank").isNull().alias("unranked"), "rank"
+    columns = ["record_id", "type", "uri", "ip", "date", "mime", "head", "payload", "digest", "error"]
+    records = read_arc(spark, arc).select(*columns)
+    responses = (F.col("type") == "response") & (F.col("payload_bytes") >= least_bytes)
+    # Written, as it is read several times and each time would read all archives.
+    brief = written(
+        read_arc(spark, arc, contents=False).where(responses).select(
+            "record_id", "digest", F.unhex("sha256").alias("sha256"), "payload_bytes", F.col("rank").isNull().alias("unranked"), "rank"
+        ),
+        "responses",
     )
     equal = ["digest", "sha256", "payload_bytes"]
     first = brief.groupBy(*equal).agg(F.min(F.struct("unranked", "rank", "record_id")).alias("first"))
@@ -260,8 +275,8 @@ def arc_to_warc(spark: SparkSession, arc: str, warc: str, least_bytes: int = 0)
         ]
         size = 0
         for batch in batches:
-            for k in range(batch.num_rows):
-                r = {c: batch.column(c)[k].as_py() for c in batch.schema.names}
+            parts = (batch.slice(k, 256).to_pylist() for k in range(0, batch.num_rows, 256))
+            for r in chain.from_iterable(parts):
                 block = r["head"] if r["refers_to"] else r["head"] + r["payload"]
                 fields = [
                     ("WARC-Type", "revisit" if r["refers_to"] else r["type"]),
@@ -284,7 +299,7 @@ def arc_to_warc(spark: SparkSession, arc: str, warc: str, least_bytes: int = 0)
         if out:
             yield pa.RecordBatch.from_arrays([_raw_strings(out)], ["value"])
 
-    joined.mapInArrow(encode, "value string").write.options(lineSep="\n", compression="gzip").text(warc)
+    joined.mapInArrow(encode, "value string").write.options(**_ZIPPED).text(warc)
     return warc
 
 
@@ -305,11 +320,14 @@ def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = stop + 4 + length
 
 
-def read_warc(spark: SparkSession, path: str) -> DataFrame:
+def read_warc(spark: SparkSession, path: str, contents: bool = True) -> DataFrame:
     """One row per WARC record: ``record_id, type, uri, date, refers_to, head, payload,
-    declared_digest, digest``; the last is of the payload that is there."""
-    names = ("record_id", "type", "uri", "date", "refers_to", "head", "payload", "declared_digest", "digest")
-    schema = pa.schema([(c, pa.binary() if c in ("head", "payload") else pa.string()) for c in names])
+    declared_digest, digest, payload_bytes``; digest and size are of the payload that is
+    there. Without ``contents``, the payload is read but not given: it is null."""
+    names = ("record_id", "type", "uri", "date", "refers_to", "head", "payload", "declared_digest", "digest", "payload_bytes")
+    kinds = {"head": "binary", "payload": "binary", "payload_bytes": "long"}
+    types = {"binary": pa.binary(), "long": pa.int64(), "string": pa.string()}
+    schema = pa.schema([(c, types[kinds.get(c, "string")]) for c in names])
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
         for batch in batches:
@@ -324,13 +342,14 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                         fields.get("warc-date"),
                         fields.get("warc-refers-to"),
                         head,
-                        payload,
+                        payload if contents else None,
                         declared,
                         _sha1(payload),
+                        len(payload),
                     )
 
     files = spark.read.format("binaryFile").load(path).select("content")
-    sql = ", ".join(f"{c} {'binary' if c in ('head', 'payload') else 'string'}" for c in names)
+    sql = ", ".join(f"{c} {kinds.get(c, 'string')}" for c in names)
     return files.mapInArrow(lambda batches: _batches(rows(batches), schema), sql)
 
 
@@ -346,14 +365,17 @@ def archive_pages(pages: DataFrame, folder: str) -> DataFrame:
     spark = pages.sparkSession
     warc = arc_to_warc(spark, write_arc(pages, f"{folder}/arc"), f"{folder}/warc")
     sequence = F.regexp_extract(F.decode("head", "ISO-8859-1"), rf"(?im)^{SEQUENCE}:[ \t]*(-?\d+)", 1)
-    found = read_warc(spark, warc).select(
-        "record_id",
-        "type",
-        "refers_to",
-        F.when(sequence != "", sequence.cast("long")).alias("page_id"),
-        F.octet_length("payload").cast("long").alias("payload_bytes"),
-        "digest",
-        "declared_digest",
+    # Written, as the join below reads it twice and each time would read all archives.
+    found = written(
+        read_warc(spark, warc, contents=False).where("type in ('response', 'revisit')").select(
+            "record_id",
+            "type",
+            "refers_to",
+            F.when(sequence != "", sequence.cast("long")).alias("page_id"),
+            "payload_bytes",
+            "digest",
+        ),
+        "records",
     )
     whole = found.where("type = 'response'").select(
         F.col("record_id").alias("refers_to"),
@@ -362,8 +384,7 @@ def archive_pages(pages: DataFrame, folder: str) -> DataFrame:
         F.col("digest").alias("first_digest"),
     )
     return (
-        found.where("type in ('response', 'revisit')")
-        .join(whole, "refers_to", "left")
+        found.join(whole, "refers_to", "left")
         .select(
             "page_id",
             F.coalesce("first_bytes", "payload_bytes").alias("payload_bytes"),
