@@ -88,6 +88,11 @@ def test_matrix_scans_the_lines_once(stored):
     assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_baskets_read_the_lines_once(stored):
+    text = plan(baskets.order_baskets(stored, "customer_segment", "Corporate"))
+    assert "Join" not in text and text.count("FileScan") == 1
+
+
 def test_pair_counts_are_partial_before_the_shuffle(stored):
     sets = baskets.frequent_itemsets(
         baskets.order_baskets(stored, "customer_segment", "Corporate"), 0.1, 2

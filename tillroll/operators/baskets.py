@@ -26,8 +26,9 @@ def order_baskets(
         .where(F.col("order_id").isNotNull() & F.col("item").isNotNull())
         .distinct()
     )
-    several = pairs.groupBy("order_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    return pairs.join(several.select("order_id"), "order_id", "left_semi")
+    # Counted where the pairs already are, so the lines are read and joined once.
+    several = F.count(F.lit(1)).over(Window.partitionBy("order_id")) > 1
+    return pairs.withColumn("several", several).where("several").drop("several")
 
 
 def basket_arrays(baskets: DataFrame) -> DataFrame:
