@@ -38,6 +38,8 @@ LOCAL_COUNT = 3  # a shingle is counted where so many documents of one slice hav
 COUNT_SLICE = 8 << 20
 ORDERS = 3
 HUBS = (4, 8)  # documents of a token that its others are compared with, in each round
+NAMED_BITS = 1 << 25  # of a bitmap of documents, 4 MB whatever their number; marks shared by two cost time, never a result
+_BITMAP = 1 << 15  # bits in a row of it, as Spark's bitmap aggregate makes them
 PREFIX_SHARED = 3  # k above; less where the smallest sets that can link share less
 _CLASSES = 8
 _SALTS = tuple(U(0x9E3779B97F4A7C15 * (k + 1) % 2**64) for k in range(ORDERS))
@@ -229,12 +231,26 @@ def _candidates(met: DataFrame, rule: Filter) -> DataFrame:
     )
 
 
+def _named(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is among ``ids``, and a few others. A bitmap of hashed
+    ids is broadcast, so no text is shuffled."""
+
+    def at(places: int) -> Column:
+        return F.pmod(F.xxhash64("doc_id"), F.lit(NAMED_BITS)) % places
+
+    marks = ids.groupBy(F.floor(at(NAMED_BITS) / _BITMAP).alias("range")).agg(F.bitmap_construct_agg(at(_BITMAP)).alias("bits"))
+    ranged = docs.where("doc_id is not null").withColumn("range", F.floor(at(NAMED_BITS) / _BITMAP)).withColumn("bit", at(_BITMAP))
+    byte = F.expr("cast(conv(hex(substring(bits, cast(bit div 8 as int) + 1, 1)), 16, 10) as long)")
+    marked = F.getbit(byte, (F.col("bit") % 8).cast("int")) == 1
+    return ranged.join(F.broadcast(marks), "range").where(marked).select(*docs.columns)
+
+
 def _links(pairs: DataFrame, docs: DataFrame, words: int, rule: Filter, order: TokenOrder) -> DataFrame:
     """The pairs (a, b) that share enough prefix tokens under every other order and, as whole
     sets, are similar. Sets are made for the documents of these pairs only; whole ones are
     read for the pairs that their prefixes leave."""
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    sets = written(_whole_sets(docs.join(ids, "doc_id", "leftsemi"), words, rule, order), "tokens")
+    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b"))
+    sets = written(_whole_sets(_named(docs, ids), words, rule, order), "tokens")
 
     def both(some: DataFrame, columns: list[str]) -> DataFrame:
         left = sets.select(F.col("doc").alias("a"), *[F.col(c).alias(f"a_{c}") for c in columns])
