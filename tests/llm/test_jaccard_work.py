@@ -29,6 +29,19 @@ def watched(monkeypatch):
     return seen
 
 
+def test_tokens_of_the_same_documents_are_one_row(spark, docs, monkeypatch):
+    seen = watched(monkeypatch)
+    texts = near_misses(10)
+    copy = texts[0][:100] + ["changed"] + texts[0][101:]
+    rows = [(i, " ".join(t)) for i, t in enumerate([*texts, copy])]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(docs(*rows), 5, 80).collect()}
+    assert got == brute.near_duplicates(rows, 5, 80) and got[20][1] == 0
+    shared = seen["shared"][0][1]
+    lone = shared.where("doc between 2 and 19")
+    assert lone.count() == 18  # one row a document, for all tokens of its passage
+    assert lone.where("weight < 3").isEmpty()
+
+
 def test_no_text_is_shuffled(spark, docs, monkeypatch):
     seen, rng = watched(monkeypatch), random.Random(1)
     texts = near_misses(3)

@@ -212,7 +212,8 @@ def _whole_sets(docs: DataFrame, words: int, rule: Filter, order: TokenOrder) ->
 
 def _candidates(met: DataFrame, rule: Filter) -> DataFrame:
     """Pairs of documents whose prefixes share enough. ``met`` has a row ``doc, n, place,
-    other, m, other_place`` for each token that two prefixes share."""
+    other, m, other_place, weight`` for each token that two prefixes share, or for ``weight``
+    tokens, with the place of the first one."""
     # What lies behind the last token shared can add no more than the shorter rest. A pair's
     # total is the same in all its rows, so it travels in the upper half of the same number.
     rest = F.least(F.col("n") - F.col("place"), F.col("m") - F.col("other_place")) - 1
@@ -221,11 +222,12 @@ def _candidates(met: DataFrame, rule: Filter) -> DataFrame:
         F.least("doc", "other").alias("a"),
         F.greatest("doc", "other").alias("b"),
         (F.shiftleft(total.cast("long"), 32) + rest).alias("bound"),
+        "weight",
     )
     rest, total = F.col("bound").bitwiseAND(F.lit((1 << 32) - 1)), F.shiftright("bound", 32)
     return (
         pairs.groupBy("a", "b")
-        .agg(F.count(F.lit(1)).alias("shared"), F.min("bound").alias("bound"))
+        .agg(F.sum("weight").alias("shared"), F.min("bound").alias("bound"))
         .where((F.col("shared") >= rule.common) & rule.enough(F.col("shared") + rest, total))
         .select("a", "b")
     )
@@ -265,6 +267,21 @@ def _links(pairs: DataFrame, docs: DataFrame, words: int, rule: Filter, order: T
     return written(both(left, ["tokens"]).where(similar).select("a", "b"), "links")
 
 
+def _marks() -> list[Column]:
+    """128 bits that tell which documents a token has, given once each."""
+    return [F.bit_xor(F.xxhash64("doc", F.lit(k))) for k in (1, 2)]
+
+
+def _as_one(shared: DataFrame) -> DataFrame:
+    """Tokens that the very same documents share, told by the marks, as the least of them, with
+    their number as ``weight``. Their first one has the same rank in the order for all
+    documents, so its place bounds what two documents can share as it would alone."""
+    one = shared.groupBy("doc", "mark1", "mark2", "n", "central").agg(
+        F.min("token").alias("token"), F.min("place").alias("place"), F.max("fits").alias("fits"), F.count(F.lit(1)).alias("weight")
+    )
+    return one.select("token", "doc", "n", "place", "central", "fits", "weight")
+
+
 def _apart(shared: DataFrame, parts: DataFrame) -> DataFrame:
     """The shared tokens of documents that are in more than one component, with components."""
     located = shared.join(parts, shared["doc"] == parts["node"], "left").select(
@@ -295,23 +312,46 @@ def _with_hubs(shared: DataFrame, salt: int, hubs: int) -> DataFrame:
 def _across(apart: DataFrame, rule: Filter) -> DataFrame:
     """All documents in different components that share a token early enough. First whole
     components meet, and they go on only if they share as many tokens as two of their
-    documents must; so the pairs inside of one are never formed."""
+    documents must; so the pairs inside of one are never formed. Then the documents of the
+    side with fewer of them meet the other component, and again only those that share enough
+    with it go on to its documents."""
     sides = apart.repartition("token").groupBy("token", "component").agg(
-        F.min("n").alias("low"), F.max("n").alias("high"), F.max("fits").alias("fits"), F.min("place").alias("early")
+        F.max("weight").alias("weight"),
+        F.min("n").alias("low"),
+        F.max("n").alias("high"),
+        F.max("fits").alias("fits"),
+        F.min("place").alias("early"),
+        F.count(F.lit(1)).alias("docs"),
+        *[x.alias(f"mark{k}") for k, x in enumerate(_marks(), 1)],
     )
-    left = sides.select("token", *[F.col(x).alias(f"c_{x}") for x in sides.columns[1:]])
-    right = sides.select("token", *[F.col(x).alias(f"d_{x}") for x in sides.columns[1:]])
+    of_side = [x for x in sides.columns if x not in ("token", "weight")]
+    left = sides.select("token", "weight", *[F.col(x).alias(f"c_{x}") for x in of_side])
+    right = sides.select("token", *[F.col(x).alias(f"d_{x}") for x in of_side])
     meet = left.join(right, "token").where(
         f"c_component < d_component and d_low <= c_fits and c_low <= d_fits "
         f"and 100 * cast(c_high as long) >= {rule.percent} * cast(d_low as long) "
         f"and 100 * cast(d_high as long) >= {rule.percent} * cast(c_low as long) "
         f"and {rule.early('c_early', 'c_high', 'd_low')} and {rule.early('d_early', 'd_high', 'c_low')}"
     )
-    meet = written(meet.select("token", "c_component", "d_component", "d_low", "d_high", "d_early", "d_fits"), "meet")
-    two = ["c_component", "d_component"]
-    enough = meet.groupBy(*two).agg(F.count(F.lit(1)).alias("met")).where(F.col("met") >= rule.common)
-    meet = meet.join(enough.select(*two), two, "leftsemi")
-    first = apart.withColumnRenamed("component", "c_component")
+    # Tokens of the same documents on either side are one: the first, which all have earliest.
+    values = [f"{x}_{y}" for x in "cd" for y in ("low", "high", "early", "fits", "docs")]
+    meet = meet.groupBy("c_component", "d_component", *[f"{x}_mark{k}" for x in "cd" for k in (1, 2)]).agg(
+        F.min_by("token", "c_early").alias("token"),
+        F.sum("weight").alias("weight"),
+        *[(F.min if x.endswith("early") else F.max)(x).alias(x) for x in values],
+    )
+    pair = Window.partitionBy("c_component", "d_component")
+    met, turned = F.sum("weight").over(pair), F.sum("c_docs").over(pair) > F.sum("d_docs").over(pair)
+    meet = meet.select("*", met.alias("met"), turned.alias("turned")).where(F.col("met") >= rule.common)
+    # From here on c is the side with fewer documents.
+    side = ("component", "low", "high", "early", "fits")
+    meet = meet.select(
+        "token",
+        "weight",
+        F.when(F.col("turned"), F.col("d_component")).otherwise(F.col("c_component")).alias("c_component"),
+        *[F.when(F.col("turned"), F.col(f"c_{x}")).otherwise(F.col(f"d_{x}")).alias(f"d_{x}") for x in side],
+    )
+    first = apart.drop("weight").withColumnRenamed("component", "c_component")
     second = apart.select(
         "token",
         F.col("component").alias("d_component"),
@@ -323,8 +363,10 @@ def _across(apart: DataFrame, rule: Filter) -> DataFrame:
     near = (
         meet.join(first, ["token", "c_component"])
         .where(f"d_low <= fits and n <= d_fits and {rule.early('place', 'n', 'd_low')} and {rule.early('d_early', 'd_high', 'n')}")
-        .select("token", "d_component", "doc", "n", "place", "fits")
+        .select("token", "weight", "d_component", "doc", "n", "place", "fits")
     )
+    shared = F.sum("weight").over(Window.partitionBy("doc", "d_component"))
+    near = near.withColumn("shared", shared).where(F.col("shared") >= rule.common).drop("shared")
     return near.join(second, ["token", "d_component"]).where(rule.meets())
 
 
@@ -360,13 +402,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     several = prefixes.withColumn("alone", alone).where("not alone").drop("alone")
     reps = rows.join(equal, ["n", "one", "two"]).where("doc_id is not null").select(F.col("doc_id").alias("doc"), "rep")
     nodes = several.join(reps.distinct(), "doc").select("token", F.col("rep").alias("doc"), "n", "place")
-    nodes = nodes.repartition("token").distinct()  # dealt out once, for the window too
-    met = nodes.withColumn("alone", alone).where("not alone").drop("alone")
+    nodes = nodes.repartition("token").distinct()  # dealt out once, for the windows too
+    marks = [x.over(Window.partitionBy("token")).alias(f"mark{k}") for k, x in enumerate(_marks(), 1)]
+    met = nodes.withColumn("alone", alone).where("not alone").drop("alone").select("*", *marks)
     often = met.withColumn("met", F.count(F.lit(1)).over(document)).where(F.col("met") >= rule.common)
     seen = F.row_number().over(document.orderBy("place"))
-    shared = written(
-        often.withColumn("central", (1000 * F.col("met") / F.col("n")).cast("int")).withColumn("fits", rule.fits(seen)).drop("met"), "shared"
-    )
+    placed = often.withColumn("central", (1000 * F.col("met") / F.col("n")).cast("int")).withColumn("fits", rule.fits(seen))
+    shared = written(_as_one(placed), "shared")
 
     links = tried = docs.sparkSession.createDataFrame([], "a long, b long")
     apart, parts = shared.withColumn("component", F.col("doc")), None
