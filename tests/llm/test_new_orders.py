@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -109,6 +110,36 @@ def test_alignment_with_small_slices(spark, monkeypatch):
     assert got == sorted(brute.alignments(rows))
 
 
+def aligner():
+    definition, model = alignment.default_files()
+    with open(definition, encoding="utf-8") as a, open(model, "rb") as b:
+        return alignment.Aligner(a.read(), b.read())
+
+
+def test_many_parts_are_aligned_in_little_memory():
+    parts = [f" w{k}é{k * k}".encode() for k in range(60_000)]
+    one = aligner()
+    one.parts(parts[:100])
+    tracemalloc.start()
+    whole = one.parts(parts).whole
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert whole.all() and peak < 100 * sum(map(len, parts))
+
+
+def test_parts_are_encoded_together_but_a_lost_one_alone(monkeypatch):
+    parts = [f" w{k}".encode() for k in range(300)] + [" ▁".encode(), b" a ", b" b"]
+    one, asked = aligner(), []
+    encode = one._encode
+    monkeypatch.setattr(one, "_encode", lambda data, bounds, chars, i, j: asked.append((i, j)) or encode(data, bounds, chars, i, j))
+    got = one.parts(parts)
+    assert asked[:4] == [(0, 128), (128, 256), (256, 302), (302, 303)]
+    assert asked[4:] == [(k, k + 1) for k in range(256, 302)]
+    apart = [one.parts([part]) for part in parts]
+    assert got.groups == [x.groups[0] for x in apart] and got.whole.tolist() == [x.whole[0] for x in apart]
+    assert np.flatnonzero(~got.whole).tolist() == [300]
+
+
 def test_spans_that_the_bytes_contradict():
     table, offsets = np.frombuffer("abéx".encode(), np.uint8), np.array([0, 2, 3, 4, 5])  # ab, two bytes of é, x
     data, bounds = np.frombuffer("abéabxabyab".encode(), np.uint8), np.array([0, 4, 7, 10, 12])

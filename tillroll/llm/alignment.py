@@ -8,7 +8,8 @@ where a token of either side ends closes a group.
 
 No token goes across a place where a space follows a character that is no white space, so
 texts fall apart there, and each distinct part of a slice of texts is aligned once, all parts
-in a few array operations. Documents are lists of parts of their slice. How often two ids meet is counted over the distinct pairs of
+in a few array operations. The tokenizers read many parts as one text, one behind another where
+the text would fall apart again. Documents are lists of parts of their slice. How often two ids meet is counted over the distinct pairs of
 a slice, added up over all slices, and goes back to each slice, where the values of its
 parts and then of its documents are sums.
 """
@@ -18,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +33,11 @@ from tillroll.llm.stages import written
 BYTE_TOKENIZER = "byte_bpe_50k.json"
 PIECE_MODEL = "piece_bpe_32k.model"
 MARK = "▁"
-ENCODED = 8_192  # parts that are encoded at a time
+ENCODED = 128  # parts that are encoded as one text, at most
+_RUN_BITS = 16  # and about 64 KB
+_BLOCK_BITS = 18  # about 256 KB of parts are aligned at a time
 _SLICE = 8 << 20
+_COMPARED = 1 << 16
 
 
 def default_files() -> tuple[str, str]:
@@ -44,7 +49,7 @@ def default_files() -> tuple[str, str]:
 class Tokens:
     """The tokens of one side for consecutive parts of a text."""
 
-    def __init__(self, ids: list[int], counts: list[int], spans: np.ndarray):
+    def __init__(self, ids: np.ndarray, counts: np.ndarray, spans: np.ndarray):
         self.ids, self.counts = np.array(ids, np.int64), np.array(counts, np.int64)
         self.spans = spans  # the byte where each token ends in its part, -1 if its span does not say
         self.part = np.repeat(np.arange(len(counts)), self.counts)
@@ -78,7 +83,9 @@ class Parts:
         in_a, in_b = whole[a.part], whole[b.part]
         ids_a, ids_b, ends_a, ends_b = a.ids[in_a], b.ids[in_b], ends_a[in_a], ends_b[in_b]
         # The ends of both sides cut the bytes into stretches of one token of each side.
-        cuts, both = np.union1d(ends_a, ends_b), np.intersect1d(ends_a, ends_b, assume_unique=True)
+        ends = np.sort(np.concatenate([ends_a, ends_b]), kind="stable")
+        again = np.append(False, ends[1:] == ends[:-1])[: len(ends)]
+        cuts, both = ends[~again], ends[again]
         self.links = ids_b[np.searchsorted(ends_b, cuts)] << 32 | ids_a[np.searchsorted(ends_a, cuts)]
 
         def count(ends: np.ndarray) -> np.ndarray:
@@ -93,6 +100,15 @@ class Parts:
         bound = np.concatenate([[0], np.cumsum(self.n_a + self.n_b)]).tolist()
         self.groups = ["".join(written_out[x:y]) for x, y in zip(bound[:-1], bound[1:])]
 
+    @classmethod
+    def joined(cls, blocks: list[Parts]) -> Parts:
+        """The parts of all blocks, one behind another."""
+        out = cls.__new__(cls)
+        for c in ("whole", "n_a", "n_b", "n_groups", "n_links", "links"):
+            setattr(out, c, np.concatenate([getattr(x, c) for x in blocks]))
+        out.groups = list(chain.from_iterable(x.groups for x in blocks))
+        return out
+
 
 class Aligner:
     """Both tokenizers, for texts that begin with a space."""
@@ -125,44 +141,67 @@ class Aligner:
     def parts(self, stretches: list[bytes]) -> Parts:
         """The parts that these stretches of text are, a space in front of each. One whose bytes
         a side does not give back is not whole and has no tokens."""
+        block = np.cumsum([len(s) for s in stretches], dtype=np.int64) >> _BLOCK_BITS
+        starts = [0, *(1 + np.flatnonzero(block[1:] != block[:-1])).tolist(), len(stretches)]
+        return Parts.joined([self._block(stretches[x:y]) for x, y in zip(starts[:-1], starts[1:])])
+
+    def _block(self, stretches: list[bytes]) -> Parts:
         data = np.frombuffer(b"".join(stretches), np.uint8)
         bounds = np.concatenate([[0], np.cumsum([len(s) for s in stretches], dtype=np.int64)]).astype(np.int64)
-        a, b = self._tokens(stretches, data, bounds)
-        ends_a, whole_a = a.ends(*self.bytes_a, data, bounds)
-        ends_b, whole_b = b.ends(*self.bytes_b, data, bounds)
-        return Parts(a, ends_a, b, ends_b, whole_a & whole_b, bounds, self.names)
-
-    def _tokens(self, stretches: list[bytes], data: np.ndarray, bounds: np.ndarray) -> tuple[Tokens, Tokens]:
-        ids_a, n_a, first, last = [], [], [], []
-        ids_b, n_b, begin, end = [], [], [], []
-        for k in range(0, len(stretches), ENCODED):
-            texts = [s.decode() for s in stretches[k : k + ENCODED]]
-            for e in self.a.encode_batch(texts, add_special_tokens=False):
-                n_a.append(len(e))
-                ids_a += e.ids
-                for x, y in e.offsets:
-                    first.append(x)
-                    last.append(y)
-            for proto in self.b.encode([t[1:] for t in texts], return_type="proto"):
-                pieces = proto.pieces
-                n_b.append(len(pieces))
-                for p in pieces:
-                    ids_b.append(p.id)
-                    begin.append(p.begin)
-                    end.append(p.end)
-        a = Tokens(ids_a, n_a, np.zeros(0, np.int64))
         place = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))  # the byte of each character
-        char = np.searchsorted(place, bounds)[a.part]
-        first, last = char + np.array(first, np.int64), char + np.array(last, np.int64)
-        # A span that the next one overlaps ends inside a character.
-        inside = np.append(first[1:] < last[:-1], False)[: len(last)]
-        a.spans = np.where(inside, -1, place[last] - bounds[a.part])
-        b = Tokens(ids_b, n_b, np.zeros(0, np.int64))
-        begin, end = np.array(begin, np.int64), np.array(end, np.int64)
-        # Of the bytes of a character the last one has the span. The space in front is in none.
-        b.spans = np.where(self.is_byte[b.ids] & (begin == end), -1, end + 1)
+        chars, runs = np.searchsorted(place, bounds), _runs(data, bounds)
+        encoded = [self._encode(data, bounds, chars, i, j) for i, j in runs]
+        sides = self._sides(encoded, data, bounds, place)
+        # What is not given back may have taken bytes of its neighbours, so they are encoded apart.
+        lost = [k for k, (i, j) in enumerate(runs) if j - i > 1 and not sides[-1][i:j].all()]
+        for k in lost:
+            alone = [self._encode(data, bounds, chars, x, x + 1) for x in range(*runs[k])]
+            encoded[k] = tuple(map(np.concatenate, zip(*alone)))
+        if lost:
+            sides = self._sides(encoded, data, bounds, place)
+        return Parts(*sides, bounds, self.names)
+
+    def _encode(self, data: np.ndarray, bounds: np.ndarray, chars: np.ndarray, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
+        """The tokens of either side for the stretches from i to j as one text, a row each: id,
+        stretch, and where its span starts and ends, in characters or in bytes of ``data``."""
+        text = data[bounds[i] : bounds[j]].tobytes().decode()
+        e = self.a.encode(text, add_special_tokens=False)
+        a = np.empty((len(e), 4), np.int64)
+        a[:, 0], a[:, 2:] = e.ids, chars[i] + np.fromiter(chain.from_iterable(e.offsets), np.int64, 2 * len(e)).reshape(-1, 2)
+        proto = self.b.encode(text[1:], return_type="proto")
+        pieces = list(proto.pieces)
+        b = np.empty((len(pieces), 4), np.int64)
+        b[:, 0], b[:, 3] = [p.id for p in pieces], [p.end for p in pieces]
+        b[:1, 2], b[1:, 2] = [p.begin for p in pieces[:1]], b[:-1, 3]  # a span starts where the one before ends
+        b[:, 2:] += bounds[i] + 1  # the space in front is in no span
+        for side, starts in ((a, chars), (b, bounds)):
+            side[:, 1] = i + np.searchsorted(starts[i + 1 : j], side[:, 2], side="right")
         return a, b
 
+    def _sides(self, encoded: list[tuple[np.ndarray, np.ndarray]], data: np.ndarray, bounds: np.ndarray, place: np.ndarray) -> tuple:
+        """The tokens of either side, the byte where each ends, and which parts are whole."""
+        none, n = np.zeros((0, 4), np.int64), len(bounds) - 1
+        a, b = (np.concatenate([none, *(e[k] for e in encoded)]) for k in range(2))
+        # A span that the next one overlaps ends inside a character.
+        inside = np.append(a[1:, 2] < a[:-1, 3], False)[: len(a)]
+        spans_a = np.where(inside, -1, place[a[:, 3]] - bounds[a[:, 1]])
+        # Of the bytes of a character the last one has the span.
+        spans_b = np.where(self.is_byte[b[:, 0]] & (b[:, 2] == b[:, 3]), -1, b[:, 3] - bounds[b[:, 1]])
+        a, b = (Tokens(x[:, 0], np.bincount(x[:, 1], minlength=n), spans) for x, spans in ((a, spans_a), (b, spans_b)))
+        ends_a, whole_a = a.ends(*self.bytes_a, data, bounds)
+        ends_b, whole_b = b.ends(*self.bytes_b, data, bounds)
+        return a, ends_a, b, ends_b, whole_a & whole_b
+
+
+def _runs(data: np.ndarray, bounds: np.ndarray) -> list[tuple[int, int]]:
+    """First stretch and the one behind the last of each text that is encoded: stretches go
+    together where the text that they make falls apart into them again."""
+    apart = np.isin(bounds[:-1], _cuts(data, np.array([0, len(data)])), assume_unique=True)
+    block = bounds[:-1] >> _RUN_BITS
+    first = ~apart | (np.arange(len(apart)) % ENCODED == 0) | np.append(True, block[1:] != block[:-1])[: len(block)]
+    starts = np.flatnonzero(first)
+    return list(zip(starts.tolist(), np.append(starts[1:], len(apart)).tolist()))
+
 
 def _cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Where texts fall apart: at spaces that have a character that is no white space before
@@ -187,13 +226,17 @@ def stretches(column: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     own = offsets[1:] > offsets[:-1]
     data = np.insert(data, offsets[:-1][own], 32)
     offsets = offsets + np.concatenate([[0], np.cumsum(own)])
-    starts = np.union1d(offsets[:-1][own], _cuts(data, offsets))
+    starts = np.sort(np.concatenate([offsets[:-1][own], _cuts(data, offsets)]), kind="stable")
     ends, raw = np.append(starts[1:], len(data))[: len(starts)], data.tobytes()
     _, where, which = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
     # Equal hashes, equal bytes: each stretch is held against the one that stands for it.
     size, ahead = ends - starts, starts[where][which] - starts
     same = (size == size[where][which]).all()
-    if not (same and (data[np.arange(len(data)) + np.repeat(ahead, size)] == data).all()):
+    for k in range(0, len(starts), _COMPARED):  # a few at a time, as each byte takes many here
+        some = slice(k, k + _COMPARED)
+        own_bytes = np.arange(starts[some][0], ends[some][-1])
+        same = same and (data[own_bytes + np.repeat(ahead[some], size[some])] == data[own_bytes]).all()
+    if not same:
         index: dict[bytes, int] = {}
         which = np.array([index.setdefault(raw[a:b], len(index)) for a, b in zip(starts.tolist(), ends.tolist())], np.int64)
         return list(index), which, np.searchsorted(starts, offsets)
