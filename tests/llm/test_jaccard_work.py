@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import brute
+from pyspark.sql import functions as F
 
 from tillroll.llm import jaccard
 
@@ -42,6 +43,20 @@ def test_tokens_of_the_same_documents_are_one_row(spark, docs, monkeypatch):
     assert lone.where("weight < 3").isEmpty()
 
 
+def test_tokens_shared_with_other_sizes_only_are_not_kept(spark, docs, monkeypatch):
+    seen, rng = watched(monkeypatch), random.Random(2)
+    texts = []
+    for k in range(12):
+        words = [f"w{k}_{i}" for i in range(400)]
+        texts += [words, words[:300], words[:150] + [f"x{k}_{i}" for i in range(20)]]
+        texts += [words[: rng.randrange(300, 400)] + [f"y{k}_{i}" for i in range(rng.randrange(60))] for _ in range(3)] * (k < 2)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard.near_duplicates(docs(*rows), 5, 80).collect()}
+    assert got == brute.near_duplicates(rows, 5, 80) and any(c != i for i, (_, c) in got.items())
+    lone = [i for i, t in enumerate(texts) if i >= 12]
+    assert seen["shared"][0][1].where(F.col("doc").isin(lone)).isEmpty()
+
+
 def test_no_text_is_shuffled(spark, docs, monkeypatch):
     seen, rng = watched(monkeypatch), random.Random(1)
     texts = near_misses(3)

@@ -140,10 +140,21 @@ class Filter:
             f"and m <= fits and n <= other_fits and {self.early('place', 'n', 'm')} and {self.early('other_place', 'm', 'n')}"
         )
 
+    def alone(self) -> Column:
+        """Whether no set with the token can be similar to this one and have it early enough.
+        A smaller set is most like this one if it is the next smaller one, and leaves the token
+        the most room if it is the smallest that is like this one; a larger one, if it is the
+        next larger one."""
+        least, below, above = (f"{x}(n) over (partition by token order by n, doc)" for x in ("first", "lag", "lead"))
+        like = f"cast(ceil(cast(n as long) * {self.percent} / 100) as int)"
+        smaller = f"100 * cast({below} as long) >= {self.percent} * cast(n as long) and {self.early('place', 'n', f'greatest({least}, {like})')}"
+        larger = f"100 * cast(n as long) >= {self.percent} * cast({above} as long) and {self.early('place', 'n', above)}"
+        return F.expr(f"not coalesce({smaller} or {larger}, false)")
+
     def fits(self, seen: Column) -> Column:
         """The size of the largest set that can be similar to one of ``n`` tokens and share its
-        token at ``place``, up to which ``seen`` of its tokens are in other prefixes. The
-        others up to there are in no such set: its prefix would have them."""
+        token at ``place``, up to which ``seen`` of its tokens are not alone. The others up to
+        there are in no such set: its prefix would have them, as early."""
         n = F.col("n").cast("long")
         return F.floor((n - (F.col("place") + 1 - seen)) * (100 + self.percent) / self.percent - n).cast("int")
 
@@ -396,15 +407,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     equal = rows.where("n > 0").groupBy("n", "one", "two").agg(F.min("doc_id").alias("rep"))
 
     rule = Filter.of(percent)
-    token, document = Window.partitionBy("token").orderBy("doc"), Window.partitionBy("doc")
-    alone = F.lag("doc").over(token).isNull() & F.lead("doc").over(token).isNull()
+    document = Window.partitionBy("doc")
     prefixes = _postings(docs, words, rule, order)
-    several = prefixes.withColumn("alone", alone).where("not alone").drop("alone")
+    several = prefixes.withColumn("alone", rule.alone()).where("not alone").drop("alone")
     reps = rows.join(equal, ["n", "one", "two"]).where("doc_id is not null").select(F.col("doc_id").alias("doc"), "rep")
     nodes = several.join(reps.distinct(), "doc").select("token", F.col("rep").alias("doc"), "n", "place")
     nodes = nodes.repartition("token").distinct()  # dealt out once, for the windows too
     marks = [x.over(Window.partitionBy("token")).alias(f"mark{k}") for k, x in enumerate(_marks(), 1)]
-    met = nodes.withColumn("alone", alone).where("not alone").drop("alone").select("*", *marks)
+    met = nodes.withColumn("alone", rule.alone()).where("not alone").drop("alone").select("*", *marks)
     often = met.withColumn("met", F.count(F.lit(1)).over(document)).where(F.col("met") >= rule.common)
     seen = F.row_number().over(document.orderBy("place"))
     placed = often.withColumn("central", (1000 * F.col("met") / F.col("n")).cast("int")).withColumn("fits", rule.fits(seen))
