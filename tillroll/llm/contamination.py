@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillroll.llm.hashing import LOWER, SPACE, ngrams, slices, span_hashes, text_bytes
-from tillroll.llm.stages import written
+from tillroll.llm.stages import lean, written
 
 GRAM = 3
 BLOCK = 1_000_000  # words of test items that a scan is sent, about
@@ -201,7 +201,7 @@ def item_words(items: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column("item_id"), lists], ["item_id", "words"])
 
     source = items.where("item_id is not null").selectExpr("cast(item_id as long) item_id", "text")
-    return source.mapInArrow(build, "item_id long, words array<bigint>").where(F.size("words") > 0)
+    return source.mapInArrow(lean(build), "item_id long, words array<bigint>").where(F.size("words") > 0)
 
 
 def _blocks(items: DataFrame) -> Iterator[Items]:
@@ -276,7 +276,7 @@ def _scored(docs: DataFrame, items: Items) -> DataFrame:
                         )
                         start = stop
 
-    return docs.select("key", "text").mapInArrow(score, "key long, item_id long, score double")
+    return docs.select("key", "text").mapInArrow(lean(score), "key long, item_id long, score double")
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.components import components
 from tillroll.llm.hashing import U, mix, shingle_sets, slices
-from tillroll.llm.stages import written
+from tillroll.llm.stages import lean, written
 
 COMMON = 100_000  # shingles whose frequency class the orders know; bounds what tasks are sent
 LOCAL_COUNT = 3  # a shingle is counted where so many documents of one slice have it
@@ -81,7 +81,7 @@ def _set_rows(docs: DataFrame, words: int) -> DataFrame:
                     ["common", "doc_id", "n", "one", "two"],
                 )
 
-    return docs.mapInArrow(describe, "common boolean, doc_id long, n long, one long, two long")
+    return docs.mapInArrow(lean(describe), "common boolean, doc_id long, n long, one long, two long")
 
 
 class TokenOrder:
@@ -197,7 +197,7 @@ def _postings(docs: DataFrame, words: int, rule: Filter, order: TokenOrder) -> D
                     ["token", "doc", "n", "place"],
                 )
 
-    return docs.where("doc_id is not null").mapInArrow(prefixes, "token long, doc long, n int, place int")
+    return docs.where("doc_id is not null").mapInArrow(lean(prefixes), "token long, doc long, n int, place int")
 
 
 def _whole_sets(docs: DataFrame, words: int, rule: Filter, order: TokenOrder) -> DataFrame:
@@ -218,7 +218,7 @@ def _whole_sets(docs: DataFrame, words: int, rule: Filter, order: TokenOrder) ->
                 )
 
     schema = "doc long, " + ", ".join(f"{c} array<bigint>" for c in names[1:])
-    return docs.mapInArrow(build, schema)
+    return docs.mapInArrow(lean(build), schema)
 
 
 def _candidates(met: DataFrame, rule: Filter) -> DataFrame:

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.stages import written
+from tillroll.llm.stages import lean, written
 
 BLOCK_BYTES = 4096
 _RANK_BITS = 40
@@ -58,7 +58,7 @@ def text_blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
         F.unhex(F.sha2(text, 256)).alias("text_sha256"),
     )
     return keyed.mapInArrow(
-        cut, "row long, place long, blocks long, block binary, doc_id long, text_sha256 binary"
+        lean(cut), "row long, place long, blocks long, block binary, doc_id long, text_sha256 binary"
     )
 
 
@@ -108,7 +108,7 @@ def name_keys(rows: DataFrame, keys: list[str], stage: str) -> DataFrame:
     shown = [*rest, *keys, "name"]
     arrow = {k: pa.binary() if kinds[k].typeName() == "binary" else pa.int64() for k in keys}
     schema = ", ".join([*(f"`{c}` {kinds[c].simpleString()}" for c in (*rest, *keys)), "name long"])
-    table = written(ranged.mapInArrow(rank, schema), stage)
+    table = written(ranged.mapInArrow(lean(rank), schema), stage)
     named = table.where("row is not null").select(*rest, "name")
 
     lowest = F.min("name").over(Window.partitionBy(*keys)).alias("first")

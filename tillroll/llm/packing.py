@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from tillroll.llm.hashing import slices, span_hashes, text_bytes, word_spans
+from tillroll.llm.stages import lean
 
 SEQUENCE = 4096
 PACK = 8_192
@@ -249,4 +250,4 @@ def pack_documents(docs: DataFrame, tokenizer: str | None = None, sequence: int
 
     source = docs.selectExpr("cast(doc_id as long) doc_id", "text")
     schema = "pack long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, ids binary"
-    return source.mapInArrow(cut, schema).groupBy("pack").applyInArrow(place, _PIECE_SQL)
+    return source.mapInArrow(lean(cut), schema).groupBy("pack").applyInArrow(place, _PIECE_SQL)

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillroll.llm.hashing import mix, ngrams, slices, span_hashes, text_bytes, word_spans
+from tillroll.llm.stages import lean
 
 SAMPLE_TOXIC = 1_500  # labelled documents of either kind that training reads at most
 SAMPLE_CLEAN = 3_000
@@ -330,7 +331,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model:
         yield pa.RecordBatch.from_arrays([pa.array([v]) for v in values], ["codes", "weights", "bias", "one", "two", "shift"])
 
     fitted = sample.select("doc_id", "text", "toxic").repartition(1).mapInArrow(
-        fit, "codes binary, weights binary, bias double, one double, two double, shift double"
+        lean(fit), "codes binary, weights binary, bias double, one double, two double, shift double"
     )
     row = fitted.first()
     if row is None:
@@ -357,7 +358,7 @@ def toxicity(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
                 yield pa.RecordBatch.from_arrays([*part.columns, chance], [*part.schema.names, name])
 
     kept = docs.drop(name)
-    return kept.mapInArrow(score, T.StructType([*kept.schema.fields, T.StructField(name, T.DoubleType())]))
+    return kept.mapInArrow(lean(score), T.StructType([*kept.schema.fields, T.StructField(name, T.DoubleType())]))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
